@@ -24,3 +24,10 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     #: The rules that this query applies.
     rules = [Rule("allow", "com", "/"), Rule("block", "example.com", "/en/"), Rule("allow", "www.example.com", "/en/"), Rule("block", "net", "/es/"), Rule("block", "net", "/fr/")]
     return url_filter(table(spark, sf_dir, "pages"), rules)
+
+
+@query
+def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strataframe.llm.fingerprint import fingerprint_edits
+
+    return fingerprint_edits(table(spark, sf_dir, "documents"))
