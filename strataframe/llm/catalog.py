@@ -31,3 +31,25 @@ def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strataframe.llm.fingerprint import fingerprint_edits
 
     return fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strataframe.llm.common import new_dir
+    from strataframe.llm.warc import read_archives, write_archives
+
+    out = new_dir(spark, "warc")
+    write_archives(table(spark, sf_dir, "pages"), out)
+    return read_archives(spark, out, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+
+
+ORACLES["op3_warc_round_trip"] = """
+WITH p AS (SELECT page_id, url, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS hex FROM pages),
+b AS (SELECT *, list_transform([1, 11, 21, 31], lambda i: CAST('0x' || substr(hex, i, 10) AS BIGINT)) AS parts FROM p),
+d AS (SELECT page_id, octet_length(encode(body)) AS payload_bytes,
+  list_aggregate(flatten(list_transform(parts, lambda v: list_transform([35, 30, 25, 20, 15, 10, 5, 0], lambda s: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(((v >> s) & 31) + 1 AS BIGINT), 1)))), 'string_agg', '') AS payload_digest,
+  row_number() OVER w AS k, first_value(page_id) OVER w AS response FROM b WINDOW w AS (PARTITION BY body ORDER BY page_id NULLS LAST, url NULLS LAST))
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN k = 1 THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN k > 1 THEN response END AS refers_to FROM d
+"""
