@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strataframe.llm.common import table
 
@@ -53,3 +54,20 @@ d AS (SELECT page_id, octet_length(encode(body)) AS payload_bytes,
   row_number() OVER w AS k, first_value(page_id) OVER w AS response FROM b WINDOW w AS (PARTITION BY body ORDER BY page_id NULLS LAST, url NULLS LAST))
 SELECT page_id, payload_bytes, payload_digest, CASE WHEN k = 1 THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN k > 1 THEN response END AS refers_to FROM d
 """
+
+
+@query
+def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strataframe.llm.kdtree import scaled, search_all
+
+    vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").cast("long").alias("vec_id"), scaled(F.col("embedding")).alias("v"))
+    return search_all(vectors, vectors.where("vec_id % 50 = 0"), k=5)
+
+
+ORACLES["op5_exact_top_k"] = """
+WITH e AS (SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score FROM e q JOIN e c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
+"""
