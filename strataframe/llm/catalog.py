@@ -71,3 +71,25 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) A
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
 """
+
+
+@query
+def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strataframe.llm.mixing import mix_digest
+
+    return mix_digest(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op8_source_mixing"] = """
+WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size, md5('0:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS key FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS place FROM d GROUP BY source),
+w AS (SELECT *, 3 * source_size AS cap, list_extract([5, 2, 1], (place - 1) % 3 + 1) AS weight FROM s),
+l AS (SELECT *, cap / weight AS filled_at, (sum(source_size) OVER () - coalesce(sum(cap) OVER (ORDER BY cap / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::BIGINT
+  / (sum(weight) OVER (ORDER BY cap / weight, place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::BIGINT AS own_level FROM w),
+f AS (SELECT own_level AS level FROM l WHERE own_level <= filled_at ORDER BY filled_at, place LIMIT 1),
+t AS (SELECT source, source_size, cap, CASE WHEN source_size = 0 THEN 0.0::DOUBLE ELSE least(cap::DOUBLE, level * weight) END AS target FROM l, f),
+q AS (SELECT *, least(cap, floor(target + 0.5)::BIGINT) AS quota FROM t),
+o AS (SELECT d.*, sum(size) OVER (PARTITION BY source ORDER BY key, doc_id NULLS LAST, size ROWS UNBOUNDED PRECEDING) - size AS o FROM d)
+SELECT doc_id, size, source_size, target, (greatest(0, least(o + size, quota) - o) + greatest(0, least(o + source_size + size, quota) - o - source_size)
+  + greatest(0, least(o + 2 * source_size + size, quota) - o - 2 * source_size))::BIGINT AS taken FROM o JOIN q ON o.source IS NOT DISTINCT FROM q.source
+"""
