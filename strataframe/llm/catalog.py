@@ -93,3 +93,10 @@ o AS (SELECT d.*, sum(size) OVER (PARTITION BY source ORDER BY key, doc_id NULLS
 SELECT doc_id, size, source_size, target, (greatest(0, least(o + size, quota) - o) + greatest(0, least(o + source_size + size, quota) - o - source_size)
   + greatest(0, least(o + 2 * source_size + size, quota) - o - 2 * source_size))::BIGINT AS taken FROM o JOIN q ON o.source IS NOT DISTINCT FROM q.source
 """
+
+
+@query
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strataframe.llm.near_dup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
