@@ -100,3 +100,10 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strataframe.llm.near_dup import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strataframe.llm.pieces import encode_documents, load
+
+    return encode_documents(table(spark, sf_dir, "documents"), load())
