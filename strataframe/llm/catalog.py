@@ -107,3 +107,12 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strataframe.llm.pieces import encode_documents, load
 
     return encode_documents(table(spark, sf_dir, "documents"), load())
+
+
+@query
+def op2_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strataframe.llm.pii import replace_pii
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = replace_pii(docs, key="corpus key")
+    return found.select("doc_id", "text", F.size("__found").cast("long").alias("n_entities"), F.array_join(F.array_sort(F.array_distinct(F.transform("__found", lambda e: e["kind"]))), ",").alias("kinds"))
