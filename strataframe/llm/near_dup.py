@@ -3,7 +3,8 @@
 A signature needs two permutations only: the first scatters shingle hashes over a ring of cells, the second is read at
 every cell shifted by 0, 1, 2, ... places, one shift a coordinate. Documents with equal shingle sets form a class, and
 only classes are banded. Classes that share a band are first compared with one centre of the bucket; those that are
-still in different components afterwards are compared pair by pair, in blocks. Every link is confirmed on full sets.
+still in different components afterwards are compared pair by pair, in blocks. Shingles that only one class has bound
+the similarity that it can have with any other: what they rule out is not compared. Every link is confirmed on full sets.
 """
 
 from __future__ import annotations
@@ -94,25 +95,29 @@ def _sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"digest": [digest(s) if len(s) else None for s in sets], "hashes": [s.view(np.int64) for s in sets]})
 
 
-def _cross_pairs(percent: int):
-    """Pairs of two blocks of a bucket that are in different components and near enough in size."""
+def _may_link(a: Column, b: Column, percent: int) -> Column:
+    """Whether classes (n, common) can be similar enough: they share at most the lesser number of common shingles."""
+    shared = F.least(a["common"], b["common"])
+    return 100 * shared >= percent * (a["n"] + b["n"] - shared)
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for same, left, right in zip(frame["same"], frame["left"], frame["right"], strict=True):
-                a, b = (([x["digest"] for x in side], np.array([x["n"] for x in side]), np.array([x["label"] for x in side])) for side in (left, right))
-                low, high = np.minimum.outer(a[1], b[1]), np.maximum.outer(a[1], b[1])
-                near = (a[2][:, None] != b[2][None, :]) & (100 * low >= percent * high)
-                i, j = np.nonzero(np.triu(near, 1) if same else near)
-                if len(i):
-                    x, y = [a[0][k] for k in i], [b[0][k] for k in j]
-                    yield pd.DataFrame({"a": list(map(min, x, y)), "b": list(map(max, x, y))})
 
-    return run
+def _cross_pairs(percent: int, band: str, same: str, left: str, right: str) -> Column:
+    """Array of the pairs (a, b), a < b, of two blocks of a bucket that are in different components and may link.
+
+    A pair that shares several bands is in the array of the least of them only.
+    """
+    once = lambda x, y: F.array_min(F.array_intersect(x["bands"], y["bands"])) == F.col(band)
+    wanted = lambda x: F.filter(right, lambda y: (x["label"] != y["label"]) & (~F.col(same) | (x["digest"] < y["digest"])) & _may_link(x, y, percent) & once(x, y))
+    ordered = lambda x, y: F.struct(F.least(x["digest"], y["digest"]).alias("a"), F.greatest(x["digest"], y["digest"]).alias("b"))
+    return F.flatten(F.transform(left, lambda x: F.transform(wanted(x), lambda y: ordered(x, y))))
 
 
-def _near_in_size(n: Column, m: Column, percent: int) -> Column:
-    return 100 * F.least(n, m) >= percent * F.greatest(n, m)
+def common_shingles(sets: DataFrame) -> DataFrame:
+    """(digest, n, common): size of each class's set, and how many of its shingles another class has too."""
+    tagged = sets.select(F.xxhash64("digest").alias("tag"), F.explode("hashes").alias("shingle"))
+    alone = tagged.groupBy("shingle").agg(F.count("*").alias("n"), F.min("tag").alias("tag")).where("n = 1").groupBy("tag").agg(F.count("*").alias("alone"))
+    known = sets.select("digest", F.size("hashes").cast("long").alias("n"), F.xxhash64("digest").alias("of")).join(alone, F.col("of") == F.col("tag"), "left")
+    return known.select("digest", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("common"))
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -150,23 +155,31 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = member.groupBy("digest").agg(F.min("doc_id").alias("least"), F.min(F.coalesce("doc_id", F.lit(-(2**63)))).alias("fetch"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
     classes = materialize(classes, "dedup-classes")
 
-    banded = classes.select(F.explode("bands").alias("band"), "digest", "n")
-    buckets = banded.groupBy("band").agg(F.count("*").alias("size"), F.min(F.struct("digest", "n")).alias("centre")).where("size > 1")
-    hits = materialize(banded.join(buckets, "band"), "dedup-hits")
-    star = hits.where((F.col("digest") != F.col("centre.digest")) & _near_in_size(F.col("n"), F.col("centre.n"), percent))
-    star = materialize(star.select(F.col("digest").alias("a"), F.col("centre.digest").alias("b")).distinct(), "dedup-star")
+    banded = classes.select(F.explode("bands").alias("band"), "digest")
+    shared = banded.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
+    hits = materialize(banded.join(shared, "band").select("band", "digest"), "dedup-hits")
     sets = _fetch_sets(docs, classes, hits.select("digest").distinct())
+
+    # a class whose own shingles alone keep it below the threshold has no link; the one with the fewest is the centre
+    linkable = materialize(common_shingles(sets).where(100 * F.col("common") >= percent * F.col("n")), "dedup-linkable")
+    hits = hits.join(linkable, "digest")
+    centres = hits.groupBy("band").agg(F.count("*").alias("size"), F.min(F.struct((F.col("n") - F.col("common")).alias("alone"), "digest", "n", "common")).alias("centre")).where("size > 1")
+    hits = materialize(hits.join(centres, "band"), "dedup-hits")
+    star = hits.where((F.col("digest") != F.col("centre.digest")) & _may_link(F.struct("n", "common"), F.col("centre"), percent))
+    star = materialize(star.select(F.least("digest", "centre.digest").alias("a"), F.greatest("digest", "centre.digest").alias("b")).distinct(), "dedup-star")
     links = materialize(confirmed(star, sets, percent), "dedup-links")
     labels = materialize(components(links), "dedup-labels")
 
-    # what one centre left apart: all pairs of a bucket that are not yet in one component
-    labeled = hits.join(labels.select(F.col("node").alias("digest"), "label"), "digest", "left").select("band", "size", "digest", "n", F.coalesce("label", "digest").alias("label"))
+    # what one centre left apart: all pairs of a bucket that are not yet in one component and may link
+    labeled = hits.join(labels.select(F.col("node").alias("digest"), "label"), "digest", "left").select("band", "size", "digest", "n", "common", F.coalesce("label", "digest").alias("label"))
     split = labeled.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("band")
-    apart = labeled.join(split, "band", "left_semi").withColumn("block", F.pmod(F.xxhash64("digest"), F.ceil(F.col("size") / BLOCK)).cast("int"))
-    blocks = materialize(apart.groupBy("band", "block").agg(F.collect_list(F.struct("digest", "n", "label")).alias("members")), "dedup-blocks")
+    apart = materialize(labeled.join(split, "band", "left_semi"), "dedup-apart")
+    apart = apart.join(apart.groupBy("digest").agg(F.collect_list("band").alias("bands")), "digest").withColumn("block", F.pmod(F.xxhash64("digest"), F.ceil(F.col("size") / BLOCK)).cast("int"))
+    blocks = materialize(apart.groupBy("band", "block").agg(F.collect_list(F.struct("digest", "n", "common", "label", "bands")).alias("members")), "dedup-blocks")
     one, two = (blocks.select("band", F.col("block").alias(f"{s}_block"), F.col("members").alias(s)) for s in ("left", "right"))
-    twos = one.join(two, "band").where("left_block <= right_block").select((F.col("left_block") == F.col("right_block")).alias("same"), "left", "right")
-    rest = materialize(twos.mapInPandas(_cross_pairs(percent), "a string, b string").distinct().join(star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "dedup-rest")
+    twos = one.join(two, "band").where("left_block <= right_block").select("band", (F.col("left_block") == F.col("right_block")).alias("same"), "left", "right")
+    pairs = twos.select(F.explode(_cross_pairs(percent, "band", "same", "left", "right")).alias("p")).select("p.a", "p.b")
+    rest = materialize(pairs.join(star, ["a", "b"], "left_anti"), "dedup-rest")
     more = confirmed(rest, sets, percent)
     labels = components(materialize(links.unionByName(more), "dedup-links"))
 
