@@ -116,3 +116,11 @@ def op2_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = replace_pii(docs, key="corpus key")
     return found.select("doc_id", "text", F.size("__found").cast("long").alias("n_entities"), F.array_join(F.array_sort(F.array_distinct(F.transform("__found", lambda e: e["kind"]))), ",").alias("kinds"))
+
+
+@query
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strataframe.llm.language import fit, held_out, predict
+
+    docs = table(spark, sf_dir, "documents")
+    return predict(docs, fit(docs)).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
