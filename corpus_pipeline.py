@@ -3,17 +3,54 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-STAGES: list = []
+from strataframe.llm import language, mixing, near_dup, pieces, pii
+from strataframe.llm.common import DOCUMENT_COLUMNS, documents_only, materialize, table
+
+PII_KEY = "corpus key"
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is recognised; texts without letters and unlikely ones go."""
+    docs = documents_only(docs)
+    return documents_only(language.predict(docs, language.fit(docs), keep=DOCUMENT_COLUMNS).where("NOT rejected"))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates, at a similarity of 0.8 or more over five words."""
+    return documents_only(near_dup.deduplicated(documents_only(docs)))
+
+
+def pii_surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with surrogates for the entities in their texts; n_chars follows a text that changed."""
+    found = pii.replace_pii(documents_only(docs), PII_KEY)
+    return documents_only(found.withColumn("n_chars", F.when(F.size("__found") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))))
+
+
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the mix takes, as often as it takes them, the last of a source cut to what is taken."""
+    return documents_only(mixing.mixed_documents(documents_only(docs)))
+
+
+def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of the pieces of every text."""
+    return pieces.encode_documents(documents_only(docs), pieces.load(), keep=("doc_id", "lang", "source"), with_text=False)
+
+
+STAGES = [
+    ("language ID", language_id),
+    ("MinHash near-dedup", near_dedup),
+    ("PII surrogates", pii_surrogates),
+    ("mixing sources to target weights", source_mixing),
+    ("SentencePiece encoding", sentencepiece),
+]
+#: The first stage's model and the last one's search are beyond SQL: see tests/llm/test_pipeline.py.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from strataframe.llm.common import materialize, table
-
     docs = table(spark, sf_dir, "documents")
-    for k, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            docs = materialize(docs, f"stage{k}")
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), name.split()[0])
+    return STAGES[-1][1](spark, docs, sf_dir)

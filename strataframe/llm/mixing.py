@@ -18,8 +18,6 @@ from strataframe.llm.common import WORD_CLASS, materialize
 
 #: The weights that sources take in turn, by code point.
 WEIGHTS = (5, 2, 1)
-BUCKETS = 65_536  # of the shuffled order, by the first four digits of the hash
-
 
 def word_count(text: Column) -> Column:
     """Number of maximal runs of non-space characters; null: 0."""
@@ -90,24 +88,24 @@ def block_size(targets: DataFrame, most: int = 256, least_share: int = 64) -> in
     return max(1, min(most, (total or 0) // max(1, least_share * (sources or 0))))
 
 
-def placed_documents(docs: DataFrame, id_col: str, source_col: str, text_col: str, seed: int, weights: tuple[int, ...] = WEIGHTS, most_times: int = 3):
-    """(documents with their place in their source's stream, targets), both tables in the shared folder.
+def placed_documents(docs: DataFrame, id_col: str, source_col: str, text_col: str, seed: int, weights: tuple[int, ...] = WEIGHTS, most_times: int = 3, carry: tuple[str, ...] = ()):
+    """(documents with their place in their source's stream, targets); carry: further columns that go along.
 
     The stream's order is that of md5 of seed and id, then id and size; repeated rows follow each other. Offsets are
     summed within buckets of the hash, then over the buckets of a source.
     """
     key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col(id_col).cast("string"), F.lit("null"))).cast("binary"))
-    counted = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), key.alias("key"))
+    counted = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), key.alias("key"), *carry)
     counted = materialize(counted.withColumn("bucket", F.conv(F.substring("key", 1, 4), 16, 10).cast("int")), "mix-sizes")
     targets = materialize(source_targets(counted.select("source", "size"), weights, most_times), "mix-targets")
     t = targets.select(F.col("source").alias("of"), "source_size", "place", "target", "quota")
     rows = counted.join(t, F.col("source").eqNullSafe(F.col("of"))).drop("of")
-    in_bucket = Window.partitionBy("place", "bucket").orderBy("key", F.col("doc_id").asc_nulls_last(), "size")
+    in_bucket = Window.partitionBy("place", "bucket").orderBy("key", F.col("doc_id").asc_nulls_last(), "size", *carry)
     inside = rows.withColumn("row", F.row_number().over(in_bucket)).withColumn("within", F.sum("size").over(in_bucket.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
     sums = rows.groupBy("place", "bucket").agg(F.sum("size").alias("n"))
     starts = sums.select("place", "bucket", (F.sum("n").over(Window.partitionBy("place").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")).alias("start"))
     placed = inside.join(starts, ["place", "bucket"])
-    return placed.select("doc_id", "source", "size", "bucket", "row", "source_size", "place", "target", "quota", (F.col("start") + F.col("within")).alias("offset")), targets
+    return placed.select("doc_id", "source", "size", "bucket", "row", "source_size", "place", "target", "quota", (F.col("start") + F.col("within")).alias("offset"), *carry), targets
 
 
 def pieces(placed: DataFrame, block_words: int) -> DataFrame:
@@ -136,16 +134,44 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
     return pieces(placed, block_words).join(slots, (F.col("place") == F.col("source_place")) & (F.col("block") == F.col("rank"))).select("slot", "doc_id", "source", "epoch", "block", "words")
 
 
-def mix_digest(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", seed: int = 0, weights: tuple[int, ...] = WEIGHTS, most_times: int = 3) -> DataFrame:
-    """(doc_id, size, source_size, target, taken), one row a document: the words that the mix takes of it.
+def mix_digest(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", seed: int = 0, weights: tuple[int, ...] = WEIGHTS, most_times: int = 3, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, size, source_size, target, taken, *carry), one row a document: the words that the mix takes of it.
 
     Null and blank texts have size 0 and nothing is taken of them; a null source is a source; null ids, repeated ids
     and repeated rows each keep their row. A source without words has target 0. An empty table gives no row. Other
     columns are not read. taken is at most most_times the size, and a source's sum is its target, rounded.
     """
-    placed, targets = placed_documents(docs, id_col, source_col, text_col, seed, weights, most_times)
+    placed, targets = placed_documents(docs, id_col, source_col, text_col, seed, weights, most_times, carry)
     block_words = block_size(targets)
     slots = schedule(targets, block_words)
     taken = pieces(placed, block_words).join(slots, (F.col("place") == F.col("source_place")) & (F.col("block") == F.col("rank")), "left")
-    by = ["place", "bucket", "row", "doc_id", "size", "source_size", "target"]
-    return taken.groupBy(*by).agg(F.coalesce(F.sum(F.when(F.col("slot").isNotNull(), F.col("words"))), F.lit(0)).cast("long").alias("taken")).select("doc_id", "size", "source_size", "target", "taken")
+    by = ["place", "bucket", "row", "doc_id", "size", "source_size", "target", *carry]
+    return taken.groupBy(*by).agg(F.coalesce(F.sum(F.when(F.col("slot").isNotNull(), F.col("words"))), F.lit(0)).cast("long").alias("taken")).select("doc_id", "size", "source_size", "target", "taken", *carry)
+
+
+def first_words(text: Column, n: Column) -> Column:
+    """The first n words of a text with the space before each."""
+    return F.array_join(F.slice(F.regexp_extract_all(text, F.lit(r"[\x20\x09-\x0D]*" + WORD_CLASS), F.lit(0)), F.lit(1), n), "")
+
+
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", chars_col: str = "n_chars", seed: int = 0, weights: tuple[int, ...] = WEIGHTS, most_times: int = 3) -> DataFrame:
+    """What the mix holds, as rows of docs: each document as often as it is taken whole, and cut where it is taken in part.
+
+    Documents of which nothing is taken are missing; a cut text has its own number of characters in chars_col. Rows
+    whose id, source and text are equal are taken together, with the least of their other columns.
+    """
+    marks = [x for c in (text_col, source_col) for x in (F.col(c), F.col(c).isNull())]
+    keys = {"__key": F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))), "__hash": F.xxhash64(*marks)}
+    others = [c for c in docs.columns if c not in (id_col, text_col, source_col)]
+    taken = mix_digest(docs.withColumns(keys), id_col, source_col, text_col, seed, weights, most_times, carry=("__key", "__hash")).where("taken > 0")
+    taken = taken.groupBy("__key", "__hash").agg(F.sum("taken").alias("__taken"), F.min("size").alias("__size"))
+    rest = [F.min(F.struct(*others)).alias("__others")] if others else []
+    rows = docs.withColumns(keys).join(taken, ["__key", "__hash"]).groupBy("__key", "__hash", "__taken", "__size").agg(*[F.first(c).alias(c) for c in (id_col, text_col, source_col)], *rest)
+    whole = F.floor(F.col("__taken") / F.col("__size"))
+    left = F.col("__taken") % F.col("__size")
+    copies = F.filter(F.concat(F.array_repeat(F.lit(None).cast("int"), whole.cast("int")), F.array(left.cast("int"))), lambda w: w.isNull() | (w > 0))
+    rows = rows.withColumn("__words", F.explode(copies))
+    cut = F.when(F.col("__words").isNull(), F.col(text_col)).otherwise(first_words(F.col(text_col), F.col("__words")))
+    rows = rows.withColumn(text_col, cut)
+    chars = lambda c: F.when(F.col("__words").isNull(), F.col(f"__others.`{c}`")).otherwise(F.length(text_col)).alias(c) if c == chars_col else F.col(f"__others.`{c}`").alias(c)
+    return rows.select(*[chars(c) if c in others else c for c in docs.columns])

@@ -27,7 +27,7 @@ BANDS, ROWS = 32, 6  # a pair of similarity 0.85 shares no band in 3 of 10 milli
 RING = 1 << 21
 BLOCK = 64
 BROADCAST_IDS = 1_000_000
-MASK = (1 << 64) - 1
+LOWEST = -(2**63)
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63, 0xD6E8FEB86659FD93], dtype=np.uint64)
 
 
@@ -85,7 +85,7 @@ def _signatures(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for a in range(0, len(frame), 1000):
             part = frame.iloc[a : a + 1000]
             sets = [shingle_set(t) for t in part["text"]]
-            yield pd.DataFrame({"doc_id": part["doc_id"].astype("Int64"), "n_shingles": [len(s) for s in sets], "digest": [digest(s) if len(s) else None for s in sets], "bands": [bands(s) if len(s) else None for s in sets]})
+            yield pd.DataFrame({"doc_id": part["doc_id"].astype("Int64"), "text_hash": part["text_hash"], "n_shingles": [len(s) for s in sets], "digest": [digest(s) if len(s) else None for s in sets], "bands": [bands(s) if len(s) else None for s in sets]})
 
 
 def _sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -139,22 +139,22 @@ def _fetch_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataF
     return materialize(found.join(wanted, "digest", "left_semi").dropDuplicates(["digest"]), "dedup-sets")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept), one row a document.
-
-    Documents are linked if their sets of distinct shingles have 100 * intersection >= percent * union; component_id
-    is the smallest id that links reach, the document's own included. Null, empty and blank texts have no shingle and
-    are linked with nothing. Every row is a document of its own: repeated rows have equal sets and so one component.
-    A null id is never the smallest; a component of null ids only has a null component_id, and kept compares nulls as
-    equal. An empty table gives no row. Other columns are not read.
-    """
-    key = F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63)))
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), key.alias("key"), F.col(text_col).alias("text"))
-    signed = materialize(docs.select("doc_id", "text").mapInPandas(_signatures, "doc_id long, n_shingles long, digest string, bands array<long>"), "dedup-signatures")
+def _labelled(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(rows (doc_id, text_hash, n_shingles, digest), classes (digest, label, smallest)) of docs (doc_id, text), written."""
+    docs = docs.select("doc_id", F.coalesce("doc_id", F.lit(LOWEST)).alias("key"), "text")
+    signed = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInPandas(_signatures, "doc_id long, text_hash long, n_shingles long, digest string, bands array<long>")
+    signed = materialize(signed, "dedup-signatures")
     member = signed.where("digest IS NOT NULL")
-    classes = member.groupBy("digest").agg(F.min("doc_id").alias("least"), F.min(F.coalesce("doc_id", F.lit(-(2**63)))).alias("fetch"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
+    classes = member.groupBy("digest").agg(F.min("doc_id").alias("least"), F.min(F.coalesce("doc_id", F.lit(LOWEST))).alias("fetch"), F.first("bands").alias("bands"))
     classes = materialize(classes, "dedup-classes")
+    labels = components(_links(docs, classes, percent))
+    grouped = classes.select("digest", "least").join(labels.select(F.col("node").alias("digest"), "label"), "digest", "left").select("digest", "least", F.coalesce("label", "digest").alias("label"))
+    smallest = grouped.groupBy("label").agg(F.min("least").alias("smallest"))
+    return signed.drop("bands"), materialize(grouped.join(smallest, "label").select(F.col("digest").alias("of"), "label", "smallest"), "dedup-components")
 
+
+def _links(docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links between classes, all that their components need."""
     banded = classes.select(F.explode("bands").alias("band"), "digest")
     shared = banded.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
     hits = materialize(banded.join(shared, "band").select("band", "digest"), "dedup-hits")
@@ -180,12 +180,36 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     twos = one.join(two, "band").where("left_block <= right_block").select("band", (F.col("left_block") == F.col("right_block")).alias("same"), "left", "right")
     pairs = twos.select(F.explode(_cross_pairs(percent, "band", "same", "left", "right")).alias("p")).select("p.a", "p.b")
     rest = materialize(pairs.join(star, ["a", "b"], "left_anti"), "dedup-rest")
-    more = confirmed(rest, sets, percent)
-    labels = components(materialize(links.unionByName(more), "dedup-links"))
+    return materialize(links.unionByName(confirmed(rest, sets, percent)), "dedup-links")
 
-    grouped = classes.select("digest", "least").join(labels.select(F.col("node").alias("digest"), "label"), "digest", "left").select("digest", "least", F.coalesce("label", "digest").alias("label"))
-    smallest = grouped.groupBy("label").agg(F.min("least").alias("smallest"))
-    of_class = materialize(grouped.join(smallest, "label").select(F.col("digest").alias("of"), "smallest"), "dedup-components")
-    out = signed.select("doc_id", "n_shingles", "digest").join(of_class, F.col("digest") == F.col("of"), "left")
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept), one row a document.
+
+    Documents are linked if their sets of distinct shingles have 100 * intersection >= percent * union; component_id
+    is the smallest id that links reach, the document's own included. Null, empty and blank texts have no shingle and
+    are linked with nothing. Every row is a document of its own: repeated rows have equal sets and so one component.
+    A null id is never the smallest; a component of null ids only has a null component_id, and kept compares nulls as
+    equal. An empty table gives no row. Other columns are not read.
+    """
+    signed, classes = _labelled(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), percent)
+    out = signed.join(classes, F.col("digest") == F.col("of"), "left")
     component = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("smallest"))
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80) -> DataFrame:
+    """docs with one row of each group of near duplicates: that with the smallest id (null last), then by text.
+
+    Rows whose id and text are equal count as one, with the least of their other columns. Texts without a word stay,
+    every row of them. The columns are those of docs.
+    """
+    others = [c for c in docs.columns if c not in (id_col, text_col)]
+    signed, classes = _labelled(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), percent)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("r")
+    stay = signed.join(classes, F.col("digest") == F.col("of")).groupBy("label").agg(first).select(F.coalesce("r.doc_id", F.lit(LOWEST)).alias("__key"), F.col("r.text_hash").alias("__hash"))
+    worded = F.coalesce(F.col(text_col).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    keyed = docs.where(worded).withColumns({"__key": F.coalesce(F.col(id_col).cast("long"), F.lit(LOWEST)), "__hash": F.xxhash64(text_col)})
+    rest = [F.min(F.struct(*others)).alias("__others")] if others else []
+    kept = keyed.join(stay, ["__key", "__hash"]).groupBy("__key", "__hash").agg(F.first(id_col).alias(id_col), F.first(text_col).alias(text_col), *rest)
+    return kept.select(*[c if c in (id_col, text_col) else F.col(f"__others.`{c}`").alias(c) for c in docs.columns]).unionByName(docs.where(~worded))
