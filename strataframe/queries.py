@@ -349,3 +349,187 @@ def q38_plan_line(spark, sf_dir):
     size = F.col("p_size")
     line = text.plan_line(F.concat(F.lit("part"), "p_partkey"), F.when(size % 2 == 0, "insert").otherwise("scene"), size % 4, F.when(size % 3 == 0, size), F.lit(1))
     return read(spark, sf_dir, "part").select("p_partkey", line.alias("line"))
+
+
+# ---- rasters -----------------------------------------------------------------------------------
+
+E8_SQL = "SELECT vec_id AS img, CAST(p // 8 AS INTEGER) AS y, CAST(p % 8 AS INTEGER) AS x, CAST(floor(CAST(list_extract(embedding, CAST(p + 1 AS BIGINT)) AS DOUBLE) * 128 + 128) AS INTEGER) AS v FROM embeddings, range(64) t(p)"
+L64_SQL = "SELECT 0 AS img, CAST(l_orderkey // 64 % 48 AS INTEGER) AS y, CAST(l_orderkey % 64 AS INTEGER) AS x, CAST(sum(l_linenumber * 17 % 256) AS INTEGER) AS v FROM lineitem GROUP BY 2, 3"
+
+
+def _e8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each embedding of 64 floats as an 8 by 8 image."""
+    px = read(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("img"), F.posexplode("embedding").alias("p", "e"))
+    return px.select("img", F.floor(F.col("p") / 8).cast("int").alias("y"), (F.col("p") % 8).alias("x"), F.floor(F.col("e").cast("double") * 128 + 128).cast("int").alias("v"))
+
+
+def _l64(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One image of 64 by 48 from sums of line numbers."""
+    k = F.col("l_orderkey")
+    px = read(spark, sf_dir, "lineitem").select((F.floor(k / 64) % 48).cast("int").alias("y"), (k % 64).cast("int").alias("x"), (F.col("l_linenumber") * 17 % 256).alias("v"))
+    return px.groupBy("y", "x").agg(F.sum("v").cast("int").alias("v")).select(F.lit(0).alias("img"), "y", "x", "v")
+
+
+STAT_SQL = "SELECT img, count(*) AS n, CAST(sum(v) AS BIGINT) AS total, CAST(sum(v * v) AS BIGINT) AS squares FROM p GROUP BY 1"
+
+
+@query(f"WITH p AS ({E8_SQL}), s AS ({STAT_SQL}) SELECT img, n, total, squares, round(total / n, 6) AS mean, round(sqrt((n * squares - total * total) / (n * n)), 6) AS std FROM s")
+def q40_channel_stats(spark, sf_dir):
+    return pixels.statistics(_e8(spark, sf_dir), "img").withColumns({c: F.round(c, 6) for c in ("mean", "std")})
+
+
+@query(f"""WITH p AS ({E8_SQL}), s AS ({STAT_SQL}), t AS (SELECT img, total / n AS m, sqrt((n * squares - total * total) / (n * n)) AS s FROM s)
+SELECT p.img, y, x, v, round(v + 0.5 * ((v - a.m) * CASE WHEN a.s > 1e-6 THEN b.s / a.s ELSE 1 END + b.m - v), 4) AS moved FROM p JOIN t a ON a.img = p.img JOIN t b ON b.img = CASE WHEN p.img % 2 = 0 THEN p.img + 1 ELSE p.img - 1 END""")
+def q41_colour_transfer(spark, sf_dir):
+    px = _e8(spark, sf_dir)
+    guide = px.withColumn("img", F.when(F.col("img") % 2 == 0, F.col("img") + 1).otherwise(F.col("img") - 1))
+    return pixels.transferred(px, guide, "img", 0.5).withColumn("moved", F.round("moved", 4))
+
+
+@query(f"WITH p AS ({E8_SQL}) SELECT img, CAST(y // 4 AS INTEGER) AS y, CAST(x // 4 AS INTEGER) AS x, CAST(sum(v) AS BIGINT) AS total, count(*) AS n FROM p GROUP BY 1, 2, 3")
+def q42_box_downscale(spark, sf_dir):
+    return pixels.box_sums(_e8(spark, sf_dir), 4, "img")
+
+
+@query(f"WITH p AS ({E8_SQL}) SELECT img, CAST(y * 4 + b AS INTEGER) AS y, CAST(x * 4 + a AS INTEGER) AS x, v FROM p, range(4) s(a), range(4) t(b)")
+def q43_nearest_upscale(spark, sf_dir):
+    return pixels.enlarged(_e8(spark, sf_dir), 4)
+
+
+SOBEL_SQL = "SELECT c.img, c.y, c.x, sum(q.v * (q.x - c.x) * (2 - abs(q.y - c.y)))::INTEGER AS gx, sum(q.v * (q.y - c.y) * (2 - abs(q.x - c.x)))::INTEGER AS gy FROM {p} c JOIN {p} q ON q.img = c.img AND q.y BETWEEN c.y - 1 AND c.y + 1 AND q.x BETWEEN c.x - 1 AND c.x + 1 GROUP BY 1, 2, 3"
+
+
+@query(f"WITH p AS ({L64_SQL}), s AS ({SOBEL_SQL.format(p='p')}) SELECT img, y, x, gx, gy, gx * gx + gy * gy AS gg FROM s WHERE x BETWEEN 1 AND 62 AND y BETWEEN 1 AND 46")
+def q44_sobel(spark, sf_dir):
+    return pixels.sobel(_l64(spark, sf_dir), replicate=False).where("gg IS NOT NULL").select("img", "y", "x", "gx", "gy", "gg")
+
+
+PADDED = "SELECT p.img, b AS y, a AS x, p.v FROM range(-1, 9) s(a), range(-1, 9) t(b) JOIN p ON p.x = least(7, greatest(0, a)) AND p.y = least(7, greatest(0, b))"
+
+
+@query(f"WITH p AS ({E8_SQL}), q AS ({PADDED}), s AS ({SOBEL_SQL.format(p='q')}) SELECT img, CAST(y AS INTEGER) AS y, CAST(x AS INTEGER) AS x, gx * gx + gy * gy AS gg FROM s WHERE x BETWEEN 0 AND 7 AND y BETWEEN 0 AND 7")
+def q44b_sobel_border(spark, sf_dir):
+    return pixels.sobel(_e8(spark, sf_dir)).select("img", "y", "x", "gg")
+
+
+@query(f"WITH p AS ({E8_SQL}) SELECT c.img, c.y, c.x, bool_or(q.v > 170) AS near FROM p c JOIN p q ON q.img = c.img AND abs(q.y - c.y) < 2 AND abs(q.x - c.x) < 2 GROUP BY 1, 2, 3")
+def q45_dilate(spark, sf_dir):
+    return pixels.grown(_e8(spark, sf_dir).withColumn("near", F.col("v") > 170), "near").select("img", "y", "x", "near")
+
+
+@query(f"""WITH p AS ({E8_SQL}), q AS ({PADDED}), g AS (SELECT img, y, x, gx * gx + gy * gy AS gg FROM ({SOBEL_SQL.format(p='q')}) WHERE x BETWEEN 0 AND 7 AND y BETWEEN 0 AND 7),
+r AS (SELECT img + CASE WHEN img % 2 = 0 THEN 1 ELSE -1 END AS img, y, x, gg > 3600 AS hit FROM g), k AS (SELECT c.img, c.y, c.x, bool_or(q.hit) AS kept FROM r c JOIN r q ON q.img = c.img AND abs(q.y - c.y) < 2 AND abs(q.x - c.x) < 2 GROUP BY 1, 2, 3)
+SELECT g.img, count(*) FILTER (gg > 6400) AS strong, CASE WHEN count(*) FILTER (gg > 6400) < 10 THEN 1.0::DOUBLE ELSE round(count(*) FILTER (gg > 6400 AND kept) / count(*) FILTER (gg > 6400), 4) END AS share FROM g JOIN k ON g.img = k.img AND g.y = k.y AND g.x = k.x GROUP BY 1""")
+def q46_edge_agreement(spark, sf_dir):
+    px = _e8(spark, sf_dir)
+    other = px.withColumn("img", F.col("img") + F.when(F.col("img") % 2 == 0, 1).otherwise(-1))
+    maps = pixels.edge_maps(px, other)
+    return maps.groupBy("img").agg(F.count_if("strong").alias("strong"), F.round(pixels.kept_share(F.col("strong"), F.col("kept"), 10), 4).alias("share"))
+
+
+@query(f"""WITH p AS ({L64_SQL}), s AS (SELECT a.x, sum(abs(a.v - b.v)) / count(*) AS step FROM p a JOIN p b ON a.y = b.y AND a.x = b.x + 1 GROUP BY 1)
+SELECT 0 AS img, round(least((SELECT step FROM s WHERE x = 30) / (SELECT median(step) FROM s WHERE x BETWEEN 14 AND 46 AND x <> 30), 999), 3) AS ratio""")
+def q47_seam_ratio(spark, sf_dir):
+    return pixels.seam_ratio(pixels.column_steps(_l64(spark, sf_dir)), 30, 16)
+
+
+MARGIN_SQL = "SELECT img, y, x, CASE WHEN x < img % 9 THEN 7 ELSE v END AS v FROM p"
+
+
+@query(f"WITH p AS ({E8_SQL}), m AS ({MARGIN_SQL}), l AS (SELECT img, x, min(v) AS low, max(v) AS high FROM m GROUP BY 1, 2), f AS (SELECT img, min(low) FILTER (x = 0 AND low = high) AS first FROM l GROUP BY 1) SELECT l.img, coalesce(min(x) FILTER (first IS NULL OR low <> high OR low <> first), 8) AS run FROM l JOIN f ON l.img = f.img GROUP BY 1")
+def q48_flat_margins(spark, sf_dir):
+    px = _e8(spark, sf_dir).withColumn("v", F.when(F.col("x") < F.col("img") % 9, 7).otherwise(F.col("v")))
+    return pixels.flat_run(px, "x")
+
+
+@query("SELECT n_nationkey AS img, CAST(5 + n_nationkey % 7 AS INTEGER) AS period FROM nation")
+def q49_wrap_period(spark, sf_dir):
+    img = F.col("n_nationkey")
+    rows = read(spark, sf_dir, "nation").select(img.alias("img"), F.explode(F.sequence(F.lit(0), F.lit(2))).alias("y"))
+    px = rows.select("img", "y", F.explode(F.sequence(F.lit(0), F.lit(39))).alias("x"))
+    at = F.col("x") % (5 + F.col("img") % 7)
+    return pixels.wrap_period(px.withColumn("v", (at * at * 37 + F.col("y") * 11 + F.col("img")) % 251), 40, least=4, span=8)
+
+
+GRID_SQL = """WITH RECURSIVE rooms AS (SELECT n_nationkey AS room, 8 * (n_nationkey % 4) AS l, 8 * (40 + 11 * n_nationkey) AS r, 0 AS t, 8 * (20 + 5 * n_nationkey) AS b FROM nation),
+axis AS (SELECT room, 'x' AS axis, l AS a, r AS b, 320 AS size FROM rooms UNION ALL SELECT room, 'y', t, b, 240 FROM rooms),
+tried AS (SELECT *, ceil((b - a - 64) / (size - 64))::INTEGER + k::INTEGER AS n FROM axis, range(8) t(k) WHERE b - a > size),
+placed AS (SELECT tried.*, i, CASE WHEN i = n - 1 THEN b - size ELSE a + 8 * ((i * (b - a - size) // (n - 1)) // 8) END AS s FROM tried, range(64) t(i) WHERE i < n),
+fits AS (SELECT room, axis, n, bool_and(coalesce(s - before <= size - 64, TRUE)) AS ok FROM (SELECT *, lag(s) OVER (PARTITION BY room, axis, n ORDER BY i) AS before FROM placed) GROUP BY 1, 2, 3),
+best AS (SELECT room, axis, min(n) AS n FROM fits WHERE ok GROUP BY 1, 2),
+spans AS (SELECT p.room, p.axis, s AS lo, s + size AS hi FROM placed p JOIN best USING (room, axis, n) UNION ALL SELECT room, axis, a, b FROM axis WHERE b - a <= size),
+grid AS (SELECT x.room, CAST(row_number() OVER (PARTITION BY x.room ORDER BY y.lo, x.lo) - 1 AS INTEGER) AS "window", x.lo::INTEGER AS x0, x.hi::INTEGER AS x1, y.lo::INTEGER AS y0, y.hi::INTEGER AS y1 FROM spans x JOIN spans y ON x.room = y.room AND x.axis = 'x' AND y.axis = 'y')"""
+
+
+def _grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = F.col("n_nationkey")
+    rooms = read(spark, sf_dir, "nation").select(n.alias("room"), (8 * (n % 4)).alias("left"), (8 * (40 + 11 * n)).alias("right"), F.lit(0).alias("top"), (8 * (20 + 5 * n)).alias("bottom"))
+    return windows.window_grid(rooms)
+
+
+@query(GRID_SQL + ', n AS (SELECT *, lag(x1) OVER (PARTITION BY room, y0 ORDER BY x0) AS left_x1, lag(y1) OVER (PARTITION BY room, x0 ORDER BY y0) AS up_y1 FROM grid) SELECT *, CAST(CASE WHEN left_x1 IS NULL THEN x0 ELSE x0 + (left_x1 - x0) // 2 END AS INTEGER) AS stitch_x, CAST(CASE WHEN up_y1 IS NULL THEN y0 ELSE y0 + (up_y1 - y0) // 2 END AS INTEGER) AS stitch_y FROM n')
+def q50_neighbours(spark, sf_dir):
+    return windows.with_neighbours(_grid(spark, sf_dir))
+
+
+@query(GRID_SQL + " SELECT * FROM grid")
+def q51_window_grid(spark, sf_dir):
+    return _grid(spark, sf_dir)
+
+
+def _context_sql(at: str, length: str, whole: str) -> str:
+    limit = f"(ceil({whole} / 8) * 8)"
+    a = f"greatest(0, floor(({at} - 48) / 8) * 8)"
+    b = f"least({limit}, ceil(({at} + {length} + 48) / 8) * 8)"
+    a2 = f"CASE WHEN {b} - {a} >= 128 THEN {a} ELSE greatest(0, {a} - 8 * ceil((128 - ({b} - {a})) / 2 / 8)) END"
+    b2 = f"CASE WHEN {b} - {a} >= 128 THEN {b} ELSE least({limit}, greatest({b}, {a2} + 128)) END"
+    a3 = f"CASE WHEN {b} - {a} >= 128 THEN {a} ELSE greatest(0, least({a2}, {b2} - 128)) END"
+    return f"CAST({a3} AS INTEGER) AS {at}0, CAST({b2} AS INTEGER) AS {at}1"
+
+
+@query(f"WITH r AS ({ROOM_SQL}), o AS ({OBJECT_SQL}) SELECT key, {_context_sql('x', 'w', 'room_w')}, {_context_sql('y', 'h', 'room_h')} FROM o JOIN r ON o.room = r.room WHERE x >= 0 AND y >= 0 AND x + w <= room_w AND y + h <= room_h")
+def q52_context_box(spark, sf_dir):
+    ok = catalog.placement(_objects(spark, sf_dir), _rooms(spark, sf_dir)).where("place = 'ok'").select("key")
+    o = _objects(spark, sf_dir).join(ok, "key").join(_rooms(spark, sf_dir), "room")
+    spans = o.select("key", windows.context_span(F.col("x"), F.col("w"), F.col("room_w")).alias("xs"), windows.context_span(F.col("y"), F.col("h"), F.col("room_h")).alias("ys"))
+    return spans.select("key", F.col("xs.a").alias("x0"), F.col("xs.b").alias("x1"), F.col("ys.a").alias("y0"), F.col("ys.b").alias("y1"))
+
+
+@query(f"WITH p AS ({E8_SQL}), o AS (SELECT img, img % 10 AS room, img % 3 AS ox, img % 4 AS oy, y, x, CASE WHEN img % 7 < 3 THEN r ELSE v END AS v FROM (SELECT p.*, q.v AS r FROM p LEFT JOIN p q ON q.img = p.img % 10 AND q.x = p.x + p.img % 3 AND q.y = p.y + p.img % 4) WHERE x < 4 AND y < 4) SELECT o.img, bool_or(o.v IS DISTINCT FROM p.v) AS differs FROM o LEFT JOIN p ON p.img = o.room AND p.x = o.x + ox AND p.y = o.y + oy GROUP BY 1")
+def q53_classify_diff(spark, sf_dir):
+    px = _e8(spark, sf_dir)
+    img = F.col("img")
+    o = px.where("x < 4 AND y < 4").withColumns({"room": img % 10, "ox": (img % 3).cast("int"), "oy": (img % 4).cast("int")})
+    rooms = px.where("img < 10").select(img.alias("room"), "y", "x", "v")
+    beneath = rooms.select("room", F.col("y").alias("ry"), F.col("x").alias("rx"), F.col("v").alias("r"))
+    copied = o.withColumns({"ry": F.col("y") + F.col("oy"), "rx": F.col("x") + F.col("ox")}).join(beneath, ["room", "ry", "rx"], "left").drop("ry", "rx")
+    return pixels.differs(copied.withColumn("v", F.when(img % 7 < 3, F.col("r")).otherwise(F.col("v"))).drop("r"), rooms, ["img"])
+
+
+STITCH_SQL = "SELECT img // 4 AS img, CAST(img % 4 AS INTEGER) AS win, CAST(img % 4 // 2 * 5 + y AS INTEGER) AS y, CAST(img % 2 * 5 + x AS INTEGER) AS x, v, CAST(img % 4 // 2 * 6 AS INTEGER) AS from_y, CAST(img % 2 * 6 AS INTEGER) AS from_x FROM p"
+
+
+@query(f"WITH p AS ({E8_SQL}), w AS ({STITCH_SQL}) SELECT img, y, x, arg_max(v, win) AS v FROM w WHERE y >= from_y AND x >= from_x GROUP BY 1, 2, 3")
+def q54_stitch_last_wins(spark, sf_dir):
+    img = F.col("img")
+    row, col = F.floor(img % 4 / 2).cast("int"), (img % 2).cast("int")
+    renders = _e8(spark, sf_dir).select(F.floor(img / 4).alias("img"), (img % 4).cast("int").alias("window"), (row * 5 + F.col("y")).alias("y"), (col * 5 + F.col("x")).alias("x"), "v", (row * 6).alias("from_y"), (col * 6).alias("from_x"))
+    return pixels.stitched(renders)
+
+
+@query(f"WITH p AS ({E8_SQL}), q AS ({PADDED}) SELECT c.img, c.y, c.x, c.v, sum(q.v) FILTER (abs(q.v - c.v) <= 64)::INTEGER AS total, count(*) FILTER (abs(q.v - c.v) <= 64)::INTEGER AS n FROM p c JOIN q ON q.img = c.img AND q.y BETWEEN c.y - 1 AND c.y + 1 AND q.x BETWEEN c.x - 1 AND c.x + 1 GROUP BY 1, 2, 3, 4")
+def q55_smoothed(spark, sf_dir):
+    return pixels.smoothed(_e8(spark, sf_dir), 64)
+
+
+@query("SELECT o_orderkey AS img, CASE WHEN o_custkey % 5 = 0 THEN 4294967295 ELSE o_orderkey % 256 * 65536 + o_custkey % 256 * 256 + 7 END AS key, CAST((299 * (o_orderkey % 256) + 587 * (o_custkey % 256) + 114 * 7) // 1000 AS INTEGER) AS luma FROM orders")
+def q56_colour_keys(spark, sf_dir):
+    r, g, b = F.col("o_orderkey") % 256, F.col("o_custkey") % 256, F.lit(7)
+    return read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("img"), pixels.colour_key(r, g, b, F.col("o_custkey") % 5).alias("key"), pixels.luminance(r, g, b).alias("luma"))
+
+
+@query("SELECT o_orderkey AS key, CAST(n AS INTEGER) AS n, 41 + CAST(n AS INTEGER) AS seed, CAST(count(*) FILTER (o_orderstatus <> 'P') OVER (PARTITION BY o_custkey ORDER BY n) AS BIGINT) AS judged FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS n FROM orders)")
+def q72_seed_schedule(spark, sf_dir):
+    a = attempts.numbered(read(spark, sf_dir, "orders"), "o_custkey", "o_orderdate", "o_orderkey")
+    judged = F.count_if(F.col("o_orderstatus") != "P").over(Window.partitionBy("o_custkey").orderBy("n"))
+    return a.select(F.col("o_orderkey").alias("key"), "n", attempts.seed(F.col("n")).alias("seed"), judged.alias("judged"))
