@@ -533,3 +533,149 @@ def q72_seed_schedule(spark, sf_dir):
     a = attempts.numbered(read(spark, sf_dir, "orders"), "o_custkey", "o_orderdate", "o_orderkey")
     judged = F.count_if(F.col("o_orderstatus") != "P").over(Window.partitionBy("o_custkey").orderBy("n"))
     return a.select(F.col("o_orderkey").alias("key"), "n", attempts.seed(F.col("n")).alias("seed"), judged.alias("judged"))
+
+
+# ---- containers and codecs ---------------------------------------------------------------------
+
+
+@query("SELECT l_orderkey AS file, 'LI0' || l_linenumber AS tag, CAST(8 + length(CAST(l_partkey AS VARCHAR)) AS BIGINT) AS size, CAST(l_partkey AS VARCHAR) AS payload FROM lineitem")
+def q60_chunk_roundtrip(spark, sf_dir):
+    from strataframe.sources.container import register_chunks
+
+    register_chunks(spark)
+    payload = F.col("l_partkey").cast("string").cast("binary")
+    size = F.unhex(F.lpad(F.hex(F.length(payload) + 8), 8, "0"))
+    chunk = F.concat(F.concat(F.lit("LI0"), F.col("l_linenumber")).cast("binary"), size, payload)
+    lines = read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("file"), F.hex(chunk).alias("chunk"))
+    files = lines.groupBy("file").agg(F.unhex(F.array_join(F.array_sort(F.collect_list("chunk")), "")).alias("content"))
+    return spark.sql("SELECT file, c.tag, c.size, CAST(substring(content, c.off + 9, c.size - 8) AS STRING) AS payload FROM {files}, LATERAL chunks(content, true, false) c", files=files)
+
+
+def _names(spark, sf_dir, there_and_back):
+    def run(frames):
+        for f in frames:
+            yield f.assign(p_name=[there_and_back(n.encode()).decode() for n in f["p_name"]])
+
+    return read(spark, sf_dir, "part").select("p_partkey", "p_name").mapInPandas(run, "p_partkey long, p_name string")
+
+
+@query("SELECT p_partkey, p_name FROM part")
+def q61_rle_roundtrip(spark, sf_dir):
+    from strataframe.sources import codecs, encoders
+
+    return _names(spark, sf_dir, lambda b: codecs.run_length_rows(encoders.run_length_rows(b, len(b)), 0, len(b), 1).tobytes())
+
+
+@query("SELECT p_partkey, p_name FROM part")
+def q62_span_roundtrip(spark, sf_dir):
+    from strataframe.sources import codecs, encoders
+
+    return _names(spark, sf_dir, lambda b: codecs.span_rows(encoders.span_rows(b, len(b), b[0]), len(b), 1, b[0]).tobytes())
+
+
+def _pixel_rows(spark, sf_dir, back):
+    """E8 pixels after back(img, 64 bytes) -> 64 bytes or an error text."""
+
+    def run(frames):
+        import pandas as pd
+
+        for f in frames:
+            rows = []
+            for img, values in zip(f["img"], f["v"], strict=True):
+                try:
+                    rows += [(img, i // 8, i % 8, v, None) for i, v in enumerate(back(img, bytes(values.tolist())))]
+                except ValueError as e:
+                    rows.append((img, None, None, None, str(e)))
+            yield pd.DataFrame(rows, columns=["img", "y", "x", "v", "error"]).astype({"y": "Int32", "x": "Int32", "v": "Int32"})
+
+    v = F.transform("embedding", lambda e: F.least(F.lit(255), F.greatest(F.lit(0), F.floor(e.cast("double") * 128 + 128))).cast("int"))
+    return read(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("img"), v.alias("v")).mapInPandas(run, "img long, y int, x int, v int, error string")
+
+
+CLAMPED_SQL = f"SELECT img, y, x, least(255, greatest(0, v)) AS v FROM ({E8_SQL})"
+
+
+def _strip_block(code: int, raster: bytes) -> bytes:
+    import numpy as np
+
+    from strataframe.sources import codecs, encoders
+
+    codec = codecs.STRIP_CODECS[code]
+    flat = np.frombuffer(raster, np.uint8).reshape(8, 8).T.tobytes() if codec.by_column else raster
+    return encoders.block([bytes([code]) + {codecs.stepped: encoders.stepped, codecs.spread: encoders.spread}.get(codec.pixels, bytes)(flat)])
+
+
+@query(f"SELECT img, y, x, CASE WHEN img % 8 IN (3, 4, 6, 7) AND v = 128 THEN 0 ELSE v END AS v FROM ({CLAMPED_SQL})")
+def q63_bitpack_roundtrip(spark, sf_dir):
+    from strataframe.sources import codecs
+
+    codes = (1, 18, 28, 38, 48, 68, 88, 128)
+    return _pixel_rows(spark, sf_dir, lambda img, b: codecs.strips(_strip_block(codes[img % 8], b), 8, 8, 128)[0].tobytes()).drop("error")
+
+
+@query(f"SELECT img, y, x, CAST(v // 16 AS INTEGER) AS v FROM ({CLAMPED_SQL})")
+def q64_column_rle_roundtrip(spark, sf_dir):
+    from strataframe.sources import codecs, encoders
+
+    def back(img, b):
+        low = bytes(p // 16 for p in b)
+        return codecs.column_runs(encoders.nibbles(b"".join(low[x::8] for x in range(8)), 16), 0, 8, 8, 16).tobytes()
+
+    return _pixel_rows(spark, sf_dir, back).drop("error")
+
+
+@query("SELECT vec_id AS img, CASE WHEN vec_id % 7 = 0 THEN 'unsupported SMAP codec' WHEN vec_id % 7 = 1 THEN 'SMAP strip offset out of range' END AS error, CASE WHEN vec_id % 7 > 1 THEN 64 ELSE 0 END::BIGINT AS pixels FROM embeddings")
+def q65_dead_letter(spark, sf_dir):
+    from strataframe.sources import codecs
+
+    def back(img, b):
+        block = bytearray(_strip_block(28, b))
+        if img % 7 == 0:
+            block[12] = 134
+        if img % 7 == 1:
+            block[8:12] = b"\xff\xff\x00\x00"
+        return codecs.strips(bytes(block), 8, 8, 255)[0].tobytes()
+
+    return _pixel_rows(spark, sf_dir, back).groupBy("img").agg(F.max("error").alias("error"), F.count("v").alias("pixels"))
+
+
+@query(f"WITH p AS ({CLAMPED_SQL}) SELECT img, count(*) FILTER (v = first) AS transparent, TRUE AS same_colours FROM (SELECT *, first_value(v) OVER (PARTITION BY img ORDER BY y, x) AS first FROM p) GROUP BY 1")
+def q66_transparent_swap(spark, sf_dir):
+    from strataframe.sources import codecs
+
+    palette = bytes((i * 7 + c * 85) % 256 for i in range(256) for c in range(3))
+
+    def back(img, b):
+        index, colours = codecs.without_transparent_colour(b, palette, b[0])
+        same = all(palette[3 * o : 3 * o + 3] == colours[3 * n : 3 * n + 3] for o, n in zip(b, index, strict=True) if o != b[0])
+        return bytes(n + 0 if same else 255 for n in index)
+
+    px = _pixel_rows(spark, sf_dir, back)
+    return px.groupBy("img").agg(F.count_if(F.col("v") == 0).alias("transparent"), (F.min("v") == 0).alias("same_colours"))
+
+
+@query("""WITH c(code, name) AS (SELECT 1, 'raw' UNION ALL SELECT f + i, n FROM (VALUES (14, 'stepped by column'), (24, 'stepped'), (34, 'stepped by column, holes'), (44, 'stepped, holes')) t(f, n), range(5) r(i))
+SELECT p_size AS code, p_size || ' ' || coalesce(name, '?') AS label, count(*) AS n FROM part LEFT JOIN c ON c.code = p_size GROUP BY 1, 2""")
+def q67_codec_histogram(spark, sf_dir):
+    from strataframe.sources.codecs import STRIP_CODECS
+
+    names = spark.createDataFrame([(code, c.name) for code, c in STRIP_CODECS.items()], "code int, name string")
+    return manifest.histogram(read(spark, sf_dir, "part"), "p_size", names)
+
+
+@query('SELECT event_id, user_id AS source, CAST(least(255, greatest(0, (100 * 128 + sum(CAST(floor(value) AS BIGINT) * 7 - 400) OVER (PARTITION BY user_id ORDER BY ts, event_id))::BIGINT >> 7)) AS BIGINT) AS level FROM events')
+def q70_palette_delta_state(spark, sf_dir):
+    from strataframe.sources.frames import palette_walk
+
+    def run(frame):
+        frame = frame.sort_values(["ts", "event_id"])
+        return frame[["event_id", "source"]].assign(level=palette_walk(100, frame["delta"].to_numpy()))
+
+    e = read(spark, sf_dir, "events").select("event_id", "ts", F.col("user_id").alias("source"), (F.floor("value") * 7 - 400).alias("delta"))
+    return e.groupBy("source").applyInPandas(run, "event_id long, source long, level long")
+
+
+@query("SELECT event_id, last_value(CASE WHEN event_type = 'view' THEN event_id END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS shown FROM events")
+def q71_frame_carry(spark, sf_dir):
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, 0)
+    return read(spark, sf_dir, "events").select("event_id", F.last(F.when(F.col("event_type") == "view", F.col("event_id")), ignorenulls=True).over(w).alias("shown"))
