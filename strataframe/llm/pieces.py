@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 MARK = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
-CACHE_WORDS, CACHE_PAIRS = 400_000, 500_000
+CACHE_WORDS, CACHE_PAIRS = 600_000, 500_000
 UNIGRAM, BPE = 1, 2
 
 
@@ -41,9 +41,12 @@ class Vocabulary:
     spellings: list[bytes]
     dummy_prefix: bool = True
     endings: dict[str, bool] = field(default_factory=dict)  # of the pieces, and whether they are pieces themselves
+    packed: dict[str, bytes] = field(default_factory=dict)  # ids of the pieces as 32-bit numbers
     pairs: dict[tuple[str, str], bool] = field(default_factory=dict)
+    words: dict[str, bytes] = field(default_factory=dict)
 
     def __post_init__(self):
+        self.packed = {p: np.uint32(i).tobytes() for p, i in self.ids.items()}
         self.endings = dict.fromkeys((p[i:] for p in self.ids for i in range(len(p))), False) | dict.fromkeys(self.ids, True)
         self.lowest = min(self.scores.values(), default=0.0) - 10.0
 
@@ -152,25 +155,24 @@ def _common(a: str, b: str) -> int:
     return n
 
 
-def encode_words(v: Vocabulary, words: Iterable[str]) -> dict[str, list[int]]:
-    """Ids of each distinct word; words that follow each other in order share the table of their common prefix."""
+def encode_words(v: Vocabulary, words: Iterable[str]) -> dict[str, bytes]:
+    """Ids of each distinct word, as 32-bit numbers; words that follow each other in order share their prefix's table."""
     extend = _extend_by_merges if v.kind == BPE else _extend_by_score
+    spelled = v.packed
     out, before, lasts, best = {}, "", [""], [0.0]
     for word in sorted(set(words)):
         shared = _common(before, word)
         del lasts[shared + 1 :], best[shared + 1 :]
         extend(v, word, shared, lasts, best)
-        pieces, end = [], len(word)
+        found, end = [], len(word)
         while end:
-            if not lasts[end]:  # not reached as long as every prefix has its chain
+            piece = lasts[end]
+            if not piece:  # not reached as long as every prefix has its chain
                 raise ValueError(f"no segmentation of {word!r}")
-            pieces.append(lasts[end])
-            end -= len(lasts[end])
-        pieces.reverse()
-        try:
-            out[word] = [v.ids[p] for p in pieces]
-        except KeyError:
-            out[word] = [i for p in pieces for i in _ids(v, p)]
+            found.append(spelled.get(piece) or np.array(_ids(v, piece), np.uint32).tobytes())
+            end -= len(piece)
+        found.reverse()
+        out[word] = b"".join(found)
         before = word
     return out
 
@@ -180,37 +182,37 @@ def marked(v: Vocabulary, text: str) -> list[str]:
     return WORD.findall((MARK if v.dummy_prefix else "") + text.replace(" ", MARK)) if text else []
 
 
-def encode_batch(v: Vocabulary, texts: list[str], cache: dict[str, list[int]] | None = None) -> list[list[int]]:
-    cache = {} if cache is None else cache
+def encode_batch(v: Vocabulary, texts: list[str]) -> list[np.ndarray]:
+    """Ids of each text. The words met lately stay known, up to CACHE_WORDS of them."""
     words = [marked(v, t) for t in texts]
-    new = {w for ws in words for w in ws if w not in cache}
-    if len(cache) + len(new) > CACHE_WORDS:
-        cache.clear()
-        new = {w for ws in words for w in ws}
-    cache |= encode_words(v, new)
-    return [[i for w in ws for i in cache[w]] for ws in words]
+    every = set().union(*words)
+    if len(v.words) + len(every) > CACHE_WORDS:
+        v.words.clear()
+    known = v.words
+    known |= encode_words(v, every.difference(known))
+    return [np.frombuffer(b"".join(map(known.__getitem__, ws)), np.uint32) for ws in words]
 
 
 def decode(v: Vocabulary, ids: Iterable[int]) -> str:
     """The text that ids spell, without the mark in front; bytes that are no UTF-8 become U+FFFD."""
-    raw = b"".join([v.spellings[i] for i in ids])
+    raw = b"".join(map(v.spellings.__getitem__, ids))
     return (raw[1:] if v.dummy_prefix and raw[:1] == b" " else raw).decode("utf-8", "replace")
 
 
-def _coder(v: Vocabulary, with_text: bool):
+def _coder(sent, with_text: bool):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache: dict[str, list[int]] = {}
+        v: Vocabulary = sent.value  # a worker keeps it, and so what it has met, from task to task
         for frame in frames:
             for part in _parts(frame):
                 known = part["text"].notna().to_numpy()
-                ids = encode_batch(v, [t for t, k in zip(part["text"], known, strict=True) if k], cache)
+                ids = encode_batch(v, [t for t, k in zip(part["text"], known, strict=True) if k])
                 row = iter(ids)
                 all_ids = [next(row) if k else None for k in known]
                 out = part.drop(columns=["text"])
                 out["n_tokens"] = [len(x) if x is not None else 0 for x in all_ids]
-                out["ids"] = [np.array(x, np.int32) if x is not None else None for x in all_ids]
+                out["ids"] = [x.view(np.int32) if x is not None else None for x in all_ids]
                 if with_text:
-                    out["decoded"] = [decode(v, x) if x is not None else None for x in all_ids]
+                    out["decoded"] = [decode(v, x.tolist()) if x is not None else None for x in all_ids]
                 yield out
 
     return run
@@ -229,6 +231,7 @@ def encode_documents(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "t
     A null text has null ids, an empty one no ids. decoded equals the text, but for marks in it, which become spaces.
     Repeated rows, null ids and any other columns do no harm; an empty table gives no row.
     """
+    sent = docs.sparkSession.sparkContext.broadcast(vocabulary)  # one vocabulary, whatever the data
     kept = docs.select(*keep, F.col(text_col).alias("text"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields if f.name != "text") + ", n_tokens long, ids array<int>" + ", decoded string" * with_text
-    return kept.mapInPandas(_coder(vocabulary, with_text), schema)
+    return kept.mapInPandas(_coder(sent, with_text), schema)

@@ -2,6 +2,7 @@ import itertools
 import os
 import random
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -31,14 +32,14 @@ WORDS = st.sampled_from(["the ", " and", "tion", "  ", "\n", "\t", "é", "中",
 def test_equals_the_public_coder(v, reference_coder, texts):
     texts = [t.replace(pieces.MARK, "_").replace("\x00", "") for t in texts]
     got = pieces.encode_batch(v, texts)
-    assert got == [reference_coder.encode(t) for t in texts]
+    assert [x.tolist() for x in got] == [reference_coder.encode(t) for t in texts]
     assert [pieces.decode(v, ids) for ids in got] == texts
 
 
 def test_long_words(v, reference_coder):
     rng = random.Random(1)
     texts = ["x" * 5000, " " * 300, "".join(rng.choice("abcdefghinorst") for _ in range(4000)), "ab" * 3000, "1" * 999]
-    assert pieces.encode_batch(v, texts) == [reference_coder.encode(t) for t in texts]
+    assert [x.tolist() for x in pieces.encode_batch(v, texts)] == [reference_coder.encode(t) for t in texts]
 
 
 def test_shared_prefixes_are_searched_once(v, monkeypatch):
@@ -61,7 +62,8 @@ def test_unigram_is_the_best_path():
         return max((sum(scores[p] for p in w), [v.ids[p] for p in w]) for w in ways if all(p in scores for p in w))
 
     words = ["".join(p) for n in range(1, 8) for p in itertools.product("ab", repeat=n)]
-    for w, ids in pieces.encode_words(v, words).items():
+    for w, packed in pieces.encode_words(v, words).items():
+        ids = np.frombuffer(packed, np.uint32).tolist()
         names = {i: p for p, i in v.ids.items()}
         assert sum(scores[names[i]] for i in ids) == pytest.approx(best(w)[0]) and "".join(names[i] for i in ids) == w
 
@@ -78,6 +80,5 @@ def test_documents(spark, v, reference_coder):
 def test_small_cache(v, monkeypatch):
     monkeypatch.setattr(pieces, "CACHE_WORDS", 2)
     monkeypatch.setattr(pieces, "CACHE_PAIRS", 3)
-    cache = {}
     texts = ["one two three", "four five", "one six"]
-    assert [pieces.encode_batch(v, [t], cache) for t in texts] == [pieces.encode_batch(v, [t]) for t in texts]
+    assert [pieces.encode_batch(v, [t])[0].tolist() for t in texts] == [x.tolist() for x in pieces.encode_batch(pieces.load(), texts)]
