@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 #: Multiples that spans start at, least overlap, size of a window, growth and least size of a context box.
 ALIGN, OVERLAP, WIDTH, HEIGHT = 8, 64, 320, 240
-CONTEXT_MARGIN, CONTEXT_MIN = 48, 128
+CONTEXT_MARGIN, CONTEXT_MIN = 32, 128
 SCALE = 4
 
 

@@ -479,8 +479,8 @@ def q51_window_grid(spark, sf_dir):
 
 def _context_sql(at: str, length: str, whole: str) -> str:
     limit = f"(ceil({whole} / 8) * 8)"
-    a = f"greatest(0, floor(({at} - 48) / 8) * 8)"
-    b = f"least({limit}, ceil(({at} + {length} + 48) / 8) * 8)"
+    a = f"greatest(0, floor(({at} - 32) / 8) * 8)"
+    b = f"least({limit}, ceil(({at} + {length} + 32) / 8) * 8)"
     a2 = f"CASE WHEN {b} - {a} >= 128 THEN {a} ELSE greatest(0, {a} - 8 * ceil((128 - ({b} - {a})) / 2 / 8)) END"
     b2 = f"CASE WHEN {b} - {a} >= 128 THEN {b} ELSE least({limit}, greatest({b}, {a2} + 128)) END"
     a3 = f"CASE WHEN {b} - {a} >= 128 THEN {a} ELSE greatest(0, least({a2}, {b2} - 128)) END"
