@@ -124,3 +124,13 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents")
     return predict(docs, fit(docs)).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strataframe.llm.licenses import scan_licenses
+
+    found = scan_licenses(table(spark, sf_dir, "documents"))
+    names = F.array_sort(F.array_distinct(F.transform("findings", lambda f: f["license"])))
+    best = F.array_max(F.transform("findings", lambda f: f["coverage"]))
+    return found.select("doc_id", "n_words", F.array_join(names, ",").alias("licenses"), F.coalesce(best, F.lit(0.0)).alias("coverage"), F.size("findings").cast("long").alias("n_findings"))
