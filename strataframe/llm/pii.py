@@ -13,6 +13,7 @@ from __future__ import annotations
 import hashlib
 import hmac
 from collections.abc import Callable
+from functools import reduce
 from itertools import chain
 
 from pyspark.sql import Column, DataFrame
@@ -38,8 +39,8 @@ FAMILY = {
 TITLES = "Mr Mrs Ms Miss Dr Prof Herr Frau Monsieur Madame Mme Mlle Señor Señora Sra Г-н Г-жа Господин Госпожа Κύριος Κυρία".split()
 #: First and last code points of the classes within which a character moves.
 RANGES = [(0x30, 0x39), (0x61, 0x7A), (0xE0, 0xF6), (0xF8, 0xFF), (0x3B1, 0x3C9), (0x430, 0x44F), (0x5D0, 0x5EA), (0x627, 0x63A), (0x641, 0x64A), (0x905, 0x939), (0x3041, 0x3096), (0x30A1, 0x30FA), (0x4E00, 0x9FA5), (0xAC00, 0xD7A3)]
-VOWELS, CONSONANTS = "aeiou", "bcdfghjklmnpqrstvwxyz"
-CYRILLIC_VOWELS, CYRILLIC_CONSONANTS = "аеиоуыэюя", "бвгджзйклмнпрстфхцчшщ"
+#: Classes narrower than the ranges: none, hexadecimal digits, vowels and consonants of names.
+ALPHABETS = ((), ("0123456789abcdef",), ("aeiou", "bcdfghjklmnpqrstvwxyz", "аеиоуыэюя", "бвгджзйклмнпрстфхцчшщ"))
 LONG = 64  # characters from which a replacement takes one hash of the whole entity instead of one a character
 
 _WORD = r"\p{Lu}[\p{L}'’\-]+"
@@ -61,6 +62,8 @@ PATTERNS = {
 }
 START = r"(?<![\p{L}\p{N}_])"
 ANY = START + "(?:" + "|".join(PATTERNS.values()) + ")"
+_KEY_PREFIX = "^(?:AKIA|gh[pousr]_|sk-)"
+_HEX = "^(?:[0-9a-f]{16,}|[0-9A-F]{16,})$"
 _TITLE = rf"^(?:{'|'.join(TITLES)})\.? "
 
 
@@ -78,40 +81,42 @@ def _amount(s: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(F.sha2(s.cast("binary"), 256)), 8)
 
 
-def _moved(c: Column, by: Column, alphabets: tuple[str, ...]) -> Column:
-    """Character c moved within its alphabet or range; others stay."""
-    code = F.ascii(c)
-    out = c
-    for low, high in reversed(RANGES):
-        to = F.lit(low) + F.pmod(code - low + by, F.lit(high - low + 1))
-        char = F.char(to) if high < 0x80 else F.decode(F.unhex(F.lpad(F.hex(to), 4, "0")), "UTF-16BE")
-        out = F.when(code.between(low, high), char).otherwise(out)
-    for a in alphabets:
-        at = F.instr(F.lit(a), c)
-        out = F.when(at > 0, F.substr(F.lit(a), (F.pmod(at - 1 + by, F.lit(len(a))) + 1).cast("int"), F.lit(1))).otherwise(out)
-    return out
+def _moved(c: Column, by: Column, alphabet: Column) -> Column:
+    """Character c moved within the first of the ALPHABETS at place alphabet that has it, or else within its range."""
+    code_range = lambda code: reduce(lambda out, r: F.when(code.between(*r), F.struct(F.lit(r[0]).alias("low"), F.lit(r[1] - r[0] + 1).alias("size"))).otherwise(out), RANGES, F.lit(None).cast("struct<low:int,size:int>"))
+    char = lambda n: F.decode(F.unhex(F.lpad(F.hex(n), 4, "0")), "UTF-16BE")
+    by_range = let(F.ascii(c), lambda code: let(code_range(code), lambda r: F.when(r.isNull(), c).otherwise(char(r["low"] + F.pmod(code - r["low"] + by, r["size"])))))
+    letters = F.get(F.filter(F.get(F.array(*[F.array(*[F.lit(x) for x in a]).cast("array<string>") for a in ALPHABETS]), alphabet), lambda a: F.instr(a, c) > 0), F.lit(0))
+    turned = lambda a: F.substr(a, (F.pmod(F.instr(a, c) - 1 + by, F.length(a)) + 1).cast("int"), F.lit(1))
+    return let(letters, lambda a: F.when(a.isNotNull(), turned(a)).otherwise(by_range))
 
 
-def _pass(s: Column, tweak: Column, alphabets: tuple[str, ...]) -> Column:
+def _pass(s: Column, tweak: Column, alphabet: Column) -> Column:
     """Moves each character by a keyed hash of the moved ones before it: can be undone, so a permutation."""
-    return F.aggregate(_chars(s), F.lit(""), lambda done, c: F.concat(done, _moved(c, _amount(F.concat(tweak, done)), alphabets)))
+    return F.aggregate(_chars(s), F.lit(""), lambda done, c: F.concat(done, let(_amount(F.concat(tweak, done)), lambda by: _moved(c, by, alphabet))))
 
 
-def permuted(s: Column, tweak: Column, alphabets: tuple[str, ...] = ()) -> Column:
+def permuted(s: Column, tweak: Column, alphabet: Column) -> Column:
     """s with every letter and digit moved within its class: one keyed permutation for all strings of a format.
 
     Strings of LONG characters or more are moved by a hash of the whole string; that two of them become one is as
     unlikely as a clash of hashes.
     """
-    short = F.reverse(_pass(F.reverse(_pass(s, F.concat(tweak, F.lit("|>|")), alphabets)), F.concat(tweak, F.lit("|<|")), alphabets))
-    long = let(F.sha2(F.concat(tweak, s).cast("binary"), 256), lambda d: F.array_join(F.transform(_chars(s), lambda c, i: _moved(c, F.shiftrightunsigned(F.xxhash64(d, i), 8), alphabets)), ""))
-    return F.when(F.length(s) < LONG, short).otherwise(long)
+
+    def both(s: Column) -> Column:
+        # from the left, then from the right: one expression, run over the two directions
+        turn = lambda done, way: F.reverse(_pass(done, F.concat(tweak, way), alphabet))
+        short = F.aggregate(F.array(F.lit("|>|"), F.lit("|<|")), s, turn)
+        long = let(F.sha2(F.concat(tweak, s).cast("binary"), 256), lambda d: F.array_join(F.transform(_chars(s), lambda c, i: _moved(c, F.shiftrightunsigned(F.xxhash64(d, i), 8), alphabet)), ""))
+        return F.when(F.length(s) < LONG, short).otherwise(long)
+
+    return let(s, both)
 
 
 def _cased(out: Column, like: Column) -> Column:
     """out, upper case where like is."""
-    zipped = F.zip_with(_chars(out), _chars(like), lambda o, c: F.when((F.lower(c) != c) & (F.length(F.upper(o)) == 1), F.upper(o)).otherwise(o))
-    return F.when(like == F.lower(like), out).otherwise(F.array_join(zipped, ""))
+    zipped = lambda out: F.zip_with(_chars(out), _chars(like), lambda o, c: F.when((F.lower(c) != c) & (F.length(F.upper(o)) == 1), F.upper(o)).otherwise(o))
+    return let(out, lambda o: F.when(like == F.lower(like), o).otherwise(F.array_join(zipped(o), "")))
 
 
 def _filled(raw: Column, digits: Column) -> Column:
@@ -163,79 +168,114 @@ def normal_form(kind: Column, raw: Column) -> Column:
     return out
 
 
-def _name(raw: Column, tweak: Column, key: str) -> Column:
-    """Word by word: listed names along their cycle, others permuted within vowels and consonants, past listed ones."""
-    listed: dict[str, str] = {}
+def listed_names(key: str) -> dict[str, str]:
+    """The successor of each listed given and family name; a name that is listed twice has its first place."""
+    out: dict[str, str] = {}
     for k, names in GIVEN.items():
-        listed |= cycle(names, key, "/".join(k))
+        out |= cycle(names, key, "/".join(k))
     for k, names in FAMILY.items():
-        listed |= {n: to for n, to in cycle(names, key, k).items() if n not in listed and to not in listed}
-    known = F.create_map(*[F.lit(x) for x in chain.from_iterable(listed.items())])
-    reserved = F.array(*[F.lit(n) for n in listed])
-    alphabets = (VOWELS, CONSONANTS, CYRILLIC_VOWELS, CYRILLIC_CONSONANTS)
+        out |= cycle([n for n in names if n.lower() not in out], key, k)
+    return out
+
+
+def _part(s: Column, tweak: Column, alphabet: Column | int = 0) -> Column:
+    return F.struct(s.alias("s"), tweak.alias("t"), (F.lit(alphabet) if isinstance(alphabet, int) else alphabet).alias("a"))
+
+
+def _name_words(raw: Column) -> Column:
+    """The words of a name after its title."""
+    return F.split(F.regexp_replace(raw, _TITLE, ""), " ")
+
+
+def _ending(word: Column) -> Column:
+    """The ending of a family name that tells its gender."""
+    return F.regexp_extract(word, "(?<=\\p{L}\\p{L})(ова|ева|ина|ская|цкая|ов|ев|ин|ский|цкий)$", 1)
+
+
+def _parts(kind: Column, raw: Column) -> Column:
+    """What of an entity is moved: array of (string, tweak, alphabet)."""
+    low, digits = F.lower(raw), _digits(raw)
+    domain = F.substring_index(low, "@", -1)
+    name = F.regexp_replace(domain, r"\.[^.]*$", "")
+    secret = F.regexp_extract(raw, rf"(?s)^{_SECRET_LABEL}(.*)$", 1)
+    key = F.regexp_replace(raw, _KEY_PREFIX, "")
+    # values in which upper and lower case differ are other values: what is upper case goes into the tweak
+    value = lambda v: _part(F.lower(v), F.when(v.rlike(_HEX), "").otherwise(F.regexp_replace(v, r"[^\p{Lu}]", "~")), F.when(v.rlike(_HEX), 1).otherwise(0))
+    none = F.lit("")
+    words = F.transform(F.transform(_name_words(raw), F.lower), lambda w: let(_ending(w), lambda e: _part(F.substr(w, F.lit(1), F.length(w) - F.length(e)), e, 2)))
+    by_kind = {
+        "EMAIL": F.array(_part(F.substring_index(low, "@", 1), F.lit("local")), _part(name, F.lit("domain"))),
+        "SECRET": F.array(value(secret)),
+        "KEY": F.array(value(key)),
+        "IBAN": F.array(_part(F.lower(F.regexp_replace(F.substr(raw, F.lit(3), F.length(raw)), " ", "")), F.substr(raw, F.lit(1), F.lit(2)))),
+        "IPV6": F.array(_part(low, none, 1)),
+        "MAC": F.array(_part(F.regexp_replace(low, "-", ":"), none, 1)),
+        "CARD": F.array(_part(F.substr(digits, F.lit(1), F.length(digits) - 1), none)),
+        "SSN": F.array(_part(digits, none)),
+        "PHONE": F.array(_part(F.substr(digits, _kept(digits) + 1, F.lit(10)), none)),
+        "NAME": words,
+    }
+    out = F.array().cast("array<struct<s:string,t:string,a:int>>")
+    for k, form in by_kind.items():
+        out = F.when(kind == k, form).otherwise(out)
+    return out
 
-    def other(w: Column) -> Column:
-        ending = F.regexp_extract(w, "(?<=\\p{L}\\p{L})(ова|ева|ина|ская|цкая|ов|ев|ин|ский|цкий)$", 1)  # it tells the gender
-        once = lambda s: F.concat(permuted(F.substr(s, F.lit(1), F.length(s) - F.length(ending)), F.concat(tweak, F.lit("|name|"), ending), alphabets), ending)
-        return F.aggregate(F.sequence(F.lit(1), F.lit(4)), once(w), lambda s, _: F.when(F.array_contains(reserved, s), once(s)).otherwise(s))
 
-    title = F.regexp_extract(raw, _TITLE, 0)
-    rest = F.substr(raw, F.length(title) + 1, F.length(raw))
-    word = lambda w: let(F.lower(w), lambda lower: F.coalesce(F.element_at(known, lower), other(lower)))
-    cased = lambda out, w: F.when((F.length(w) > 1) & (w == F.upper(w)), F.upper(out)).otherwise(F.concat(F.upper(F.substr(out, F.lit(1), F.lit(1))), F.substr(out, F.lit(2), F.length(out))))
-    return F.concat(title, F.array_join(F.transform(F.split(rest, " "), lambda w: cased(word(w), w)), " "))
+def _kept(digits: Column) -> Column:
+    """Leading digits of a phone number that stay: the country's."""
+    return F.greatest(F.length(digits) - 10, F.lit(0))
 
 
 def surrogate(kind: Column, raw: Column, key: str, attempt: Column) -> Column:
     """The replacement of an entity; attempt tells apart entities whose replacements clashed."""
     tweak = F.concat_ws("|", F.lit(key), attempt.cast("string"), kind)
-    low = F.lower(raw)
-
-    def email() -> Column:
-        domain = F.substring_index(low, "@", -1)
-        last = F.substring_index(domain, ".", -1)
-        name = F.substr(domain, F.lit(1), F.length(domain) - F.length(last) - 1)
-        return F.concat(permuted(F.substring_index(low, "@", 1), F.concat(tweak, F.lit("|local"))), F.lit("@"), permuted(name, F.concat(tweak, F.lit("|domain"))), F.lit("."), last)
-
-    def secret() -> Column:
-        value = normal_form(F.lit("SECRET"), raw)
-        return F.concat(F.substr(raw, F.lit(1), F.length(raw) - F.length(value)), _cased(hexed(value), value))
+    listed = listed_names(key)
+    known = F.create_map(*[F.lit(x) for x in chain.from_iterable(listed.items())])
 
-    def hexed(value: Column) -> Column:
-        alike = ("0123456789abcdef",)
-        return F.when(value.rlike("^(?:[0-9a-f]{16,}|[0-9A-F]{16,})$"), permuted(F.lower(value), tweak, alike)).otherwise(permuted(F.lower(value), F.concat(tweak, F.regexp_replace(value, "[^A-Z]", "")), ()))
+    def moved(p: Column) -> Column:
+        """A part moved; a name that would become a listed one moves on."""
+        once = lambda s: permuted(s, F.concat(tweak, F.lit("|"), p["t"]), p["a"])
+        step = lambda s, i: F.when((i == 0) | ((p["a"] == 2) & F.element_at(known, F.concat(s, p["t"])).isNotNull()), once(s)).otherwise(s)
+        return F.aggregate(F.sequence(F.lit(0), F.lit(4)), p["s"], step)
 
     def address() -> Column:
         parts = F.transform(F.split(raw, r"\."), lambda o: o.cast("int"))
-        run = lambda of, name: F.aggregate(of, F.array().cast("array<int>"), lambda done, o: F.concat(done, F.array(F.pmod(o + _amount(F.concat(tweak, F.lit(name), F.array_join(done.cast("array<string>"), "."))), F.lit(256)).cast("int"))))
-        return F.array_join(F.reverse(run(F.reverse(run(parts, "|>|")), "|<|")).cast("array<string>"), ".")
+        move = lambda done, o, way: F.concat(done, F.array(F.pmod(o + _amount(F.concat(tweak, way, F.array_join(done.cast("array<string>"), "."))), F.lit(256)).cast("int")))
+        turn = lambda octets, way: F.reverse(F.aggregate(octets, F.array().cast("array<int>"), lambda done, o: move(done, o, way)))
+        return F.array_join(F.aggregate(F.array(F.lit("|>|"), F.lit("|<|")), parts, turn).cast("array<string>"), ".")
 
-    def card() -> Column:
+    def card(p: Column) -> Column:
         payload = lambda d: F.substr(d, F.lit(1), F.length(d) - 1)
         gap = lambda d: F.pmod(F.substr(d, F.length(d), F.lit(1)).cast("int") - _luhn(payload(d)), F.lit(10))
-        return let(_digits(raw), lambda d: let(permuted(payload(d), tweak), lambda p: _filled(raw, F.concat(p, F.pmod(_luhn(p) + gap(d), F.lit(10)).cast("string")))))
-
-    def phone() -> Column:
-        kept = lambda d: F.greatest(F.length(d) - 10, F.lit(0))
-        return let(_digits(raw), lambda d: _filled(raw, F.concat(F.substr(d, F.lit(1), kept(d)), permuted(F.substr(d, kept(d) + 1, F.lit(10)), tweak))))
-
-    by_kind = {
-        "EMAIL": _cased(email(), raw),
-        "SECRET": secret(),
-        "KEY": F.concat(F.regexp_extract(raw, "^(AKIA|gh[pousr]_|sk-)?", 1), let(F.regexp_replace(raw, "^(AKIA|gh[pousr]_|sk-)", ""), lambda v: _cased(hexed(v), v))),
-        "IBAN": F.concat(F.substr(raw, F.lit(1), F.lit(2)), let(F.substr(raw, F.lit(3), F.length(raw)), lambda v: spread(v, F.upper(permuted(F.lower(F.regexp_replace(v, " ", "")), F.concat(tweak, F.substr(raw, F.lit(1), F.lit(2)))))))),
-        "IPV6": _cased(permuted(low, tweak, ("0123456789abcdef",)), raw),
-        "MAC": let(permuted(F.regexp_replace(low, "-", ":"), tweak, ("0123456789abcdef",)), lambda m: _cased(F.when(raw.contains("-"), F.regexp_replace(m, ":", "-")).otherwise(m), raw)),
-        "IP": address(),
-        "CARD": card(),
-        "SSN": _filled(raw, permuted(_digits(raw), tweak)),
-        "PHONE": phone(),
-        "NAME": _name(raw, F.concat_ws("|", F.lit(key), attempt.cast("string")), key),
-    }
-    out = raw
-    for k, form in by_kind.items():
-        out = F.when(kind == k, form).otherwise(out)
-    return out
+        return F.concat(p, F.pmod(_luhn(p) + gap(_digits(raw)), F.lit(10)).cast("string"))
+
+    def name(m: Column) -> Column:
+        """Word by word: listed names along their cycle, others moved, past listed ones."""
+        cased = lambda out, w: F.when((F.length(w) > 1) & (w == F.upper(w)), F.upper(out)).otherwise(F.concat(F.upper(F.substr(out, F.lit(1), F.lit(1))), F.substr(out, F.lit(2), F.length(out))))
+        word = lambda w, s: let(F.coalesce(F.element_at(known, F.lower(w)), F.concat(s, _ending(F.lower(w)))), lambda o: cased(o, w))
+        return F.concat(F.regexp_extract(raw, _TITLE, 0), F.array_join(F.zip_with(_name_words(raw), m, word), " "))
+
+    def put_together(m: Column) -> Column:
+        one = F.get(m, F.lit(0))
+        label = lambda v: F.substr(raw, F.lit(1), F.length(raw) - F.length(v))
+        of_value = lambda v: F.concat(label(v), _cased(one, v))
+        digits = F.when(kind == "CARD", card(one)).when(kind == "PHONE", F.concat(F.substr(_digits(raw), F.lit(1), _kept(_digits(raw))), one)).otherwise(one)
+        by_kind = {
+            "EMAIL": _cased(F.concat(one, F.lit("@"), F.get(m, F.lit(1)), F.regexp_extract(raw, r"\.[^.]*$", 0)), raw),
+            "SECRET": let(F.regexp_extract(raw, rf"(?s)^{_SECRET_LABEL}(.*)$", 1), of_value),
+            "KEY": let(F.regexp_replace(raw, _KEY_PREFIX, ""), of_value),
+            "IBAN": F.concat(F.substr(raw, F.lit(1), F.lit(2)), spread(F.substr(raw, F.lit(3), F.length(raw)), F.upper(one))),
+            "IPV6": _cased(one, raw),
+            "MAC": _cased(F.when(raw.contains("-"), F.regexp_replace(one, ":", "-")).otherwise(one), raw),
+            "IP": address(),
+            "NAME": name(m),
+        }
+        out = let(digits, lambda d: _filled(raw, d))
+        for k, form in by_kind.items():
+            out = F.when(kind == k, form).otherwise(out)
+        return out
+
+    return let(F.transform(_parts(kind, raw), moved), put_together)
 
 
 def spread(like: Column, chars: Column) -> Column:

@@ -78,10 +78,10 @@ def test_permutation_is_one_to_one(spark):
     digits = [f"{i:04d}" for i in range(10_000)]
     words = [a + b + c for a in "abcdxyz" for b in "aeiou" for c in "bcdàéж中"]
     df = spark.createDataFrame([(x,) for x in digits + words], "x string")
-    got = {r.x: r.y for r in df.select("x", pii.permuted(F.col("x"), F.lit("k")).alias("y")).collect()}
+    got = {r.x: r.y for r in df.select("x", pii.permuted(F.col("x"), F.lit("k"), F.lit(0)).alias("y")).collect()}
     assert sorted(got[d] for d in digits) == digits and len({got[w] for w in words}) == len(words)
     assert sum(a == b for a, b in got.items()) < 10
-    long = spark.createDataFrame([("q" * 70 + str(i),) for i in range(50)], "x string").select(pii.permuted(F.col("x"), F.lit("k"))).distinct().count()
+    long = spark.createDataFrame([("q" * 70 + str(i),) for i in range(50)], "x string").select(pii.permuted(F.col("x"), F.lit("k"), F.lit(0))).distinct().count()
     assert long == 50
 
 
