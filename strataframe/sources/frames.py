@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pickle
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
@@ -266,41 +265,6 @@ def _frame(rows: list[dict]) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=[c.split()[0] for c in FRAMES.split(", ")]).astype({"frame": "Int64", "offset": "Int64"})
 
 
-def folded(frames: DataFrame, displacements: Sequence[tuple[int, int]] | None = None) -> DataFrame:
-    """(source, frame, index, palette, error) of frame payloads (source, frame, payload), one source at a time in order.
-
-    A source is one group, as each of its frames needs the one before; sources are the parallelism.
-    """
-
-    def run(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        state = FrameState(key[0], displacements or ring_displacements())
-        return _fed(state, frame.sort_values("frame"))
-
-    return frames.groupBy("source").applyInPandas(run, "source string, frame int, index binary, palette binary, error string")
-
-
-def _fed(state: FrameState, frame: pd.DataFrame) -> pd.DataFrame:
-    out = []
-    for n, payload in zip(frame["frame"], frame["payload"], strict=True):
-        try:
-            out.append((state.source, n, *state.feed(bytes(payload)), None))
-        except Exception as e:
-            out.append((state.source, n, None, None, str(e) or type(e).__name__))
-    return pd.DataFrame(out, columns=["source", "frame", "index", "palette", "error"])
-
-
-def streamed(frames: DataFrame, displacements: Sequence[tuple[int, int]] | None = None) -> DataFrame:
-    """folded() for a stream: each source's state is kept between batches; frames of a batch are taken in order."""
-    from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-
-    def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        kept = pickle.loads(state.get[0]) if state.exists else FrameState(key[0], displacements or ring_displacements())
-        yield _fed(kept, pd.concat(list(batches)).sort_values("frame"))
-        state.update((pickle.dumps(kept, protocol=5),))
-
-    return frames.groupBy("source").applyInPandasWithState(run, "source string, frame int, index binary, palette binary, error string", "state binary", "append", GroupStateTimeout.NoTimeout)
-
-
 def palette_walk(start: int, deltas: np.ndarray) -> np.ndarray:
     """Values of one colour channel, from start, as deltas in 1/128 add up; clipped to 0 to 255 as shown, not as kept."""
     return np.clip(((start << 7) + np.cumsum(deltas)) >> 7, 0, 255)

@@ -5,6 +5,7 @@ import pytest
 
 from strataframe.sources import codecs, container, encoders, frames
 from strataframe.sources.encoders import chunk, padded_chunk
+from strataframe.streaming import frames as streaming
 from tests.test_codecs import animation, fade
 
 
@@ -113,11 +114,11 @@ def test_frames_in_batch_and_stream_agree(spark, tmp_path):
     payloads = [fade(0, 128), fade(256), b"", fade(256), fade(0, -256), fade(256)]
     rows = [(s, i, p) for s in ("a", "b") for i, p in enumerate(payloads[: 6 if s == "a" else 3])]
     schema = "source string, frame int, payload binary"
-    batch = frames.folded(spark.createDataFrame(rows[::-1], schema)).collect()
+    batch = streaming.folded(spark.createDataFrame(rows[::-1], schema)).collect()
     for k, part in enumerate((rows[:2] + rows[6:8], rows[2:6] + rows[8:])):
         spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in" / f"{k}"))
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(str(tmp_path / "in"))
-    query = frames.streamed(stream).writeStream.format("memory").queryName("frames_out").outputMode("append").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+    query = streaming.streamed(stream).writeStream.format("memory").queryName("frames_out").outputMode("append").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
     query.awaitTermination(120)
     out = spark.table("frames_out").collect()
     key = lambda rs: sorted((r.source, r.frame, r.palette, r.error) for r in rs)
