@@ -240,12 +240,12 @@ def q24_latest_promoted_asof(spark, sf_dir):
     return attempts.latest_promoted(a, read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("key"), (F.col("c_custkey") % 3).alias("sha")))
 
 
-@query("""WITH a AS (SELECT o_orderkey AS at, o_custkey AS w, o_orderstatus AS s FROM orders WHERE o_orderkey < 14000), b AS (SELECT o_orderkey AS at, CASE WHEN o_orderkey % 7 = 0 THEN -1 ELSE o_custkey END AS w, CASE WHEN o_orderkey % 11 = 0 THEN '?' ELSE o_orderstatus END AS s FROM orders WHERE o_orderkey > 50)
+@query("""WITH a AS (SELECT o_orderkey AS at, o_custkey AS w, o_orderstatus AS s FROM orders), b AS (SELECT CASE WHEN o_orderkey % 101 = 0 THEN -1 - o_orderkey ELSE o_orderkey END AS at, CASE WHEN o_orderkey % 7 = 0 THEN -1 ELSE o_custkey END AS w, CASE WHEN o_orderkey % 11 = 0 THEN '?' ELSE o_orderstatus END AS s FROM orders)
 SELECT coalesce(a.at, b.at) AS at, CASE WHEN a.at IS NULL THEN 'long' WHEN b.at IS NULL THEN 'short' WHEN a.w <> b.w THEN 'w' ELSE 's' END AS difference FROM a FULL JOIN b ON a.at = b.at WHERE a.at IS NULL OR b.at IS NULL OR a.w <> b.w OR a.s <> b.s""")
 def q25_zip_compare(spark, sf_dir):
     o = read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("at"), F.col("o_custkey").alias("w"), F.col("o_orderstatus").alias("s"))
-    b = o.where("at > 50").select("at", F.when(F.col("at") % 7 == 0, -1).otherwise(F.col("w")).alias("w"), F.when(F.col("at") % 11 == 0, "?").otherwise(F.col("s")).alias("s"))
-    return catalog.first_difference(o.where("at < 14000"), b, "at", ["w", "s"])
+    b = o.select(F.when(F.col("at") % 101 == 0, -1 - F.col("at")).otherwise(F.col("at")).alias("at"), F.when(F.col("at") % 7 == 0, -1).otherwise(F.col("w")).alias("w"), F.when(F.col("at") % 11 == 0, "?").otherwise(F.col("s")).alias("s"))
+    return catalog.first_difference(o, b, "at", ["w", "s"])
 
 
 @query("SELECT l_returnflag || l_linestatus AS tag, count(*) AS n, CAST(sum(l_quantity) AS BIGINT) AS total, CAST(min(l_quantity) AS BIGINT) AS least, CAST(max(l_quantity) AS BIGINT) AS most FROM lineitem GROUP BY 1")
@@ -254,12 +254,12 @@ def q26_tag_census(spark, sf_dir):
     return manifest.census(chunks, "t", "size")
 
 
-BLOCK_SQL = "SELECT l_orderkey % 200 AS room, l_linenumber * 10 + l_orderkey AS start, 10 AS size, l_linenumber * 8 + CASE WHEN l_partkey % 900 = 0 THEN 1 ELSE 0 END AS width FROM lineitem WHERE l_orderkey % 3 = 0 AND l_suppkey % 4 = 1"
+BLOCK_SQL = "SELECT l_orderkey AS room, l_linenumber * 10 + l_orderkey AS start, 10 AS size, l_linenumber * 8 + CASE WHEN l_partkey % 900 = 0 THEN 1 ELSE 0 END AS width FROM lineitem"
 
 
 @query(f"WITH b AS ({BLOCK_SQL}), n AS (SELECT *, lead(start) OVER (PARTITION BY room ORDER BY start, size) AS after FROM b) SELECT room, bool_and(coalesce(after = start + size, TRUE)) AS contiguous, bool_and(width % 8 = 0) AS strips_fit FROM n GROUP BY 1")
 def q27_invariants(spark, sf_dir):
-    blocks = read(spark, sf_dir, "lineitem").where("l_orderkey % 3 = 0 AND l_suppkey % 4 = 1").select((F.col("l_orderkey") % 200).alias("room"), (F.col("l_linenumber") * 10 + F.col("l_orderkey")).alias("start"), F.lit(10).alias("size"), (F.col("l_linenumber") * 8 + F.when(F.col("l_partkey") % 900 == 0, 1).otherwise(0)).alias("width"))
+    blocks = read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("room"), (F.col("l_linenumber") * 10 + F.col("l_orderkey")).alias("start"), F.lit(10).alias("size"), (F.col("l_linenumber") * 8 + F.when(F.col("l_partkey") % 900 == 0, 1).otherwise(0)).alias("width"))
     return manifest.contiguous(blocks, "room")
 
 
@@ -495,12 +495,12 @@ def q52_context_box(spark, sf_dir):
     return spans.select("key", F.col("xs.a").alias("x0"), F.col("xs.b").alias("x1"), F.col("ys.a").alias("y0"), F.col("ys.b").alias("y1"))
 
 
-@query(f"WITH p AS ({E8_SQL}), o AS (SELECT img, img % 10 AS room, img % 3 AS ox, img % 4 AS oy, y, x, CASE WHEN img % 7 < 3 THEN r ELSE v END AS v FROM (SELECT p.*, q.v AS r FROM p LEFT JOIN p q ON q.img = p.img % 10 AND q.x = p.x + p.img % 3 AND q.y = p.y + p.img % 4) WHERE x < 4 AND y < 4) SELECT o.img, bool_or(o.v IS DISTINCT FROM p.v) AS differs FROM o LEFT JOIN p ON p.img = o.room AND p.x = o.x + ox AND p.y = o.y + oy GROUP BY 1")
+@query(f"WITH p AS ({E8_SQL}), o AS (SELECT img, CASE WHEN img % 2 = 0 THEN img + 1 ELSE img - 1 END AS room, img % 3 AS ox, img % 4 AS oy, y, x, CASE WHEN img % 7 < 3 THEN r ELSE v END AS v FROM (SELECT p.*, q.v AS r FROM p LEFT JOIN p q ON q.img = CASE WHEN p.img % 2 = 0 THEN p.img + 1 ELSE p.img - 1 END AND q.x = p.x + p.img % 3 AND q.y = p.y + p.img % 4) WHERE x < 4 AND y < 4) SELECT o.img, bool_or(o.v IS DISTINCT FROM p.v) AS differs FROM o LEFT JOIN p ON p.img = o.room AND p.x = o.x + ox AND p.y = o.y + oy GROUP BY 1")
 def q53_classify_diff(spark, sf_dir):
     px = _e8(spark, sf_dir)
     img = F.col("img")
-    o = px.where("x < 4 AND y < 4").withColumns({"room": img % 10, "ox": (img % 3).cast("int"), "oy": (img % 4).cast("int")})
-    rooms = px.where("img < 10").select(img.alias("room"), "y", "x", "v")
+    o = px.where("x < 4 AND y < 4").withColumns({"room": F.when(img % 2 == 0, img + 1).otherwise(img - 1), "ox": (img % 3).cast("int"), "oy": (img % 4).cast("int")})
+    rooms = px.select(img.alias("room"), "y", "x", "v")
     beneath = rooms.select("room", F.col("y").alias("ry"), F.col("x").alias("rx"), F.col("v").alias("r"))
     copied = o.withColumns({"ry": F.col("y") + F.col("oy"), "rx": F.col("x") + F.col("ox")}).join(beneath, ["room", "ry", "rx"], "left").drop("ry", "rx")
     return pixels.differs(copied.withColumn("v", F.when(img % 7 < 3, F.col("r")).otherwise(F.col("v"))).drop("r"), rooms, ["img"])
