@@ -96,7 +96,7 @@ def placed_documents(docs: DataFrame, id_col: str, source_col: str, text_col: st
     """
     key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col(id_col).cast("string"), F.lit("null"))).cast("binary"))
     counted = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), key.alias("key"), *carry)
-    counted = materialize(counted.withColumn("bucket", F.conv(F.substring("key", 1, 4), 16, 10).cast("int")), "mix-sizes")
+    counted = materialize(counted.withColumn("bucket", F.conv(F.substring("key", 1, 3), 16, 10).cast("int")), "mix-sizes")
     targets = materialize(source_targets(counted.select("source", "size"), weights, most_times), "mix-targets")
     t = targets.select(F.col("source").alias("of"), "source_size", "place", "target", "quota")
     rows = counted.join(t, F.col("source").eqNullSafe(F.col("of"))).drop("of")
