@@ -19,11 +19,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strataframe.llm.common import materialize
+from strataframe.llm.common import materialize, small_batches
 from strataframe.llm.components import components
 
 SHINGLE = 5
-BANDS, ROWS = 32, 6  # a pair of similarity 0.85 shares no band in 3 of 10 million cases
+COORDINATES = 192
+MISS = 1e-6  # share of pairs at the threshold that may have no band in common
 RING = 1 << 21
 BLOCK = 64
 BROADCAST_IDS = 1_000_000
@@ -54,45 +55,52 @@ def shingle_set(text: str | None) -> np.ndarray:
     return np.unique(_mix(total))
 
 
+def layout(percent: int) -> tuple[int, int]:
+    """(bands, coordinates a band): the longest bands that miss a pair at the threshold in MISS cases at most."""
+    fits = [(COORDINATES // rows, rows) for rows in range(1, 7) if (1 - (percent / 100) ** rows) ** (COORDINATES // rows) <= MISS]
+    return fits[-1] if fits else (COORDINATES, 1)
+
+
 @lru_cache(1)
 def _ring() -> np.ndarray:
     """Windows of the second permutation, written out twice around the ring: row c has what all shifts read at cell c."""
     order = np.random.default_rng(20_240_607).permutation(RING).astype(np.uint32)
-    return np.lib.stride_tricks.sliding_window_view(np.concatenate([order, order[: BANDS * ROWS]]), BANDS * ROWS)
+    return np.lib.stride_tricks.sliding_window_view(np.concatenate([order, order[:COORDINATES]]), COORDINATES)
 
 
 def signature(hashes: np.ndarray) -> np.ndarray:
-    """BANDS * ROWS coordinates of a set that is not empty."""
+    """All coordinates of a set that is not empty."""
     cells = (_mix(hashes ^ np.uint64(0xA0761D6478BD642F)) >> np.uint64(64 - RING.bit_length() + 1)).astype(np.int64)
-    out = np.full(BANDS * ROWS, RING, np.uint32)
+    out = np.full(COORDINATES, RING, np.uint32)
     for a in range(0, len(cells), 4096):
         np.minimum(out, _ring()[cells[a : a + 4096]].min(0), out=out)
     return out
 
 
-def bands(hashes: np.ndarray) -> np.ndarray:
+def bands(hashes: np.ndarray, percent: int = 85) -> np.ndarray:
     """One 64-bit key a band; keys of different bands differ."""
-    sig = signature(hashes).reshape(BANDS, ROWS).astype(np.uint64)
-    return _mix((_mix(sig + np.uint64(1)) * _ODD[:ROWS]).sum(1, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64) * _ODD[0]).view(np.int64)
+    n, rows = layout(percent)
+    sig = signature(hashes)[: n * rows].reshape(n, rows).astype(np.uint64)
+    return _mix((_mix(sig + np.uint64(1)) * _ODD[:rows]).sum(1, dtype=np.uint64) + np.arange(n, dtype=np.uint64) * _ODD[0]).view(np.int64)
 
 
 def digest(hashes: np.ndarray) -> str:
     return hashlib.blake2b(hashes.tobytes(), digest_size=16).hexdigest()
 
 
-def _signatures(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for frame in frames:
-        for a in range(0, len(frame), 1000):
-            part = frame.iloc[a : a + 1000]
-            sets = [shingle_set(t) for t in part["text"]]
-            yield pd.DataFrame({"doc_id": part["doc_id"].astype("Int64"), "text_hash": part["text_hash"], "n_shingles": [len(s) for s in sets], "digest": [digest(s) if len(s) else None for s in sets], "bands": [bands(s) if len(s) else None for s in sets]})
+def _signer(percent: int):
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            sets = [shingle_set(t) for t in frame["text"]]
+            yield pd.DataFrame({"doc_id": frame["doc_id"].astype("Int64"), "text_hash": frame["text_hash"], "n_shingles": [len(s) for s in sets], "digest": [digest(s) if len(s) else None for s in sets], "bands": [bands(s, percent) if len(s) else None for s in sets]})
+
+    return run
 
 
 def _sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
-        for a in range(0, len(frame), 1000):
-            sets = [shingle_set(t) for t in frame["text"].iloc[a : a + 1000]]
-            yield pd.DataFrame({"digest": [digest(s) if len(s) else None for s in sets], "hashes": [s.view(np.int64) for s in sets]})
+        sets = [shingle_set(t) for t in frame["text"]]
+        yield pd.DataFrame({"digest": [digest(s) if len(s) else None for s in sets], "hashes": [s.view(np.int64) for s in sets]})
 
 
 def _may_link(a: Column, b: Column, percent: int) -> Column:
@@ -141,8 +149,9 @@ def _fetch_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataF
 
 def _labelled(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """(rows (doc_id, text_hash, n_shingles, digest), classes (digest, label, smallest)) of docs (doc_id, text), written."""
+    small_batches(docs.sparkSession)
     docs = docs.select("doc_id", F.coalesce("doc_id", F.lit(LOWEST)).alias("key"), "text")
-    signed = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInPandas(_signatures, "doc_id long, text_hash long, n_shingles long, digest string, bands array<long>")
+    signed = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInPandas(_signer(percent), "doc_id long, text_hash long, n_shingles long, digest string, bands array<long>")
     signed = materialize(signed, "dedup-signatures")
     member = signed.where("digest IS NOT NULL")
     classes = member.groupBy("digest").agg(F.min("doc_id").alias("least"), F.min(F.coalesce("doc_id", F.lit(LOWEST))).alias("fetch"), F.first("bands").alias("bands"))

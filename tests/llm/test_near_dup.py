@@ -84,6 +84,19 @@ def test_large_bucket_and_shuffled_fetch(spark, monkeypatch):
     assert got == brute(rows)
 
 
+def test_bands_follow_the_threshold():
+    for percent in range(30, 100):
+        n, rows = near_dup.layout(percent)
+        assert n * rows <= near_dup.COORDINATES and (1 - (percent / 100) ** rows) ** n <= 1e-6
+    assert near_dup.layout(85) == (32, 6) and near_dup.layout(80)[1] == 5
+
+
+def test_lower_threshold(spark):
+    rows = corpus(5)
+    got = sorted((tuple(r) for r in near_dup.near_duplicates(frame(spark, rows), percent=60).collect()), key=repr)
+    assert got == brute(rows, 60)
+
+
 def test_empty(spark):
     assert near_dup.near_duplicates(frame(spark, [])).count() == 0
 
