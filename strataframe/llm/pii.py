@@ -57,7 +57,7 @@ PATTERNS = {
     "IP": r"(?<![0-9]\.)(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?!\.?[0-9])(?![\p{L}_])",
     "CARD": r"(?:[0-9]{13,19}+|[0-9]{4}(?:[ \-][0-9]{4}){3}|3[47][0-9]{2}[ \-][0-9]{6}[ \-][0-9]{5})(?![\p{L}\p{N}])",
     "SSN": r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\p{L}\p{N}])",
-    "PHONE": r"(?:\+[0-9]{1,3}[ .\-]?(?:\([0-9]{1,4}\)[ .\-]?)?[0-9]{1,4}(?:[ .\-]?[0-9]{2,4}){1,4}|\([0-9]{3}\)[ .\-]?[0-9]{3}[ .\-]?[0-9]{4}|[0-9]{3}([ .\-])[0-9]{3}\1[0-9]{4}|0[0-9]{2,4}[ /][0-9]{3,4}[ \-]?[0-9]{2,4})(?![\p{L}\p{N}])",
+    "PHONE": r"(?:\+[0-9]{1,3}[ .\-]?(?:\([0-9]{1,4}\)[ .\-]?)?[0-9]{1,4}(?:[ .\-]?[0-9]{2,4}){1,4}|\([0-9]{3}\)[ .\-]?[0-9]{3}[ .\-]?[0-9]{4}|[0-9]{3}([ .\-])[0-9]{3}\1[0-9]{4}|0[0-9]{2,4}[ /][0-9]{3,4}[ \-]?[0-9]{2,4}|[2-9][0-9]{2}-[0-9]{4})(?![\p{L}\p{N}])",
     "NAME": rf"(?:(?:{'|'.join(TITLES)})\.? {_WORD}(?: {_WORD}){{0,2}}|(?:{_GIVEN}) {_WORD})(?![\p{{L}}\p{{N}}])",
 }
 START = r"(?<![\p{L}\p{N}_])"

@@ -31,7 +31,7 @@ ENTITIES = {
     "MAC": ["00:1A:2b:3c:4D:5e", "00-1A-2b-3c-4D-5e"],
     "CARD": ["9807915762804490", "4111 1111 1111 1111", "4111-1111-1111-1111"],
     "SSN": ["123-45-6789"],
-    "PHONE": ["+1 (017) 555-7713", "(017) 555-7713", "017-555-7713", "+49 30 901820", "017.555.7713"],
+    "PHONE": ["+1 (017) 555-7713", "(017) 555-7713", "017-555-7713", "+49 30 901820", "017.555.7713", "555-0199"],
     "NAME": ["Mr. John Smith", "Frau Müller", "Mary Johnson", "MR. JOHN SMITH".title(), "Анна Петрова", "Иван Кузнецов", "Dr Xanadu-Quill"],
 }
 
