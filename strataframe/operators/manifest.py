@@ -79,3 +79,16 @@ def batches(rows: DataFrame, group: str, key: str, size: int = 8) -> DataFrame:
 
 def duplicates(rows: DataFrame, *keys: str) -> DataFrame:
     return rows.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
+
+
+def classified(chunks: DataFrame, classes: DataFrame) -> DataFrame:
+    """chunks with class and note, by the small table classes (tag, class, note); unknown tags are unclassified."""
+    joined = chunks.join(F.broadcast(classes), "tag", "left")
+    return joined.withColumns({"class": F.coalesce("class", F.lit("unknown")), "note": F.coalesce("note", F.lit("unclassified"))})
+
+
+def histogram_text(rows: DataFrame, group: str, code: str) -> DataFrame:
+    """(group, line): each group's counts as {code: n, ...}, codes in order."""
+    counts = rows.groupBy(group, code).agg(F.count("*").alias("n"))
+    entries = F.transform(F.array_sort(F.collect_list(F.struct(F.col(code).alias("c"), "n"))), lambda e: F.concat(e["c"].cast("string"), F.lit(": "), e["n"].cast("string")))
+    return counts.groupBy(group).agg(F.concat(F.lit("{"), F.array_join(entries, ", "), F.lit("}")).alias("line"))

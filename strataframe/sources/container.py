@@ -179,6 +179,45 @@ def archive_rows(data: bytes, source: str) -> Iterator[dict]:
                 yield from costume_cels(data, costume, off, source, room)
 
 
+# ---- census ------------------------------------------------------------------------------------
+
+#: Tags whose chunks hold chunks.
+PARENTS = ("LECF", "LFLF", "ROOM", "RMIM", "OBIM", "PALS", "WRAP", "AKOS")
+TREE = "source string, depth int, parent long, tag string, off long, size long, ord int, desync boolean"
+
+
+def chunk_tree(data: bytes, source: str, padded: bool = False) -> Iterator[tuple]:
+    """(source, depth, parent, tag, off, size, ord, desync) of an archive's chunks, parents first.
+
+    Where the chunks of a parent stop before its end, a row with desync tells the place and what stands there. padded
+    walks as if odd sizes were padded, which loses the place in archives that are not.
+    """
+    todo = [(0, -1, 0, len(data))]
+    while todo:
+        depth, parent, at, end = todo.pop()
+        inner = []
+        for i, (tag, off, size) in enumerate(walk(data, at, end, padded=padded)):
+            yield source, depth, parent, tag, off, size, i, False
+            at = off + size + (size & 1 if padded else 0)
+            if tag in PARENTS or (tag.startswith("IM") and tag != "IMHD" and depth and is_tag(data[off + 8 : off + 12])):
+                inner.append((depth + 1, off, off + 8, off + size))
+        if at < end:
+            yield source, depth, parent, data[at : at + 4].decode("latin-1"), at, end - at, -1, True
+        todo += inner[::-1]
+
+
+def scan_chunks(spark: SparkSession, path: str, glob: str = "*.LA1", padded: bool = False) -> DataFrame:
+    """The chunk trees of all archives below path."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(path)
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for name, content in zip(frame["path"], frame["content"], strict=True):
+                yield pd.DataFrame(list(chunk_tree(bytes(content), name, padded)), columns=[c.split()[0] for c in TREE.split(", ")])
+
+    return files.select("path", "content").mapInPandas(run, TREE)
+
+
 # ---- fonts -------------------------------------------------------------------------------------
 
 

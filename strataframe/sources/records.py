@@ -91,3 +91,10 @@ def scan(streams: DataFrame, kind: str) -> DataFrame:
                 yield table.astype({c: "Int64" for c in ("ord", "width", "height", "transparent", "costume", "cel", "codec", "offset")})
 
     return streams.select("source", "content").mapInPandas(run, RECORD)
+
+
+def first_difference(a: bytes, b: bytes) -> int | None:
+    """The place of the first byte that differs, or where the shorter one ends; None for equal ones."""
+    if a == b:
+        return None
+    return next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))

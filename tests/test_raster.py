@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from strataframe.functions import raster
-from strataframe.plans import rooms, windows
+from strataframe.plans import pictures, rooms, windows
 
 
 def blocks(h, w, cell=16, seed=1, bands=3):
@@ -163,3 +163,15 @@ def test_objects():
     done = rooms.composed(inputs.composite, inputs, 0)
     assert not rooms.object_gate(done, inputs).issues and rooms.cut_out(done, inputs).shape == (128, 192, 3)
     assert any("outside" in i for i in rooms.object_gate(255 - done, inputs).issues)
+
+
+def test_pictures():
+    room = blocks(144, 568)
+    plan = rooms.plan_room(room)
+    assert [p.shape for p in pictures.caption_pictures(room, plan)] == [(288, 1136, 3), (576, 1280, 3), (576, 1280, 3)]
+    render = raster.nearest(room)
+    shown = pictures.review_pictures(render, render, plan)
+    assert [p.shape for p in shown] == [(576, 2576, 3)] * 2 + [(576, 2272, 3)] and np.array_equal(shown[0][:, :1280], shown[0][:, 1296:])
+    assert pictures.fitted(room).shape == pictures.fitted(render).shape == (325, 1280, 3)
+    url = pictures.data_url(room)
+    assert url.startswith("data:image/png;base64,") and len(url) > 100

@@ -3,6 +3,7 @@ import struct
 
 import pytest
 
+from strataframe.operators import manifest
 from strataframe.sources import codecs, container, encoders, frames
 from strataframe.sources.encoders import chunk, padded_chunk
 from strataframe.streaming import frames as streaming
@@ -101,6 +102,23 @@ def test_scans(spark, tmp_path):
     assert key(by_room) == key(whole)
 
 
+def test_chunk_tree(spark, tmp_path):
+    data = archive([sample_room(5), (6, b"", costume(1, bytes(8), 4, 2) + b"??")])
+    (tmp_path / "A.LA1").write_bytes(data)
+    rows = container.scan_chunks(spark, str(tmp_path)).collect()
+    tags = [r.tag for r in rows if not r.desync]
+    assert tags[0] == "LECF" and tags.count("ROOM") == 2 and {"RMHD", "IM00", "SMAP", "IMHD", "BOMP", "APAL", "AKCD"} <= set(tags)
+    assert [(r.tag, r.size) for r in rows if r.desync] == [("??", 2)]
+    by_off = {r.off: r for r in rows}
+    assert all(r.parent == -1 or by_off[r.parent].off < r.off < by_off[r.parent].off + by_off[r.parent].size for r in rows)
+    assert sum(r[-1] for r in container.chunk_tree(data[:-1], "a")) and any(r[-1] for r in container.chunk_tree(chunk(b"LECF", chunk(b"ABCD", b"1") + chunk(b"ABCD", b"1")), "a", padded=True))
+    classes = spark.createDataFrame([("ROOM", "room", "a place")], "tag string, class string, note string")
+    df = container.scan_chunks(spark, str(tmp_path)).where("NOT desync")
+    got = {(r.tag, r["class"], r.note) for r in manifest.classified(df, classes).collect()}
+    assert ("ROOM", "room", "a place") in got and ("SMAP", "unknown", "unclassified") in got
+    assert {r.depth: r.line for r in manifest.histogram_text(df, "depth", "tag").collect()}[0] == "{LECF: 1}"
+
+
 def test_chunk_function(spark):
     container.register_chunks(spark)
     data = chunk(b"AAAA", b"12345") + chunk(b"BBBB", b"") + b"\x00rest"

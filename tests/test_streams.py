@@ -50,6 +50,7 @@ def test_record_streams(spark):
     assert [r["index"] for r in records.parse("frames", frames * 2)] == [b"\x01\x02"] * 2
     assert [(r["type"], r.get("offset"), r.get("reason")) for r in records.parse("bitmaps", bitmaps)] == [("bitmap", None, None), ("error", 880, "unsupported"), ("error", 0, "")]
     assert [(r["type"], r["costume"], r["cel"], r.get("codec")) for r in records.parse("cels", cels)] == [("cel", 69, 1, None), ("error", 3, 4, 9)]
+    assert [records.first_difference(*x) for x in ((b"ab", b"ab"), (b"ab", b"ac"), (b"ab", b"abc"))] == [None, 1, 2]
     for kind, data in (("frames", frames[:-1]), ("glyphs", b"NUTX"), ("cels", cels[:10])):
         with pytest.raises(ValueError, match="no whole record"):
             list(records.parse(kind, data))
