@@ -52,5 +52,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name.split()[0])
+        docs = materialize(stage(spark, docs, sf_dir), name.split()[0], "snappy")
     return STAGES[-1][1](spark, docs, sf_dir)

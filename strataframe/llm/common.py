@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,9 +11,18 @@ from pyspark.sql import functions as F
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: The white space that separates words, as a Java and Python character class body.
 WORD_CLASS = r"[^\x20\x09-\x0D]+"
+_SCRATCH: dict[str, str] = {}
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def small_batches(spark: SparkSession, rows: int = 1_000) -> None:
+    """Sends Python workers at most so many rows at once, from now on in this session: whole texts are long rows."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(name))
+    if now <= 0 or now > rows:
+        spark.conf.set(name, rows)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -27,14 +37,27 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_dir(spark: SparkSession, tag: str) -> str:
-    return f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+    """A new folder of the session's scratch space, which goes when the driver's interpreter ends in good order."""
+    app = spark.sparkContext.applicationId
+    if app not in _SCRATCH:
+        _SCRATCH[app] = f"{shared_dir(spark)}/scratch-{app}-{uuid.uuid4().hex[:8]}"
+        atexit.register(_clean, spark, _SCRATCH[app])
+    return f"{_SCRATCH[app]}/{tag}-{uuid.uuid4().hex}"
+
+
+def _clean(spark: SparkSession, path: str) -> None:
+    if spark.sparkContext._jsc is not None:  # else the session has ended before
+        remove(spark, path)
+
 
+def materialize(df: DataFrame, tag: str, compression: str = "uncompressed") -> DataFrame:
+    """Writes df as a Parquet table in the shared folder and reads it back: cuts lineage, survives lost executors.
 
-def materialize(df: DataFrame, tag: str) -> DataFrame:
-    """Writes df as a Parquet table in the shared folder and reads it back: cuts lineage, survives lost executors."""
+    Hashes and numbers hardly compress, and the buffers of codecs lie outside the heap; tables of texts name a codec.
+    """
     spark = df.sparkSession
     path = new_dir(spark, tag)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 

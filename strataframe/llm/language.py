@@ -17,6 +17,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strataframe.llm.common import small_batches
+
 BUCKETS, DIM, NGRAMS = 1 << 16, 16, (1, 2, 3, 4)
 SAMPLE_ROWS = 4_000  # labelled rows that training takes at most, on average, shared evenly among languages
 SAMPLE_CHARS = 20_000  # training takes no longer texts
@@ -187,6 +189,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", keep: tuple[s
     Null texts and texts without letters get UNKNOWN with score 0 and are rejected; others are rejected if the score
     is below the model's threshold. Without any labelled row all get UNKNOWN. Repeated rows and null ids do no harm.
     """
+    small_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS * DIM numbers, whatever the data
     drop = text_col not in keep
     kept = docs.select(*keep, *[text_col] * drop)

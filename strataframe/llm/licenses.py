@@ -19,6 +19,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strataframe.llm.common import small_batches
+
 WORD = re.compile(r"[^\W_]+(?:[.\-][^\W_]+)*")
 #: Notices and texts of common licenses.
 TEMPLATES = (
@@ -195,5 +197,6 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     one. Null, empty and wordless texts have no finding; repeated rows and null ids keep their rows; other columns are
     not read.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInPandas(_scanner(tuple(templates)), "doc_id long, n_words long, findings array<struct<license:string,start:long,end:long,matched:long,coverage:double>>")

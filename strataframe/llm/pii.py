@@ -313,7 +313,7 @@ def replace_pii(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str
     repeat or be null. The same key gives the same replacements in every run and document. Replacements that clash
     anywhere in the corpus are keyed anew, round by round, until none does.
     """
-    done = materialize(_replaced(docs, text_col, key, None), "pii")
+    done = materialize(_replaced(docs, text_col, key, None), "pii", "snappy")
     again = clashes(done)
     attempts = None
     while not again.isEmpty():
@@ -323,6 +323,6 @@ def replace_pii(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str
         entities = done.select(F.col(id_col).alias("__id"), F.explode("__found").alias("e")).select("__id", "e.kind", "e.norm").distinct()
         of_doc = entities.join(attempts, ["kind", "norm"]).groupBy("__id").agg(F.map_from_entries(F.collect_set(F.struct(F.concat_ws("|", "kind", "norm"), "n"))).alias("__attempts"))
         joined = docs.join(of_doc, F.col(id_col).eqNullSafe(F.col("__id")), "left").drop("__id")
-        done = materialize(_replaced(joined, text_col, key, "__attempts").drop("__attempts"), "pii")
+        done = materialize(_replaced(joined, text_col, key, "__attempts").drop("__attempts"), "pii", "snappy")
         again = clashes(done)
     return done

@@ -23,7 +23,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataframe.llm.common import materialize, remove
+from strataframe.llm.common import materialize, remove, small_batches
 
 MANIFEST = "name string, temp string, shard int, seq int, records long, compressed_bytes long, sha256 string, first_page_id long, last_page_id long"
 RECORDS = "archive string, page_id long, target_uri string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary"
@@ -178,6 +178,7 @@ def write_archives(pages: DataFrame, out_dir: str, id_col: str = "page_id", url_
     rows give the same files, byte for byte.
     """
     spark = pages.sparkSession
+    small_batches(spark)
     payload = F.encode(F.coalesce(F.col(html_col), F.lit("")), "UTF-8")
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), F.sha1(payload).alias("digest"), F.length(payload).cast("long").alias("n"), payload.alias("payload"))
     cuts = _shard_cuts(rows.select("page_id", "n"), shard_bytes, most_shards)
