@@ -134,3 +134,15 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = F.array_sort(F.array_distinct(F.transform("findings", lambda f: f["license"])))
     best = F.array_max(F.transform("findings", lambda f: f["coverage"]))
     return found.select("doc_id", "n_words", F.array_join(names, ",").alias("licenses"), F.coalesce(best, F.lit(0.0)).alias("coverage"), F.size("findings").cast("long").alias("n_findings"))
+
+
+ORACLES["op10_near_dedup"] = """
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS shingle FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM w WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (SELECT x, y FROM pairs JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 85 * (a.n + b.n - c)),
+reach AS (SELECT doc_id AS node, doc_id AS root FROM documents UNION SELECT y, root FROM reach JOIN links ON node = x),
+least AS (SELECT node, min(root) AS component_id FROM reach GROUP BY 1)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept FROM documents d JOIN least ON node = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
+"""
