@@ -109,15 +109,29 @@ def _may_link(a: Column, b: Column, percent: int) -> Column:
     return 100 * shared >= percent * (a["n"] + b["n"] - shared)
 
 
-def _cross_pairs(percent: int, band: str, same: str, left: str, right: str) -> Column:
-    """Array of the pairs (a, b), a < b, of two blocks of a bucket that are in different components and may link.
+def _cross_links(percent: int) -> Column:
+    """Array of the links (a, b) between two blocks of a bucket, left and right, across components.
 
-    A pair that shares several bands is in the array of the least of them only.
+    Members carry what they have beyond the bucket's centre (more) and lack of it (less), so the intersection of two of
+    them is known exactly: what the centre has and neither lacks, and what both have beyond it. A pair that shares
+    several bands is looked at in the least of them only.
     """
-    once = lambda x, y: F.array_min(F.array_intersect(x["bands"], y["bands"])) == F.col(band)
-    wanted = lambda x: F.filter(right, lambda y: (x["label"] != y["label"]) & (~F.col(same) | (x["digest"] < y["digest"])) & _may_link(x, y, percent) & once(x, y))
-    ordered = lambda x, y: F.struct(F.least(x["digest"], y["digest"]).alias("a"), F.greatest(x["digest"], y["digest"]).alias("b"))
-    return F.flatten(F.transform(left, lambda x: F.transform(wanted(x), lambda y: ordered(x, y))))
+
+    def linked(x: Column, y: Column) -> Column:
+        shared = F.col("centre_n") - F.size(F.array_union(x["less"], y["less"])) + F.size(F.array_intersect(x["more"], y["more"]))
+        once = F.array_min(F.array_intersect(x["bands"], y["bands"])) == F.col("band")
+        other = (x["label"] != y["label"]) & (~F.col("same") | (x["digest"] < y["digest"]))
+        return other & _may_link(x, y, percent) & once & (100 * shared >= percent * (x["n"] + y["n"] - shared))
+
+    pair = lambda x, y: F.struct(x["digest"].alias("a"), y["digest"].alias("b"))
+    return F.flatten(F.transform("left", lambda x: F.transform(F.filter("right", lambda y: linked(x, y)), lambda y: pair(x, y))))
+
+
+def _differences(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(digest, centre_digest, more, less) of pairs (digest, centre_digest): what the first set has beyond the second, and lacks."""
+    left = pairs.join(sets.select("digest", F.col("hashes").alias("x")), "digest")
+    both = left.join(sets.select(F.col("digest").alias("centre_digest"), F.col("hashes").alias("y")), "centre_digest")
+    return both.select("digest", "centre_digest", F.array_except("x", "y").alias("more"), F.array_except("y", "x").alias("less"))
 
 
 def common_shingles(sets: DataFrame) -> DataFrame:
@@ -156,14 +170,14 @@ def _labelled(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     member = signed.where("digest IS NOT NULL")
     classes = member.groupBy("digest").agg(F.min("doc_id").alias("least"), F.min(F.coalesce("doc_id", F.lit(LOWEST))).alias("fetch"), F.first("bands").alias("bands"))
     classes = materialize(classes, "dedup-classes")
-    labels = components(_links(docs, classes, percent))
+    labels = _class_labels(docs, classes, percent)
     grouped = classes.select("digest", "least").join(labels.select(F.col("node").alias("digest"), "label"), "digest", "left").select("digest", "least", F.coalesce("label", "digest").alias("label"))
     smallest = grouped.groupBy("label").agg(F.min("least").alias("smallest"))
     return signed.drop("bands"), materialize(grouped.join(smallest, "label").select(F.col("digest").alias("of"), "label", "smallest"), "dedup-components")
 
 
-def _links(docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """(a, b): links between classes, all that their components need."""
+def _class_labels(docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """(node, label): components of the classes that have links."""
     banded = classes.select(F.explode("bands").alias("band"), "digest")
     shared = banded.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
     hits = materialize(banded.join(shared, "band").select("band", "digest"), "dedup-hits")
@@ -179,17 +193,24 @@ def _links(docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     links = materialize(confirmed(star, sets, percent), "dedup-links")
     labels = materialize(components(links), "dedup-labels")
 
-    # what one centre left apart: all pairs of a bucket that are not yet in one component and may link
-    labeled = hits.join(labels.select(F.col("node").alias("digest"), "label"), "digest", "left").select("band", "size", "digest", "n", "common", F.coalesce("label", "digest").alias("label"))
+    # what one centre left apart: all pairs of a bucket that are not yet in one component, in blocks
+    labeled = hits.join(labels.select(F.col("node").alias("digest"), "label"), "digest", "left").withColumn("label", F.coalesce("label", "digest"))
+    labeled = labeled.select("band", "size", "digest", "n", "common", "label", F.col("centre.digest").alias("centre_digest"), F.col("centre.n").alias("centre_n"))
     split = labeled.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("band")
     apart = materialize(labeled.join(split, "band", "left_semi"), "dedup-apart")
-    apart = apart.join(apart.groupBy("digest").agg(F.collect_list("band").alias("bands")), "digest").withColumn("block", F.pmod(F.xxhash64("digest"), F.ceil(F.col("size") / BLOCK)).cast("int"))
-    blocks = materialize(apart.groupBy("band", "block").agg(F.collect_list(F.struct("digest", "n", "common", "label", "bands")).alias("members")), "dedup-blocks")
-    one, two = (blocks.select("band", F.col("block").alias(f"{s}_block"), F.col("members").alias(s)) for s in ("left", "right"))
-    twos = one.join(two, "band").where("left_block <= right_block").select("band", (F.col("left_block") == F.col("right_block")).alias("same"), "left", "right")
-    pairs = twos.select(F.explode(_cross_pairs(percent, "band", "same", "left", "right")).alias("p")).select("p.a", "p.b")
-    rest = materialize(pairs.join(star, ["a", "b"], "left_anti"), "dedup-rest")
-    return materialize(links.unionByName(confirmed(rest, sets, percent)), "dedup-links")
+    differences = materialize(_differences(apart.where("digest <> centre_digest").select("digest", "centre_digest").distinct(), sets), "dedup-differences")
+    own_bands = apart.groupBy("digest").agg(F.collect_list("band").alias("bands"))
+    empty = F.array().cast("array<long>")
+    members = apart.join(own_bands, "digest").join(differences, ["digest", "centre_digest"], "left").withColumns({"more": F.coalesce("more", empty), "less": F.coalesce("less", empty)})
+    members = members.withColumn("block", F.pmod(F.xxhash64("digest"), F.ceil(F.col("size") / BLOCK)).cast("int"))
+    fields = ("digest", "n", "common", "label", "bands", "more", "less")
+    blocks = materialize(members.groupBy("band", "centre_n", "block").agg(F.collect_list(F.struct(*fields)).alias("members")), "dedup-blocks")
+    one, two = (blocks.select("band", "centre_n", F.col("block").alias(f"{s}_block"), F.col("members").alias(s)) for s in ("left", "right"))
+    twos = one.join(two, ["band", "centre_n"]).where("left_block <= right_block").withColumn("same", F.col("left_block") == F.col("right_block"))
+    more = materialize(twos.select(F.explode(_cross_links(percent)).alias("p")).select("p.a", "p.b"), "dedup-links")
+    if more.isEmpty():
+        return labels
+    return components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(more))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85) -> DataFrame:
