@@ -12,6 +12,7 @@ merging gives. Characters that no piece has fall back to bytes.
 
 from __future__ import annotations
 
+import gc
 import heapq
 import re
 from collections.abc import Iterable, Iterator
@@ -22,10 +23,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strataframe.llm.common import small_batches
+
 MARK = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
-CACHE_WORDS, CACHE_PAIRS = 600_000, 500_000
+CACHE_WORDS, CACHE_PAIRS = 500_000, 500_000
 UNIGRAM, BPE = 1, 2
 
 
@@ -185,12 +188,19 @@ def marked(v: Vocabulary, text: str) -> list[str]:
 def encode_batch(v: Vocabulary, texts: list[str]) -> list[np.ndarray]:
     """Ids of each text. The words met lately stay known, up to CACHE_WORDS of them."""
     words = [marked(v, t) for t in texts]
-    every = set().union(*words)
-    if len(v.words) + len(every) > CACHE_WORDS:
-        v.words.clear()
-    known = v.words
-    known |= encode_words(v, every.difference(known))
-    return [np.frombuffer(b"".join(map(known.__getitem__, ws)), np.uint32) for ws in words]
+    known, collects = v.words, gc.isenabled()
+    gc.disable()  # nothing here makes cycles, and there is much to look through
+    try:
+        every = set().union(*words)
+        new = every.difference(known)
+        if len(known) + len(new) > CACHE_WORDS:
+            known.clear()
+            new = every
+        known |= encode_words(v, new)
+        return [np.frombuffer(b"".join(map(known.__getitem__, ws)), np.uint32) for ws in words]
+    finally:
+        if collects:
+            gc.enable()
 
 
 def decode(v: Vocabulary, ids: Iterable[int]) -> str:
@@ -231,6 +241,7 @@ def encode_documents(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "t
     A null text has null ids, an empty one no ids. decoded equals the text, but for marks in it, which become spaces.
     Repeated rows, null ids and any other columns do no harm; an empty table gives no row.
     """
+    small_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(vocabulary)  # one vocabulary, whatever the data
     kept = docs.select(*keep, F.col(text_col).alias("text"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields if f.name != "text") + ", n_tokens long, ids array<int>" + ", decoded string" * with_text
