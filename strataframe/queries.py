@@ -68,15 +68,26 @@ def _log(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return a, r
 
 
-def _items(spark: SparkSession) -> DataFrame:
-    users = spark.range(150).withColumnRenamed("id", "u")
+def _items(users: DataFrame) -> DataFrame:
+    """Days 1 to 30 of each user u."""
     return users.select("u", F.explode(F.sequence(F.lit(1), F.lit(30))).alias("d")).select((F.col("u") * 100 + F.col("d")).alias("key"), (F.col("u") % 7 == 0).alias("output_missing"), "u")
 
 
+def _fixed_users(spark: SparkSession) -> DataFrame:
+    """Users 0 to 149, which the SQL has."""
+    return spark.range(150).withColumnRenamed("id", "u")
+
+
+def _users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users 0 to 149, whether or not they have events, and all others that have."""
+    seen = read(spark, sf_dir, "events").select(F.col("user_id").cast("long").alias("u")).where("u IS NOT NULL")
+    return _fixed_users(spark).union(seen).distinct()
+
+
 @query(STATUS_SQL + " SELECT key, status, latest, records FROM st")
 def q01_item_status(spark, sf_dir):
     a, r = _log(spark, sf_dir)
-    return attempts.item_status(_items(spark), a, r)
+    return attempts.item_status(_items(_users(spark, sf_dir)), a, r)
 
 
 @query(LOG_SQL + " SELECT s.key, CASE WHEN accepted OR coalesce(last_promoted, 0) > attempt THEN '' WHEN source = 'geometry' THEN 'keep the layout' ELSE issue END AS corrections FROM s JOIN r ON s.key = r.key AND attempt <= latest")
@@ -99,7 +110,7 @@ SELECT k.route, count(rt.route) AS n FROM (VALUES ('copy'), ('done'), ('stuck'),
 )
 def q04_route_work(spark, sf_dir):
     a, r = _log(spark, sf_dir)
-    st = attempts.item_status(_items(spark), a, r)
+    st = attempts.item_status(_items(_users(spark, sf_dir)), a, r)
     user = F.floor(F.col("key") / 100)
     routed = st.select(attempts.route(F.col("status"), user % 11 == 0, F.col("key") % 13 == 0).alias("route")).groupBy("route").agg(F.count("*").alias("n"))
     return attempts.zero_filled(routed, "route", ["copy", "done", "stuck", "uncaptioned", "work", "never"])
@@ -134,7 +145,7 @@ FROM customer JOIN st rs ON rs.key = c_nationkey * 100 + 1 JOIN st os ON os.key
 )
 def q07_object_route(spark, sf_dir):
     a, r = _log(spark, sf_dir)
-    st = attempts.item_status(_items(spark), a, r).select("key", "status")
+    st = attempts.item_status(_items(_fixed_users(spark)), a, r).select("key", "status")
     c = read(spark, sf_dir, "customer").select("c_custkey", (F.col("c_nationkey") * 100 + 1).alias("room_key"), (F.col("c_nationkey") * 100 + 1 + F.col("c_custkey") % 30).alias("own_key"))
     rooms, own = st.select(F.col("key").alias("room_key"), F.col("status").alias("room_status")), st.select(F.col("key").alias("own_key"), "status")
     out = c.join(rooms, "room_key").join(own, "own_key")
