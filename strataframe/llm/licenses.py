@@ -22,40 +22,88 @@ from pyspark.sql import functions as F
 from strataframe.llm.common import small_batches
 
 WORD = re.compile(r"[^\W_]+(?:[.\-][^\W_]+)*")
-#: Notices and texts of common licenses.
+VERSION = re.compile(r"^v?(\d+(?:\.\d+)*?)(?:\.0)*$")
+#: Notices and texts of common licenses, and of those that share most of their words.
+MIT_TEXT = (
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so",
+    ", subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+)
+BSD_TEXT = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."
+ADVERTISING = " All advertising materials mentioning features or use of this software must display the following acknowledgement: This product includes software developed by the organization."
+ENDORSEMENT = " Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+GNU = (("GPL-1.0", "", "1"), ("GPL-2.0", "", "2"), ("GPL-3.0", "", "3"), ("LGPL-2.0", "Library ", "2"), ("LGPL-2.1", "Lesser ", "2.1"), ("LGPL-3.0", "Lesser ", "3"), ("AGPL-3.0", "Affero ", "3"))
+FLAVOURS = {"BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-NC": "Attribution-NonCommercial", "BY-ND": "Attribution-NoDerivatives", "BY-NC-SA": "Attribution-NonCommercial-ShareAlike", "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives"}
+VERSIONS = {"1.0": "Generic", "2.0": "Generic", "2.5": "Generic", "3.0": "Unported", "4.0": "International"}
+
+
+def _gnu() -> Iterator[tuple[str, str]]:
+    """The one-line and the long notices, each of one version and of any later one."""
+    for name, kind, version in GNU:
+        line = f"This work is licensed under the GNU {kind}General Public License, version {version}"
+        yield name, line
+        yield f"{name}-or-later", f"{line} or later"
+        subject = "library" if kind in ("Library ", "Lesser ") else "program"
+        terms = f"This {subject} is free software: you can redistribute it and/or modify it under the terms of the GNU {kind}General Public License"
+        yield f"{name}-or-later", f"{terms} as published by the Free Software Foundation, either version {version} of the License, or (at your option) any later version."
+        yield f"{name}-only", f"{terms} as published by the Free Software Foundation, version {version} of the License."
+        yield f"{name}-only", f"{terms} version {version} as published by the Free Software Foundation."
+
+
+def _creative_commons() -> Iterator[tuple[str, str]]:
+    """The short and the long notices, with hyphens and with spaces between the parts of a name."""
+    for version, area in VERSIONS.items():
+        for short, long in FLAVOURS.items():
+            for join in "- " if "-" in short else "-":
+                spelled = long if version == "4.0" else long.replace("NoDerivatives", "NoDerivs")
+                yield f"CC-{short}-{version}", f"Licensed under CC {short.replace("-", join)} {version}"
+                yield f"CC-{short}-{version}", f"This work is licensed under a Creative Commons {spelled.replace("-", join)} {version} {area} License"
+
+
 TEMPLATES = (
     ("MIT", "Released under the MIT License"),
     ("MIT", "Licensed under the MIT License"),
-    (
-        "MIT",
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
-    ),
+    ("MIT", "".join(MIT_TEXT)),
+    ("MIT-0", "Licensed under the MIT No Attribution License"),
+    ("MIT-0", MIT_TEXT[0]),
+    ("JSON", "".join(MIT_TEXT) + " The Software shall be used for Good, not Evil."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0"),
     (
         "Apache-2.0",
         "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.",
     ),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3"),
-    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2"),
-    ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3"),
-    ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3"),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
+    ("BSD-2-Clause", BSD_TEXT),
+    ("BSD-3-Clause", BSD_TEXT + ENDORSEMENT),
+    ("BSD-4-Clause", BSD_TEXT + ADVERTISING + ENDORSEMENT),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("0BSD", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted."),
     (
-        "GPL-3.0-or-later",
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+        "HPND",
+        "Permission to use, copy, modify, distribute, and sell this software and its documentation for any purpose is hereby granted without fee, provided that the above copyright notice appear in all copies and that both that copyright notice and this permission notice appear in supporting documentation",
     ),
-    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
-    ("CC-BY-4.0", "Licensed under CC BY 4.0"),
-    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0"),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0"),
-    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
-    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"),
-    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"),
     (
-        "BSD-3-Clause",
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+        "MPL-1.1",
+        "The contents of this file are subject to the Mozilla Public License Version 1.1 (the License); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.mozilla.org/MPL/ Software distributed under the License is distributed on an AS IS basis, WITHOUT WARRANTY OF ANY KIND, either express or implied. See the License for the specific language governing rights and limitations under the License.",
     ),
-    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    *_gnu(),
+    *_creative_commons(),
 )
+#: What tells a license from its siblings, by the start of its name: runs of words that must align unbroken wherever a
+#: template has them.
+TELLING = {
+    "MIT": ("mit license", "mit no attribution", "notice"),
+    "JSON": ("notice", "good not evil"),
+    "ISC": ("notice",),
+    "Apache-": ("apache", "2.0"),
+    "MPL-": ("mozilla", "1.1", "2.0"),
+    "BSD-2": ("reproduce",),
+    "BSD-3": ("reproduce", "endorse"),
+    "BSD-4": ("reproduce", "endorse", "advertising"),
+    **{name: ("general", version, "later") for name, _, version in GNU},
+    **{f"CC-{short}-{v}": tuple(f"{x} {v}" for name in (short, long, long.replace("NoDerivatives", "NoDerivs")) for x in (name, name.replace("-", " "))) for short, long in FLAVOURS.items() for v in VERSIONS},
+}
+#: Words that make another license if one of them stands before this word, and words that may stand inside a run.
+BEFORE, KINDS, BETWEEN = "general", ("lesser", "library", "affero"), ("version", "v")
 SHORT, COVER_SHORT, COVER_LONG, DENSITY = 20, 0.85, 0.6, 0.75
 
 
@@ -64,6 +112,11 @@ def words_of(text: str | None) -> list[str]:
     return WORD.findall((text or "").lower())
 
 
+def plain(word: str) -> str:
+    """A word as it is compared: versions without a v before them and without .0 after them."""
+    return VERSION.sub(r"\1", word)
+
+
 def increasing(values: Sequence[int]) -> list[int]:
     """Places of a longest strictly increasing subsequence, in order."""
     tails: list[int] = []
@@ -126,29 +179,47 @@ class Scanner:
     """Templates as arrays of word numbers; words that no template has are -1."""
 
     def __init__(self, templates: Sequence[tuple[str, str]] = TEMPLATES):
-        texts = [words_of(t) for _, t in templates]
-        self.numbers = {w: i for i, w in enumerate(dict.fromkeys(w for t in texts for w in t))}
+        texts = [[plain(w) for w in words_of(t)] for _, t in templates]
+        self.numbers = {w: i for i, w in enumerate(dict.fromkeys([*KINDS, *BETWEEN, BEFORE, *(w for t in texts for w in t)]))}
         self.templates = [(name, [self.numbers[w] for w in t]) for (name, _), t in zip(templates, texts, strict=True) if t]
-        self.member = np.zeros((len(self.numbers) + 1, len(self.templates)), bool)  # the last row is for -1
+        self.kinds, self.between, self.before = {self.numbers[w] for w in KINDS}, {self.numbers[w] for w in BETWEEN}, self.numbers[BEFORE]
+        self.runs = [self._runs(name, t) for name, t in self.templates]
+        self.member = np.zeros((len(self.templates), len(self.numbers) + 1), bool)  # the last column is for -1
+        self.tells = np.zeros(self.member.shape, np.float32)
         for k, (_, t) in enumerate(self.templates):
-            self.member[t, k] = True
+            self.member[k, t] = True
+            self.tells[k, [t[j] for places in self.runs[k] for j in places[0]]] = 1
+
+    def _runs(self, name: str, template: list[int]) -> list[list[range]]:
+        """The places of each telling run that the template has."""
+        out = []
+        for run in dict.fromkeys(run for start, runs in TELLING.items() if name.startswith(start) for run in runs):
+            ids = [self.numbers.get(plain(w), -1) for w in words_of(run)]
+            places = [range(j, j + len(ids)) for j in range(len(template) - len(ids) + 1) if template[j : j + len(ids)] == ids]
+            if places:
+                out.append(places)
+        return out
 
     def scan(self, words: Sequence[str]) -> list[Finding]:
         """Findings that do not overlap, in the order of the text; of overlapping ones that which matches most words stays."""
-        ids = np.fromiter((self.numbers.get(w, -1) for w in words), np.int32, len(words))
-        known = self.member[ids]
+        number = self.numbers.get
+        ids = np.fromiter((number(plain(w) if w[-1].isdigit() else w, -1) for w in words), np.int32, len(words))
+        absent = np.ones(len(self.numbers) + 1, np.float32)
+        absent[ids] = 0
         found: list[Finding] = []
-        for k in np.flatnonzero(known.any(0)):
-            found += self._find(ids, known[:, k], *self.templates[k])
+        for k in np.flatnonzero(self.tells @ absent == 0):
+            found += self._find(ids, self.member[k][ids], *self.templates[k], self.runs[k])
         out: list[Finding] = []
         for f in sorted(found, key=lambda f: (-f.matched, -f.coverage, f.start, f.license)):
             if all(f.end <= g.start or f.start >= g.end for g in out):
                 out.append(f)
         return sorted(out, key=lambda f: f.start)
 
-    def _find(self, ids: np.ndarray, marks: np.ndarray, name: str, template: list[int]) -> Iterator[Finding]:
+    def _find(self, ids: np.ndarray, marks: np.ndarray, name: str, template: list[int], runs: list[list[range]]) -> Iterator[Finding]:
         least = COVER_SHORT if len(template) <= SHORT else COVER_LONG
         need = int(np.ceil(least * len(template) - 1e-9))
+        if np.count_nonzero(marks) < need:
+            return
         size = int(np.ceil(len(template) / DENSITY))
         total = np.concatenate([[0], np.cumsum(marks)])
         held = total[np.minimum(np.arange(len(marks)) + size, len(marks))] - total[:-1]
@@ -160,10 +231,18 @@ class Scanner:
             pairs = _centred(ids, int(inside[0]), int(inside[-1]) + 1, template)
             coverage = len(pairs) / len(template)
             at = start + step
-            if pairs and coverage >= least - 1e-9:
+            if pairs and coverage >= least - 1e-9 and self._told(ids, pairs, template, runs):
                 yield Finding(name, pairs[0][0], pairs[-1][0] + 1, len(pairs), coverage)
                 at = max(at, pairs[-1][0] + 1)
 
+    def _told(self, ids: np.ndarray, pairs: list[tuple[int, int]], template: list[int], runs: list[list[range]]) -> bool:
+        """Whether an alignment has what tells the template from its siblings."""
+        place = {j: i for i, j in pairs}
+        unbroken = lambda a, b: all(int(x) in self.between for x in ids[a + 1 : b])
+        whole = lambda run: all(j in place for j in run) and all(unbroken(place[j], place[j + 1]) for j in run[:-1])
+        kind = lambda seq, k: int(seq[k - 1]) if k and int(seq[k - 1]) in self.kinds else None
+        return all(any(map(whole, places)) for places in runs) and all(kind(ids, i) == kind(template, j) for i, j in pairs if template[j] == self.before)
+
 
 def _centred(ids: np.ndarray, a0: int, a1: int, template: list[int]) -> list[tuple[int, int]]:
     """The alignment of a window, or of where it says that the whole template lies, as long as that matches more."""
@@ -194,7 +273,8 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """(doc_id, n_words, findings), one row a document; findings: array of (license, start, end, matched, coverage).
 
     start and end count words of the whole text. A finding covers 0.85 of a template of up to 20 words, 0.6 of a longer
-    one. Null, empty and wordless texts have no finding; repeated rows and null ids keep their rows; other columns are
+    one, and has the words that tell the template's license from its siblings (TELLING): a variant without a template
+    gives none. Null, empty and wordless texts have no finding; repeated rows and null ids keep their rows; other columns are
     not read.
     """
     small_batches(docs.sparkSession)

@@ -64,6 +64,28 @@ def test_edits_repeats_and_neighbours():
     assert names("the license of the work under this version is free") == [] == names("")
 
 
+def test_siblings_keep_their_names():
+    scanner = li.Scanner()
+    names = lambda text: [f.license for f in scanner.scan(li.words_of("thonre " * 50 + text + " wherer" * 50))]
+    gnu = "This {} is free software; you can redistribute it and/or modify it under the terms of the GNU {}General Public License as published by the Free Software Foundation; either version {} of the License, or (at your option) any later version. This {} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {}General Public License for more details."
+    for name, subject, kind, version in (("GPL-2.0", "program", "", "2"), ("GPL-2.0", "library", "", "2"), ("GPL-3.0", "program", "", "3.0"), ("LGPL-2.0", "library", "Library ", "2"), ("LGPL-2.1", "library", "Lesser ", "2.1"), ("LGPL-3.0", "program", "Lesser ", "3"), ("AGPL-3.0", "program", "Affero ", "3")):
+        assert names(gnu.format(subject, kind, version, subject, kind)) == [f"{name}-or-later"], (name, subject)
+    assert names(gnu.format("program", "", "4", "program", "")) == [] == names(gnu.format("program", "Affero ", "2", "program", "Affero "))
+    assert names(gnu.format("program", "", "2", "program", "").replace(", or (at your option) any later version", "")) == ["GPL-2.0-only"]
+    assert names("This work is licensed under the GNU Lesser General Public License, version 2.1") == ["LGPL-2.1"]
+    assert names("This work is licensed under the GNU General Public License, version 2 or any later version") == ["GPL-2.0-or-later"]
+    two = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."
+    three = " Neither the name of Foo nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+    four = " 3. All advertising materials mentioning features or use of this software must display the following acknowledgement: This product includes software developed by Foo. 4."
+    assert (names(two), names(two + " 3." + three), names(two + four + three)) == (["BSD-2-Clause"], ["BSD-3-Clause"], ["BSD-4-Clause"])
+    for words, version, name in (("Attribution-NonCommercial-NoDerivatives", "4.0 International", "CC-BY-NC-ND-4.0"), ("Attribution NonCommercial ShareAlike", "4.0 International", "CC-BY-NC-SA-4.0"), ("Attribution", "3.0 Unported", "CC-BY-3.0"), ("Attribution-NoDerivs", "3.0 Unported", "CC-BY-ND-3.0")):
+        assert names(f"This work is licensed under a Creative Commons {words} {version} License") == [name]
+    assert names("Licensed under CC BY NC 4.0") == ["CC-BY-NC-4.0"] and names("Licensed under CC BY version 4.0") == ["CC-BY-4.0"]
+    assert names("This work is licensed under a Creative Commons Attribution 9.0 International License") == [] == names("Licensed under the Apache License, Version 1.1")
+    assert names("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.") == ["0BSD"]
+    assert names(li.MIT_TEXT[0] + " this free copy") == ["MIT-0"] and names("".join(li.MIT_TEXT)) == ["MIT"]
+
+
 def test_dense_texts_take_linear_time():
     scanner = li.Scanner()
     for word in ("the", "license", "under the"):
