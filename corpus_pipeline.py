@@ -34,8 +34,8 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of the pieces of every text."""
-    return pieces.encode_documents(documents_only(docs), pieces.load(), keep=("doc_id", "lang", "source"), with_text=False)
+    """Ids of the pieces of every text, and the text that they decode to."""
+    return pieces.encode_documents(documents_only(docs), pieces.load(), keep=("doc_id", "lang", "source"))
 
 
 STAGES = [
@@ -43,7 +43,7 @@ STAGES = [
     ("MinHash near-dedup", near_dedup),
     ("PII surrogates", pii_surrogates),
     ("mixing sources to target weights", source_mixing),
-    ("SentencePiece encoding", sentencepiece),
+    ("SentencePiece encoding and decoding", sentencepiece),
 ]
 #: The first stage's model and the last one's search are beyond SQL: see tests/llm/test_pipeline.py.
 ORACLE_SQL = None

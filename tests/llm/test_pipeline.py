@@ -83,5 +83,9 @@ def test_pieces_are_those_of_the_public_coder(outputs):
     assert Counter((*r[:4], tuple(r[4])) for r in outputs[5]) == want
 
 
+def test_ids_are_decoded(outputs):
+    assert Counter((r[0], r[5]) for r in outputs[5]) == Counter((r[0], r[1].replace(pieces.MARK, " ")) for r in outputs[4])
+
+
 def test_run_equals_the_stages(spark, outputs):
     assert cp.run(spark, SF).count() > 100
