@@ -8,6 +8,7 @@ to one row a host pair before any join, and each iteration is a table in the sha
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -63,8 +64,10 @@ def host_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
     )
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, max_iter: int = 30, tolerance: float = 1e-6) -> DataFrame:
-    """(host, trust, distrust) by power iteration, until the total change is under tolerance or after max_iter rounds.
+def propagate(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, max_iter: int | None = None, tolerance: float = 1e-6) -> DataFrame:
+    """(host, trust, distrust) by power iteration, until the total change is under tolerance and no new host is reached.
+
+    damping is under 1, so changes shrink by that much a round and the iteration ends; max_iter can end it before.
 
     seeds: (host, trust, distrust), the teleport weights; each column is scaled to sum to 1 (all zero: stays zero).
     A host without links out drops what would leave it. Hosts that neither flow reaches have no row.
@@ -79,13 +82,13 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, max_ite
     start = materialize(long.join(F.broadcast(total), "forward").select("forward", "host", (F.col("s") / F.col("total")).alias("s")), "seeds")
     rank = start.select("forward", "host", F.col("s").alias("r"))
     if not flow.isEmpty():
-        for _ in range(max_iter):
+        for _ in count() if max_iter is None else range(max_iter):
             came = rank.join(flow, (rank.forward == flow.forward) & (rank.host == flow.src)).select(flow.forward, F.col("dst").alias("host"), (damping * F.col("r") * F.col("p")).alias("r"))
             parts = came.withColumn("old", F.lit(0.0)).unionByName(start.select("forward", "host", ((1 - damping) * F.col("s")).alias("r"), F.lit(0.0).alias("old"))).unionByName(rank.select("forward", "host", F.lit(0.0).alias("r"), F.col("r").alias("old")))
             rank = materialize(parts.groupBy("forward", "host").agg(F.sum("r").alias("r"), F.sum("old").alias("old")), "rank")
-            moved = rank.agg(F.sum(F.abs(F.col("r") - F.col("old")))).first()[0]
+            moved, reached = rank.agg(F.sum(F.abs(F.col("r") - F.col("old"))), F.count_if(F.expr("old = 0 AND r > 0"))).first()
             rank = rank.select("forward", "host", "r")
-            if moved is None or moved < tolerance:
+            if moved is None or (moved < tolerance and not reached):
                 break
     of = lambda forward: F.sum(F.when(F.col("forward") == forward, F.col("r")).otherwise(0.0))
     return rank.groupBy("host").agg(of(True).alias("trust"), of(False).alias("distrust"))
@@ -100,7 +103,7 @@ def url_filter(
     threshold: float = 0.5,
     cover: float = 0.5,
     damping: float = 0.85,
-    max_iter: int = 30,
+    max_iter: int | None = None,
 ) -> DataFrame:
     """(page_id, host, path, rule, verdict, trust, distrust), one row a page.
 

@@ -1,3 +1,5 @@
+import inspect
+
 import pytest
 
 from strataframe.llm.url_filter import Rule, host_edges, propagate, url_filter
@@ -72,3 +74,11 @@ def test_empty_and_repeated(spark):
     assert url_filter(spark.createDataFrame([], SCHEMA), RULES).count() == 0
     df = spark.createDataFrame(rows(("x://a.com/", "h")) * 3 + [(None, "x://a.com/", "h", "x", 1.0, 2)], SCHEMA)
     assert [r.rule for r in url_filter(df, RULES).collect()] == ["com/"] * 4
+
+
+def test_distrust_reaches_hosts_at_any_distance(spark):
+    edges = spark.createDataFrame([(f"h{i + 1}", f"h{i}", 1) for i in range(8)], "src string, dst string, weight long")
+    seeds = spark.createDataFrame([("h0", 0.0, 1.0)], "host string, trust double, distrust double")
+    got = {r.host: r.distrust for r in propagate(edges, seeds, tolerance=1.0).collect()}
+    assert len(got) == 9 and all(x > 0 for x in got.values())
+    assert inspect.signature(url_filter).parameters["max_iter"].default is None
