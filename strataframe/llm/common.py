@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import atexit
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +14,7 @@ DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: The white space that separates words, as a Java and Python character class body.
 WORD_CLASS = r"[^\x20\x09-\x0D]+"
 _SCRATCH: dict[str, str] = {}
+_KEPT: list[list[str]] = []
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -28,9 +31,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share (spark.checkpoint.dir); one is set only if none is."""
+    """The folder that driver and executors share (spark.checkpoint.dir); local mode alone can do without."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = "file:///tmp/checkpoints/strataframe"
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -42,7 +47,21 @@ def new_dir(spark: SparkSession, tag: str) -> str:
     if app not in _SCRATCH:
         _SCRATCH[app] = f"{shared_dir(spark)}/scratch-{app}-{uuid.uuid4().hex[:8]}"
         atexit.register(_clean, spark, _SCRATCH[app])
-    return f"{_SCRATCH[app]}/{tag}-{uuid.uuid4().hex}"
+    path = f"{_SCRATCH[app]}/{tag}-{uuid.uuid4().hex}"
+    for made in _KEPT:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def scratch_made() -> Iterator[list[str]]:
+    """The list of the folders that new_dir() gives out meanwhile, for whoever knows when they are done with."""
+    made: list[str] = []
+    _KEPT.append(made)
+    try:
+        yield made
+    finally:
+        _KEPT[:] = [m for m in _KEPT if m is not made]
 
 
 def _clean(spark: SparkSession, path: str) -> None:
@@ -58,7 +77,9 @@ def materialize(df: DataFrame, tag: str, compression: str = "uncompressed") -> D
     spark = df.sparkSession
     path = new_dir(spark, tag)
     df.write.parquet(path, compression=compression)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
 
 
 def remove(spark: SparkSession, *paths: str) -> None:
@@ -68,9 +89,22 @@ def remove(spark: SparkSession, *paths: str) -> None:
         hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
-def path_of(df: DataFrame) -> str:
-    """Folder of a table that materialize() returned."""
-    return df.inputFiles()[0].rsplit("/", 1)[0]
+def drop(*tables: DataFrame) -> None:
+    """Deletes tables that materialize() returned, once nothing reads them any more."""
+    for t in tables:
+        remove(t.sparkSession, t.scratch_path)
+
+
+def range_of(key: Column, edges: list[int]) -> Column:
+    """Place of the first of the sorted edges that is not below key, by binary search; the last one for greater keys."""
+    held = F.split(F.lit(",".join(map(str, edges))), ",").cast("array<long>")
+    state = lambda lo, hi: F.struct(lo.alias("lo"), hi.alias("hi"))
+
+    def halve(s: Column, _: Column) -> Column:
+        mid = F.shiftright(s["lo"] + s["hi"], 1)
+        return F.when(F.get(held, mid) >= key, state(s["lo"], mid)).otherwise(state(F.least(s["hi"], mid + 1), s["hi"]))
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(len(edges).bit_length() + 1)), F.struct(F.lit(0).alias("lo"), F.lit(len(edges) - 1).alias("hi")), halve, lambda s: s["lo"])
 
 
 def ascii_lower(c: Column) -> Column:

@@ -5,14 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataframe.llm.common import materialize, path_of, remove
+from strataframe.llm.common import drop, materialize
 
+#: Nodes with more than this part of all rows are heavy: fewer than so many can be, and their least goes to every task.
+HEAVY = 256
 
-def _star(pairs: DataFrame, large: bool) -> DataFrame:
-    """pairs (u, v), u > v. Large: each node ties its larger neighbours to the least of its neighbourhood; small: the others."""
+
+def _star(pairs: DataFrame, large: bool, rows: int) -> DataFrame:
+    """pairs (u, v), u > v. Large: each node ties its larger neighbours to the least of its neighbourhood; small: the others.
+
+    rows: how many pairs there are. The least of a heavy node is broadcast and its ties are dealt by their other end.
+    """
     ties = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else pairs
-    least = ties.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    joined = ties.join(least, "u")
+    least = ties.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), (F.col("n") * HEAVY > rows * (1 + large)).alias("heavy"))
+    heavy = least.where("heavy").select("u", F.col("m").alias("heavy_m"))  # under HEAVY rows, as their ties add up to all
+    light = least.where("NOT heavy").select(F.col("u").alias("key"), F.lit(False).alias("of_heavy"), "m")
+    known = ties.join(F.broadcast(heavy), "u", "left").withColumn("of_heavy", F.col("heavy_m").isNotNull())
+    known = known.withColumn("key", F.when(F.col("of_heavy"), F.col("v")).otherwise(F.col("u")))
+    joined = known.join(light, ["key", "of_heavy"], "left").select("u", "v", F.coalesce("heavy_m", "m").alias("m"))
     out = joined.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")) if large else joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
     return out.where("u > v").distinct()
 
@@ -21,20 +31,20 @@ def components(links: DataFrame) -> DataFrame:
     """(node, label) for every node that the links (a, b) name: label is the least node that it can reach.
 
     Links that repeat, point both ways or join a node with itself change nothing; those with a null count for nothing.
-    The number of rounds grows with the logarithm of the longest chain; each is a table in the shared folder.
+    The number of rounds grows with the logarithm of the longest chain; each is a table in the shared folder, and all
+    but the last are deleted as soon as the next is there. A node may have any share of the links.
     """
-    spark = links.sparkSession
     nodes = links.select(F.explode(F.array("a", "b")).alias("node")).where("node IS NOT NULL").distinct()
     pairs = materialize(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("a <> b").distinct(), "pairs")
-    state = None
-    while True:
-        after = materialize(_star(_star(pairs, True), False), "pairs")
-        now = after.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now[0]:
-            remove(spark, path_of(pairs)) if state is not None else None
+    state, rows = None, pairs.count()
+    while rows:
+        tied = materialize(_star(pairs, True, rows), "pairs")
+        after = materialize(_star(tied, False, tied.count()), "pairs")
+        drop(pairs, tied)
         pairs = after
-        if now == state or not now[0]:
+        now = pairs.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        if now == state:
             break
-        state = now
+        state, rows = now, now[0]
     labels = pairs.select(F.col("u").alias("node"), F.col("v").alias("label"))
     return nodes.join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("label"))

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strataframe.llm.common import materialize, small_batches
+from strataframe.llm.common import drop, materialize, remove, scratch_made, small_batches
 from strataframe.llm.components import components
 
 SHINGLE = 5
@@ -155,10 +155,12 @@ def _fetch_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataF
     """(digest, hashes) of the wanted classes, from the text of one document each."""
     picked = materialize(classes.join(wanted, "digest", "left_semi").select("fetch", "digest"), "dedup-wanted")
     ids = picked.select(F.col("fetch").alias("key"))
-    near = F.broadcast(ids) if picked.count() <= BROADCAST_IDS else ids
+    near = F.broadcast(ids) if picked.count() <= BROADCAST_IDS else ids  # the same rows either way, of a checked size
     texts = docs.join(near, "key", "left_semi").select("text")
     found = texts.mapInPandas(_sets, "digest string, hashes array<long>")
-    return materialize(found.join(wanted, "digest", "left_semi").dropDuplicates(["digest"]), "dedup-sets")
+    sets = materialize(found.join(picked, "digest", "left_semi").dropDuplicates(["digest"]), "dedup-sets")
+    drop(picked)
+    return sets
 
 
 def _labelled(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -170,49 +172,73 @@ def _labelled(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     member = signed.where("digest IS NOT NULL")
     classes = member.groupBy("digest").agg(F.min("doc_id").alias("least"), F.min(F.coalesce("doc_id", F.lit(LOWEST))).alias("fetch"), F.first("bands").alias("bands"))
     classes = materialize(classes, "dedup-classes")
-    labels = _class_labels(docs, classes, percent)
-    grouped = classes.select("digest", "least").join(labels.select(F.col("node").alias("digest"), "label"), "digest", "left").select("digest", "least", F.coalesce("label", "digest").alias("label"))
-    smallest = grouped.groupBy("label").agg(F.min("least").alias("smallest"))
-    return signed.drop("bands"), materialize(grouped.join(smallest, "label").select(F.col("digest").alias("of"), "label", "smallest"), "dedup-components")
+    with scratch_made() as used:
+        labels = _class_labels(docs, classes, percent)
+        grouped = classes.select("digest", "least").join(labels.select(F.col("node").alias("digest"), "label"), "digest", "left").select("digest", "least", F.coalesce("label", "digest").alias("label"))
+        smallest = grouped.groupBy("label").agg(F.min("least").alias("smallest"))
+        found = materialize(grouped.join(smallest, "label").select(F.col("digest").alias("of"), "label", "smallest"), "dedup-components")
+    remove(docs.sparkSession, classes.scratch_path, *(p for p in used if p != found.scratch_path))
+    return signed.drop("bands"), found
 
 
 def _class_labels(docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """(node, label): components of the classes that have links."""
     banded = classes.select(F.explode("bands").alias("band"), "digest")
     shared = banded.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
-    hits = materialize(banded.join(shared, "band").select("band", "digest"), "dedup-hits")
-    sets = _fetch_sets(docs, classes, hits.select("digest").distinct())
+    candidates = materialize(banded.join(shared, "band").select("band", "digest"), "dedup-hits")
+    sets = _fetch_sets(docs, classes, candidates.select("digest").distinct())
 
     # a class whose own shingles alone keep it below the threshold has no link; the one with the fewest is the centre
     linkable = materialize(common_shingles(sets).where(100 * F.col("common") >= percent * F.col("n")), "dedup-linkable")
-    hits = hits.join(linkable, "digest")
+    hits = candidates.join(linkable, "digest")
     centres = hits.groupBy("band").agg(F.count("*").alias("size"), F.min(F.struct((F.col("n") - F.col("common")).alias("alone"), "digest", "n", "common")).alias("centre")).where("size > 1")
     hits = materialize(hits.join(centres, "band"), "dedup-hits")
+    drop(candidates, linkable)
     star = hits.where((F.col("digest") != F.col("centre.digest")) & _may_link(F.struct("n", "common"), F.col("centre"), percent))
-    star = materialize(star.select(F.least("digest", "centre.digest").alias("a"), F.greatest("digest", "centre.digest").alias("b")).distinct(), "dedup-star")
+    star = star.select(F.least("digest", "centre.digest").alias("a"), F.greatest("digest", "centre.digest").alias("b")).distinct()
     links = materialize(confirmed(star, sets, percent), "dedup-links")
     labels = materialize(components(links), "dedup-labels")
 
     # what one centre left apart: all pairs of a bucket that are not yet in one component, in blocks
     labeled = hits.join(labels.select(F.col("node").alias("digest"), "label"), "digest", "left").withColumn("label", F.coalesce("label", "digest"))
-    labeled = labeled.select("band", "size", "digest", "n", "common", "label", F.col("centre.digest").alias("centre_digest"), F.col("centre.n").alias("centre_n"))
+    labeled = labeled.select("band", "digest", "n", "common", "label", F.col("centre.digest").alias("centre_digest"), F.col("centre.n").alias("centre_n"))
     split = labeled.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("band")
     apart = materialize(labeled.join(split, "band", "left_semi"), "dedup-apart")
+    drop(hits, links)
     differences = materialize(_differences(apart.where("digest <> centre_digest").select("digest", "centre_digest").distinct(), sets), "dedup-differences")
+    drop(sets)
     own_bands = apart.groupBy("digest").agg(F.collect_list("band").alias("bands"))
     empty = F.array().cast("array<long>")
     members = apart.join(own_bands, "digest").join(differences, ["digest", "centre_digest"], "left").withColumns({"more": F.coalesce("more", empty), "less": F.coalesce("less", empty)})
-    members = members.withColumn("block", F.pmod(F.xxhash64("digest"), F.ceil(F.col("size") / BLOCK)).cast("int"))
-    fields = ("digest", "n", "common", "label", "bands", "more", "less")
-    blocks = materialize(members.groupBy("band", "centre_n", "block").agg(F.collect_list(F.struct(*fields)).alias("members")), "dedup-blocks")
-    one, two = (blocks.select("band", "centre_n", F.col("block").alias(f"{s}_block"), F.col("members").alias(s)) for s in ("left", "right"))
-    twos = one.join(two, ["band", "centre_n"]).where("left_block <= right_block").withColumn("same", F.col("left_block") == F.col("right_block"))
-    more = materialize(twos.select(F.explode(_cross_links(percent)).alias("p")).select("p.a", "p.b"), "dedup-links")
+    more = materialize(_settled(members, percent), "dedup-links")
+    drop(apart, differences)
     if more.isEmpty():
         return labels
     return components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(more))
 
 
+def _settled(members: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between members of a band in different components, from blocks of about BLOCK members.
+
+    A component with many members in a band has blocks of its own, which are not compared with each other; the members
+    of all small ones are mixed. Every two blocks to be compared are a task's group of their own.
+    """
+    in_band = members.groupBy("band", "label").agg(F.count("*").alias("own"))
+    small = in_band.groupBy("band").agg(F.coalesce(F.sum(F.when(F.col("own") < BLOCK, F.col("own"))), F.lit(0)).alias("mixed"))
+    dealt = members.join(in_band.join(small, "band"), ["band", "label"])
+    at = lambda hashed, n: F.pmod(F.xxhash64(hashed), F.ceil(n / BLOCK)).cast("string")
+    own = F.concat(F.col("label"), F.lit("#"), at("digest", F.col("own")))
+    dealt = dealt.withColumn("block", F.when(F.col("own") < BLOCK, at("label", F.col("mixed"))).otherwise(own))
+    fields = ("digest", "n", "common", "label", "bands", "more", "less")
+    blocks = materialize(dealt.groupBy("band", "centre_n", "block").agg(F.collect_list(F.struct(*fields)).alias("members"), F.min("label").alias("low"), F.max("label").alias("high")), "dedup-blocks")
+    one, two = (blocks.select("band", F.col("block").alias(f"{s}_block"), F.col("low").alias(f"{s}_low"), F.col("high").alias(f"{s}_high")) for s in ("left", "right"))
+    alike = F.expr("left_low = right_high AND left_high = right_low")  # one and the same component throughout
+    twos = one.join(two, "band").where((F.col("left_block") <= F.col("right_block")) & ~alike).select("band", "left_block", "right_block")
+    left, right = (blocks.select("band", F.col("block").alias(f"{s}_block"), F.col("members").alias(s), *["centre_n"] * (s == "left")) for s in ("left", "right"))
+    met = twos.join(left, ["band", "left_block"]).join(right, ["band", "right_block"]).withColumn("same", F.col("left_block") == F.col("right_block"))
+    return met.select(F.explode(_cross_links(percent)).alias("p")).select("p.a", "p.b")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row a document.
 
