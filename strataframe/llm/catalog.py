@@ -81,17 +81,26 @@ def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op8_source_mixing"] = """
-WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size, md5('0:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS key FROM documents),
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size, md5('0:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS key FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS place FROM d GROUP BY source),
 w AS (SELECT *, 3 * source_size AS cap, list_extract([5, 2, 1], (place - 1) % 3 + 1) AS weight FROM s),
 l AS (SELECT *, cap / weight AS filled_at, (sum(source_size) OVER () - coalesce(sum(cap) OVER (ORDER BY cap / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::BIGINT
   / (sum(weight) OVER (ORDER BY cap / weight, place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::BIGINT AS own_level FROM w),
 f AS (SELECT own_level AS level FROM l WHERE own_level <= filled_at ORDER BY filled_at, place LIMIT 1),
-t AS (SELECT source, source_size, cap, CASE WHEN source_size = 0 THEN 0.0::DOUBLE ELSE least(cap::DOUBLE, level * weight) END AS target FROM l, f),
+t AS (SELECT source, place, source_size, cap, CASE WHEN source_size = 0 THEN 0.0::DOUBLE ELSE least(cap::DOUBLE, level * weight) END AS target FROM l, f),
 q AS (SELECT *, least(cap, floor(target + 0.5)::BIGINT) AS quota FROM t),
-o AS (SELECT d.*, sum(size) OVER (PARTITION BY source ORDER BY key, doc_id NULLS LAST, size ROWS UNBOUNDED PRECEDING) - size AS o FROM d)
-SELECT doc_id, size, source_size, target, (greatest(0, least(o + size, quota) - o) + greatest(0, least(o + source_size + size, quota) - o - source_size)
-  + greatest(0, least(o + 2 * source_size + size, quota) - o - 2 * source_size))::BIGINT AS taken FROM o JOIN q ON o.source IS NOT DISTINCT FROM q.source
+o AS (SELECT d.*, (sum(size) OVER (PARTITION BY source ORDER BY key, doc_id NULLS LAST, size, rid ROWS UNBOUNDED PRECEDING) - size)::BIGINT AS o FROM d),
+k AS (SELECT greatest(1, least(256, sum(quota)::BIGINT // greatest(1, 64 * count(*) FILTER (quota > 0)))) AS b FROM q),
+c AS (SELECT place, (quota + b - 1) // b AS slots, sum((quota + b - 1) // b) OVER (ORDER BY place)::BIGINT AS upto FROM q, k),
+n AS (SELECT max(upto) AS n, round(max(upto) * (sqrt(5) - 1) / 2)::BIGINT AS near FROM c),
+g AS (SELECT n, g FROM (SELECT n, v AS d, unnest([near + v, near - v]) AS g FROM n, range(1000) r(v)) WHERE g BETWEEN 1 AND greatest(1, n) AND gcd(g, n) = 1 ORDER BY d, g DESC LIMIT 1),
+x AS (SELECT slot, slot * g % n AS cell FROM g, range((SELECT n FROM g)) r(slot)),
+r AS (SELECT slot, place, row_number() OVER (PARTITION BY place ORDER BY slot) - 1 AS rank FROM x JOIN c ON cell >= upto - slots AND cell < upto),
+p AS (SELECT rid, place, o + e * source_size AS a, least(o + e * source_size + size, quota) AS z FROM o JOIN q ON o.source IS NOT DISTINCT FROM q.source, range(3) v(e) WHERE size > 0 AND o + e * source_size < quota),
+m AS (SELECT rid, place, a, z, unnest(range(a // b, (z - 1) // b + 1)) AS block, b FROM p, k),
+y AS (SELECT rid, sum(least(z, (block + 1) * b) - greatest(a, block * b))::BIGINT AS taken, min(slot) AS first_slot, max(slot) AS last_slot, count(*) AS n_slots FROM m JOIN r ON m.place = r.place AND block = rank GROUP BY rid)
+SELECT doc_id, size, source_size, target, coalesce(taken, 0) AS taken, first_slot, last_slot, coalesce(n_slots, 0) AS n_slots
+FROM o JOIN q ON o.source IS NOT DISTINCT FROM q.source LEFT JOIN y ON y.rid = o.rid
 """
 
 

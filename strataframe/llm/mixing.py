@@ -4,7 +4,8 @@ Each source's documents, shuffled by a keyed hash, form a stream of words that r
 of equal size. The schedule maps golden-ratio points through the cumulative weights of the sources: slot t of n takes
 the point t * g mod n, where g is the whole number next to n / golden ratio that shares no factor with n. As these
 points are a permutation of the n cells, every source gets exactly its number of slots, evenly spread. A source's
-r-th slot takes its r-th block. Texts are dropped as soon as their words are counted: only numbers are shuffled.
+r-th slot takes its r-th block. Texts are dropped as soon as their words are counted: only numbers are shuffled, and
+rows that repeat are one row with a count until they are placed.
 """
 
 from __future__ import annotations
@@ -18,6 +19,9 @@ from strataframe.llm.common import WORD_CLASS, materialize
 
 #: The weights that sources take in turn, by code point.
 WEIGHTS = (5, 2, 1)
+COPIES, HEAVY = 1_000, 256  # repeated rows placed at once; texts with more than this part of all copies are dealt out
+WORDS_A_TASK = 10_000_000  # of the written mix
+
 
 def word_count(text: Column) -> Column:
     """Number of maximal runs of non-space characters; null: 0."""
@@ -96,16 +100,31 @@ def placed_documents(docs: DataFrame, id_col: str, source_col: str, text_col: st
     """
     key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col(id_col).cast("string"), F.lit("null"))).cast("binary"))
     counted = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), key.alias("key"), *carry)
-    counted = materialize(counted.withColumn("bucket", F.conv(F.substring("key", 1, 3), 16, 10).cast("int")), "mix-sizes")
-    targets = materialize(source_targets(counted.select("source", "size"), weights, most_times), "mix-targets")
+    counted = materialize(counted.groupBy("doc_id", "source", "size", "key", *carry).agg(F.count("*").alias("copies")), "mix-sizes")
+    counted = counted.withColumn("bucket", F.conv(F.substring("key", 1, 3), 16, 10).cast("int"))
+    targets = materialize(source_targets(counted.select("source", (F.col("size") * F.col("copies")).alias("size")), weights, most_times), "mix-targets")
     t = targets.select(F.col("source").alias("of"), "source_size", "place", "target", "quota")
-    rows = counted.join(t, F.col("source").eqNullSafe(F.col("of"))).drop("of")
+    rows = counted.join(t, F.col("source").eqNullSafe(F.col("of"))).drop("of").withColumn("words", F.col("size") * F.col("copies"))
     in_bucket = Window.partitionBy("place", "bucket").orderBy("key", F.col("doc_id").asc_nulls_last(), "size", *carry)
-    inside = rows.withColumn("row", F.row_number().over(in_bucket)).withColumn("within", F.sum("size").over(in_bucket.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
-    sums = rows.groupBy("place", "bucket").agg(F.sum("size").alias("n"))
+    before = lambda c: F.sum(c).over(in_bucket.rowsBetween(Window.unboundedPreceding, 0)) - F.col(c)
+    inside = rows.withColumns({"row": before("copies"), "within": before("words")})
+    sums = rows.groupBy("place", "bucket").agg(F.sum("words").alias("n"))
     starts = sums.select("place", "bucket", (F.sum("n").over(Window.partitionBy("place").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")).alias("start"))
-    placed = inside.join(starts, ["place", "bucket"])
-    return placed.select("doc_id", "source", "size", "bucket", "row", "source_size", "place", "target", "quota", (F.col("start") + F.col("within")).alias("offset"), *carry), targets
+    placed = inside.join(starts, ["place", "bucket"]).withColumn("offset", F.col("start") + F.col("within"))
+    placed = _each_copy(placed, counted.agg(F.max("copies")).first()[0] or 1)
+    return placed.select("doc_id", "source", "size", "bucket", "row", "source_size", "place", "target", "quota", "offset", *carry), targets
+
+
+def _each_copy(placed: DataFrame, most: int) -> DataFrame:
+    """placed with a row, and an offset, for each of its copies; many copies of one row are dealt to tasks in parts."""
+    if most < 2:
+        return placed
+    parts = placed.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / COPIES))))
+    if most > COPIES:
+        parts = parts.repartition("place", "bucket", "row", "part")
+    first = F.col("part") * COPIES
+    each = parts.withColumn("i", F.explode(F.sequence(first, F.least(F.col("copies"), first + COPIES) - 1)))
+    return each.withColumns({"row": F.col("row") + F.col("i"), "offset": F.col("offset") + F.col("i") * F.col("size")})
 
 
 def pieces(placed: DataFrame, block_words: int) -> DataFrame:
@@ -123,30 +142,32 @@ def pieces(placed: DataFrame, block_words: int) -> DataFrame:
     return rows.withColumn("words", words).drop("start", "stop")
 
 
+def _scheduled(placed: DataFrame, targets: DataFrame, how: str = "inner") -> DataFrame:
+    """Each document's shares of blocks with the slots that take them."""
+    block_words = block_size(targets)
+    return pieces(placed, block_words).join(schedule(targets, block_words), (F.col("place") == F.col("source_place")) & (F.col("block") == F.col("rank")), how)
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", seed: int = 0, weights: tuple[int, ...] = WEIGHTS, most_times: int = 3) -> DataFrame:
     """The mix in order: (slot, doc_id, source, epoch, block, words), one row for each document in each scheduled block.
 
     A slot's rows make its block; slots in order make the mix.
     """
-    placed, targets = placed_documents(docs, id_col, source_col, text_col, seed, weights, most_times)
-    block_words = block_size(targets)
-    slots = schedule(targets, block_words)
-    return pieces(placed, block_words).join(slots, (F.col("place") == F.col("source_place")) & (F.col("block") == F.col("rank"))).select("slot", "doc_id", "source", "epoch", "block", "words")
+    return _scheduled(*placed_documents(docs, id_col, source_col, text_col, seed, weights, most_times)).select("slot", "doc_id", "source", "epoch", "block", "words")
 
 
-def mix_digest(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", seed: int = 0, weights: tuple[int, ...] = WEIGHTS, most_times: int = 3, carry: tuple[str, ...] = ()) -> DataFrame:
-    """(doc_id, size, source_size, target, taken, *carry), one row a document: the words that the mix takes of it.
+def mix_digest(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", seed: int = 0, weights: tuple[int, ...] = WEIGHTS, most_times: int = 3) -> DataFrame:
+    """(doc_id, size, source_size, target, taken, first_slot, last_slot, n_slots), one row a document.
 
-    Null and blank texts have size 0 and nothing is taken of them; a null source is a source; null ids, repeated ids
-    and repeated rows each keep their row. A source without words has target 0. An empty table gives no row. Other
-    columns are not read. taken is at most most_times the size, and a source's sum is its target, rounded.
+    taken: the words that the mix takes of it, at most most_times the size; a source's sum is its target, rounded.
+    first_slot, last_slot and n_slots: when the schedule takes them, null and 0 if never. Null and blank texts have
+    size 0 and nothing is taken of them; a null source is a source; null ids, repeated ids and repeated rows each keep
+    their row. A source without words has target 0. An empty table gives no row. Other columns are not read.
     """
-    placed, targets = placed_documents(docs, id_col, source_col, text_col, seed, weights, most_times, carry)
-    block_words = block_size(targets)
-    slots = schedule(targets, block_words)
-    taken = pieces(placed, block_words).join(slots, (F.col("place") == F.col("source_place")) & (F.col("block") == F.col("rank")), "left")
-    by = ["place", "bucket", "row", "doc_id", "size", "source_size", "target", *carry]
-    return taken.groupBy(*by).agg(F.coalesce(F.sum(F.when(F.col("slot").isNotNull(), F.col("words"))), F.lit(0)).cast("long").alias("taken")).select("doc_id", "size", "source_size", "target", "taken", *carry)
+    taken = _scheduled(*placed_documents(docs, id_col, source_col, text_col, seed, weights, most_times), "left")
+    words = F.coalesce(F.sum(F.when(F.col("slot").isNotNull(), F.col("words"))), F.lit(0)).cast("long")
+    found = taken.groupBy("place", "bucket", "row", "doc_id", "size", "source_size", "target").agg(words.alias("taken"), F.min("slot").alias("first_slot"), F.max("slot").alias("last_slot"), F.count("slot").alias("n_slots"))
+    return found.drop("place", "bucket", "row")
 
 
 def first_words(text: Column, n: Column) -> Column:
@@ -155,23 +176,32 @@ def first_words(text: Column, n: Column) -> Column:
 
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", chars_col: str = "n_chars", seed: int = 0, weights: tuple[int, ...] = WEIGHTS, most_times: int = 3) -> DataFrame:
-    """What the mix holds, as rows of docs: each document as often as it is taken whole, and cut where it is taken in part.
+    """What the mix holds, as rows of docs in the order of the schedule: each document as often as it is taken, cut where
+    it is taken in part.
 
-    Documents of which nothing is taken are missing; a cut text has its own number of characters in chars_col. Rows
-    whose id, source and text are equal are taken together, with the least of their other columns.
+    A copy stands where the first of its blocks is scheduled. Documents of which nothing is taken are missing; a cut
+    text has its own number of characters in chars_col. Rows whose id, source and text are equal have the least of
+    their other columns. Null and blank texts are never taken; an empty table gives no row.
     """
     marks = [x for c in (text_col, source_col) for x in (F.col(c), F.col(c).isNull())]
     keys = {"__key": F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))), "__hash": F.xxhash64(*marks)}
+    placed, targets = placed_documents(docs.withColumns(keys), id_col, source_col, text_col, seed, weights, most_times, ("__key", "__hash"))
+    at = (F.col("offset") + F.col("epoch") * F.col("source_size")).alias("__at")
+    copies = _scheduled(placed, targets).groupBy("place", "bucket", "row", "__key", "__hash", "size", at).agg(F.min("slot").alias("__slot"), F.sum("words").alias("__taken"))
+    copies = materialize(copies.select("__key", "__hash", "__at", "__slot", "__taken", (F.col("__taken") == F.col("size")).alias("__whole")), "mix-copies")
+    slots, words, rows = copies.agg(F.max("__slot"), F.sum("__taken"), F.count("*")).first()
+    # the copies of a text that makes much of the mix are dealt out, and the text goes to each part of them
+    heavy = F.broadcast(copies.groupBy("__key", "__hash").agg(F.count("*").alias("n")).where(F.col("n") * HEAVY > max(rows, HEAVY * COPIES)).drop("n").withColumn("__heavy", F.lit(True)))
+    copies = copies.join(heavy, ["__key", "__hash"], "left").withColumn("__part", F.when(F.col("__heavy"), F.pmod(F.xxhash64("__at"), F.lit(HEAVY))).otherwise(F.lit(0).cast("long"))).drop("__heavy")
     others = [c for c in docs.columns if c not in (id_col, text_col, source_col)]
-    taken = mix_digest(docs.withColumns(keys), id_col, source_col, text_col, seed, weights, most_times, carry=("__key", "__hash")).where("taken > 0")
-    taken = taken.groupBy("__key", "__hash").agg(F.sum("taken").alias("__taken"), F.min("size").alias("__size"))
     rest = [F.min(F.struct(*others)).alias("__others")] if others else []
-    rows = docs.withColumns(keys).join(taken, ["__key", "__hash"]).groupBy("__key", "__hash", "__taken", "__size").agg(*[F.first(c).alias(c) for c in (id_col, text_col, source_col)], *rest)
-    whole = F.floor(F.col("__taken") / F.col("__size"))
-    left = F.col("__taken") % F.col("__size")
-    copies = F.filter(F.concat(F.array_repeat(F.lit(None).cast("int"), whole.cast("int")), F.array(left.cast("int"))), lambda w: w.isNull() | (w > 0))
-    rows = rows.withColumn("__words", F.explode(copies))
-    cut = F.when(F.col("__words").isNull(), F.col(text_col)).otherwise(first_words(F.col(text_col), F.col("__words")))
-    rows = rows.withColumn(text_col, cut)
-    chars = lambda c: F.when(F.col("__words").isNull(), F.col(f"__others.`{c}`")).otherwise(F.length(text_col)).alias(c) if c == chars_col else F.col(f"__others.`{c}`").alias(c)
-    return rows.select(*[chars(c) if c in others else c for c in docs.columns])
+    texts = docs.withColumns(keys).groupBy("__key", "__hash").agg(*[F.first(c).alias(c) for c in (id_col, text_col, source_col)], *rest)
+    parts = F.when(F.col("__heavy"), F.sequence(F.lit(0).cast("long"), F.lit(HEAVY - 1).cast("long"))).otherwise(F.array(F.lit(0).cast("long")))
+    texts = texts.join(heavy, ["__key", "__hash"], "left").withColumn("__part", F.explode(parts)).drop("__heavy")
+    cut = F.when(F.col("__whole"), F.col(text_col)).otherwise(first_words(F.col(text_col), F.col("__taken").cast("int")))
+    mixed = copies.join(texts, ["__key", "__hash", "__part"]).withColumn(text_col, cut)
+    tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), (words or 0) // WORDS_A_TASK)
+    task = F.floor(F.col("__slot").cast("double") * tasks / ((slots or 0) + 1)).cast("int")
+    mixed = mixed.withColumn("__task", task).repartitionById(tasks, "__task").sortWithinPartitions("__slot", "__at")
+    chars = lambda c: F.when(F.col("__whole"), F.col(f"__others.`{c}`")).otherwise(F.length(text_col)).alias(c) if c == chars_col else F.col(f"__others.`{c}`").alias(c)
+    return mixed.select(*[chars(c) if c in others else c for c in docs.columns])

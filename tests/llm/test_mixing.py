@@ -1,5 +1,6 @@
 import random
 import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -92,4 +93,49 @@ def test_mix_covers_digest(spark):
 def test_empty(spark):
     assert mixing.mix_digest(frame(spark, [])).count() == 0
     (r,) = mixing.mix_digest(frame(spark, [(1, None, None)])).collect()
-    assert tuple(r) == (1, 0, 0, 0.0, 0)
+    assert tuple(r) == (1, 0, 0, 0.0, 0, None, None, 0)
+
+
+def test_repeated_rows_are_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "COPIES", 4)
+    monkeypatch.setattr(mixing, "HEAVY", 2)
+    rows = [(5, "a b c", "one")] * 30 + [(6, "d e", "one")] * 3 + [(7, "f g h i", "two"), (7, "x", "two")]
+    got = mixing.mix_digest(frame(spark, rows)).collect()
+    slots = Counter(r.slot for r in mixing.mix(frame(spark, rows)).collect())
+    assert Counter(r.doc_id for r in got) == {5: 30, 6: 3, 7: 2} and sum(r.n_slots for r in got) == sum(slots.values())
+    mixed = Counter((r.doc_id, r.text) for r in mixing.mixed_documents(frame(spark, rows), chars_col="none").collect())
+    assert sum(len(t.split()) * n for (_, t), n in mixed.items()) == sum(r.taken for r in got)
+    assert mixed[5, "a b c"] == sum(r.taken == 3 for r in got if r.doc_id == 5) > 20
+
+
+def test_the_schedule_decides(spark, monkeypatch):
+    """The digest's slots are those of t * g mod n by hand, and another step gives others."""
+    rows = [(i, "w " * (1 + i % 9), f"s{i % 3}") for i in range(90)]
+    got = mixing.mix_digest(frame(spark, rows)).collect()
+    order = mixing.mix(frame(spark, rows)).collect()
+    by_doc = {}
+    for r in order:
+        by_doc.setdefault(r.doc_id, []).append(r.slot)
+    assert {r.doc_id: (r.first_slot, r.last_slot, r.n_slots) for r in got} == {i: (min(by_doc[i]), max(by_doc[i]), len(by_doc[i])) if i in by_doc else (None, None, 0) for i in range(90)}
+    n = 1 + max(r.slot for r in order)
+    step, slots_of = mixing.step_for(n), Counter()
+    source = {r.slot: r.source for r in order}
+    for s in source.values():
+        slots_of[s] += 1
+    cells = [s for s in sorted(slots_of) for _ in range(slots_of[s])]
+    assert [source[t] for t in range(n)] == [cells[t * step % n] for t in range(n)]
+    monkeypatch.setattr(mixing, "step_for", lambda slots: 1)
+    assert sorted(map(repr, mixing.mix_digest(frame(spark, rows)).collect())) != sorted(map(repr, got))
+
+
+def test_documents_come_in_the_order_of_the_schedule(spark):
+    rows = [(i, f"w{i} " * (1 + i % 9), f"s{i % 3}") for i in range(200)]
+    docs = frame(spark, rows)
+    first = {}
+    for r in mixing.mix(docs).collect():
+        first[r.doc_id, r.epoch] = min(r.slot, first.get((r.doc_id, r.epoch), r.slot))
+    times, at = Counter(), []
+    for r in mixing.mixed_documents(docs, chars_col="none").collect():
+        at.append(sorted(v for (i, _), v in first.items() if i == r.doc_id)[times[r.doc_id]])
+        times[r.doc_id] += 1
+    assert at == sorted(at) and len(at) == len(first)
