@@ -1,7 +1,11 @@
+import hashlib
+import os
 import random
 import re
 
 import pytest
+import regex
+import xxhash
 from pyspark.sql import functions as F
 
 from strataframe.llm import pii
@@ -109,5 +113,103 @@ def test_cycles(names):
     assert sorted(got) == sorted(got.values()) and all(a != b for a, b in got.items())
 
 
+def test_people_are_replaced_throughout_a_text(spark):
+    got = run(spark, ["John Smith called. John said hi. Smith's boss left. Contact Xavier Quillfeather. JOHN!", "Dr. Maria Gonzalez wrote.", "Smith left. John said hi.", "Bob Uncle <bob@x.org>", "Name: Quentin O'Hara-Jones, ok", "我叫王小明先生。", "السيد أحمد هنا", "김철수 씨", "The End. Of All Things"])
+    found = [[(e.norm, e.to) for e in got[i]["__found"]] for i in range(9)]
+    assert [n for n, _ in found[0]] == ["john smith", "john", "smith", "xavier quillfeather", "john"]
+    given, family = found[0][0][1].split()
+    assert got[0].text == f"{given} {family} called. {given} said hi. {family}'s boss left. Contact {found[0][3][1]}. {given.upper()}!"
+    assert not re.search("John|Smith|Xavier|Quillfeather", got[0].text, re.I)
+    (_, maria), = found[1]
+    assert maria.split()[1] in pii.GIVEN["latin", "female"] and maria.split()[2] in pii.FAMILY["latin"]
+    assert not found[2] and not found[8] and [n for n, _ in found[3]] == ["bob uncle", "bob@x.org"] and found[4][0][0] == "quentin o'hara-jones"
+    assert found[5][0][1][0] in pii.FAMILY["han"] and len(found[5][0][1]) == 3 and got[5].text.endswith("先生。") and found[6][0][1].startswith("السيد ") and len(found[7][0][1]) == 3
+
+
+def mod97(iban):
+    s = iban.replace(" ", "")
+    return int("".join(str(int(c, 36)) for c in s[4:] + s[:4])) % 97
+
+
+def test_numbers_stay_valid_and_in_their_ranges(spark):
+    ips = ["192.168.1.10", "10.2.3.4", "172.20.0.1", "127.0.0.1", "169.254.7.7", "240.1.2.3", "8.8.4.4", "223.255.255.1"]
+    ssn = ["123-45-6789", "665-45-6789", "667-01-0001", "900-70-0001", "000-12-3456", "666-12-0000", "899-99-9999"]
+    ibans = ["DE89370400440532013000", "GB29 NWBK 6016 1331 9268 19", "DE88370400440532013000", "NO9386011117947"]
+    got = run(spark, ips + ssn + ibans)
+    to = {t: got[i]["__found"][0].to for i, t in enumerate(ips + ssn + ibans)}
+    assert all(to[t] != t for t in to)
+    assert [to[t].rsplit(".", 4 - n)[0] for t, n in zip(ips[:5], (2, 1, 1, 1, 2), strict=True)] == ["192.168", "10", "172", "127", "169.254"] and 16 <= int(to[ips[2]].split(".")[1]) < 32
+    first = [int(to[t].split(".")[0]) for t in ips[5:]]
+    assert first[0] >= 224 and all(0 < x < 224 and x not in (10, 127) for x in first[1:])
+    area = [int(to[t][:3]) for t in ssn]
+    assert all(0 < area[i] < 900 and area[i] != 666 for i in (0, 1, 2, 6)) and area[3] >= 900 and area[4:6] == [0, 666] and to[ssn[5]].endswith("-0000")
+    assert all(mod97(to[t]) == 1 and to[t][:2] == t[:2] for t in (ibans[0], ibans[1], ibans[3])) and mod97(to[ibans[2]]) == 0 and to[ibans[1]].index(" ") == 4
+    every = spark.createDataFrame([(f"{a:03d}{g:02d}{s:04d}",) for a in range(660, 672) for g in (0, 1, 99) for s in (0, 1, 2, 9999)], "d string")
+    assert every.select(pii._social_security(every.d, F.lit("k"))).distinct().count() == 144
+
+
+def by_hand(s, tweak, alphabet=0):
+    """The keyed permutation, character by character."""
+
+    def moved(c, by):
+        for letters in pii.ALPHABETS[alphabet]:
+            if c in letters:
+                return letters[(letters.index(c) + by) % len(letters)]
+        low, high = next((r for r in pii.RANGES if r[0] <= ord(c) <= r[1]), (ord(c), ord(c)))
+        return chr(low + (ord(c) - low + by) % (high - low + 1))
+
+    for way in ("|>|", "|<|"):
+        h, out = hashlib.sha256((tweak + way).encode()).hexdigest(), ""
+        for c in s:
+            m = moved(c, xxhash.xxh64_intdigest(h.encode(), seed=42) >> 8)
+            out, h = out + m, hashlib.sha256((h + m).encode()).hexdigest()
+        s = out[::-1]
+    return s
+
+
+def test_replacements_by_hand(spark):
+    texts = ["u.1@mail.example.com", "a" * 100 + "é1@x.org", "4111111111111111", "2001:0db8:85a3:0000:0000:8a2e:0370:7334", "Mr. Zyxwvor"]
+    to = [r["__found"][0].to for _, r in sorted(run(spark, texts).items())]
+    for text, got in zip(texts[:2], to, strict=False):
+        local, domain = text.split("@")
+        name, top = domain.rsplit(".", 1)
+        assert got == f"{by_hand(local, KEY + '|0|EMAIL|local')}@{by_hand(name, KEY + '|0|EMAIL|domain')}.{top}"
+    assert to[2][:15] == by_hand(texts[2][:15], KEY + "|0|CARD|") and to[3] == by_hand(texts[3], KEY + "|0|IPV6|", 1)
+    assert to[4] == "Mr. " + by_hand("zyxwvor", KEY + "|0|NAME|", 2).capitalize()
+
+
+def test_all_of_a_table_by_brute_force(spark):
+    """Every entity that the patterns find, one after the other, is replaced by one function without a clash."""
+    sf = "/root/testdata/sf0.01"
+    texts = [r.text for r in spark.read.parquet(f"{sf}/documents.parquet").select("text").collect()] if os.path.isdir(sf) else []
+    texts += ["Mr. John Smith met Mary Johnson. Smith said: write a@b.org", "plain"]
+    got = run(spark, texts)
+    any_, word = regex.compile(pii.ANY), regex.compile(pii.ANY_OR_WORD)
+    name, kinds = regex.compile(pii.PATTERNS["NAME"]), {k: regex.compile(p) for k, p in pii.PATTERNS.items()}
+    to = {}
+    for i, text in enumerate(texts):
+        if text is None:
+            assert got[i].text is None
+            continue
+        first = [m.group() for m in any_.finditer(text)]
+        kind = lambda e: next((k for k, p in kinds.items() if p.fullmatch(e)), "NAME")  # noqa: B023, E731
+        people = {w.lower() for e in first if kind(e) == "NAME" and regex.match(r"[\p{Lu}\p{Lo}]", e) for w in regex.sub(pii._TITLE, "", e).split(" ")}
+        spans = [m.span() for m in (word if people else any_).finditer(text) if not (people and regex.fullmatch(pii._WORD, m.group()) and m.group().lower() not in people)]
+        assert [kind(text[a:b]) for a, b in spans] == [e.kind for e in got[i]["__found"]]
+        out, at = "", 0
+        for (a, b), e in zip(spans, got[i]["__found"], strict=True):
+            out, at = out + text[at:a] + e.to, b
+            assert to.setdefault((e.kind, e.norm), e.to_norm) == e.to_norm != e.norm
+        assert out + text[at:] == got[i].text
+    assert len({(k, t) for (k, _), t in to.items()}) == len(to) and name and len(to) > 5
+
+
+def test_own_replacements_are_keyed_anew(spark, monkeypatch):
+    real = pii.surrogate
+    monkeypatch.setattr(pii, "surrogate", lambda kind, raw, key, attempt: F.when((attempt < 1) & (raw == "123-45-6789") | (raw == "555-0199"), raw).otherwise(real(kind, raw, key, attempt)))
+    got = run(spark, ["123-45-6789 and 8.8.8.8", "555-0199", "123-45-6789", "8.8.8.8"])
+    assert got[0].text == f"{got[2].text} and {got[3].text}" and got[2].text != "123-45-6789" and got[1].text == "555-0199"
+
+
 def test_empty(spark):
     assert pii.replace_pii(spark.createDataFrame([], SCHEMA), KEY).count() == 0
