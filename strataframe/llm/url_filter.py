@@ -13,7 +13,9 @@ from itertools import count
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strataframe.llm.common import ascii_lower, materialize
+from strataframe.llm.common import ascii_lower, drop, materialize
+
+HEAVY = 256
 
 
 @dataclass(frozen=True)
@@ -81,13 +83,22 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, max_ite
     total = long.groupBy("forward").agg(F.sum("s").alias("total"))  # two rows at most
     start = materialize(long.join(F.broadcast(total), "forward").select("forward", "host", (F.col("s") / F.col("total")).alias("s")), "seeds")
     rank = start.select("forward", "host", F.col("s").alias("r"))
-    if not flow.isEmpty():
+    if links := flow.count():
+        # hosts with much of all links, under HEAVY a direction as their links add up to all: their ranks go to every task
+        degrees = flow.groupBy("forward", "src").agg(F.count("*").alias("n")).where(F.col("n") * HEAVY > links).select("forward", "src")
+        heavy = materialize(degrees, "flow-heavy")
+        known = F.broadcast(heavy)
+        of_heavy = materialize(flow.join(known, ["forward", "src"]), "flow")
+        others = materialize(flow.join(known, ["forward", "src"], "left_anti"), "flow")
         for _ in count() if max_iter is None else range(max_iter):
-            came = rank.join(flow, (rank.forward == flow.forward) & (rank.host == flow.src)).select(flow.forward, F.col("dst").alias("host"), (damping * F.col("r") * F.col("p")).alias("r"))
+            ranks = rank.select("forward", F.col("host").alias("src"), "r")
+            sent = others.join(ranks, ["forward", "src"]).unionByName(of_heavy.join(F.broadcast(ranks.join(known, ["forward", "src"])), ["forward", "src"]))
+            came = sent.select("forward", F.col("dst").alias("host"), (damping * F.col("r") * F.col("p")).alias("r"))
             parts = came.withColumn("old", F.lit(0.0)).unionByName(start.select("forward", "host", ((1 - damping) * F.col("s")).alias("r"), F.lit(0.0).alias("old"))).unionByName(rank.select("forward", "host", F.lit(0.0).alias("r"), F.col("r").alias("old")))
-            rank = materialize(parts.groupBy("forward", "host").agg(F.sum("r").alias("r"), F.sum("old").alias("old")), "rank")
+            before, rank = rank, materialize(parts.groupBy("forward", "host").agg(F.sum("r").alias("r"), F.sum("old").alias("old")), "rank")
+            if hasattr(before, "scratch_path"):
+                drop(before)
             moved, reached = rank.agg(F.sum(F.abs(F.col("r") - F.col("old"))), F.count_if(F.expr("old = 0 AND r > 0"))).first()
-            rank = rank.select("forward", "host", "r")
             if moved is None or (moved < tolerance and not reached):
                 break
     of = lambda forward: F.sum(F.when(F.col("forward") == forward, F.col("r")).otherwise(0.0))
