@@ -21,7 +21,7 @@ from strataframe.llm.common import small_batches
 
 BUCKETS, DIM, NGRAMS = 1 << 16, 16, (1, 2, 3, 4)
 SAMPLE_ROWS = 4_000  # labelled rows that training takes at most, on average, shared evenly among languages
-SAMPLE_CHARS = 20_000  # training takes no longer texts
+SAMPLE_CHARS = 20_000  # of a longer text training takes a part of this length, from a place that its hash gives
 UNKNOWN = "und"
 
 
@@ -155,10 +155,11 @@ def held_out(doc_id: Column) -> Column:
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_rows: int = SAMPLE_ROWS) -> Model:
     """A model from labelled rows that are not held out: those of each language whose hash is below its rate.
 
-    About sample_rows rows in all, of at most SAMPLE_CHARS characters each, come to the driver; the same rows give
-    the same model.
+    About sample_rows rows in all come to the driver, of at most SAMPLE_CHARS characters each: a longer text comes
+    with a part of that length, from anywhere in it. The same rows give the same model. Without a labelled row, the
+    model knows no language.
     """
-    labelled = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where(F.col("id").isNotNull() & F.col("lang").isNotNull() & (F.length("text") <= SAMPLE_CHARS) & ~held_out(F.col("id")))
+    labelled = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where(F.col("id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("id")))
     counts = {r.lang: r.n for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(sample_rows).collect()}
     if not counts:
         return train([], [])
@@ -167,7 +168,10 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     rate = F.lit(0)
     for lang, n in counts.items():
         rate = F.when(F.col("lang") == lang, F.lit(max(1, min(1 << 20, (each << 20) // n)))).otherwise(rate)
-    sample = labelled.where(draw < rate).orderBy(F.xxhash64("id", "text"), "text", "lang").limit(2 * sample_rows).collect()
+    drawn = labelled.where(draw < rate).withColumn("hash", F.xxhash64("id", "text"))
+    start = F.pmod("hash", F.greatest(F.lit(1), F.length("text") - SAMPLE_CHARS + 1)).cast("int") + 1
+    drawn = drawn.select("hash", F.when(F.length("text") <= SAMPLE_CHARS, F.col("text")).otherwise(F.substr("text", start, F.lit(SAMPLE_CHARS))).alias("text"), "lang")
+    sample = drawn.orderBy("hash", "text", "lang").limit(2 * sample_rows).collect()
     return train([r.text for r in sample], [r.lang for r in sample])
 
 

@@ -65,6 +65,55 @@ def test_no_labels_and_empty(spark):
     assert {r.lang_pred for r in la.predict(one, la.fit(one)).collect()} == {"aa"}
 
 
+def test_long_texts_are_learned_in_part(spark):
+    rows = [(i, " ".join(random.Random(i).choices("ka lo mi te ru".split(), k=9)), "aa") for i in range(40)]
+    rows += [(100 + i, "12 " * 9_000 + "schungöp eit " * 3_000, "bb") for i in range(8)]
+    model = la.fit(frame(spark, rows))
+    assert model.languages == ["aa", "bb"] and model.predict("schungöp eit")[0] == "bb"
+
+
+def by_hand(model, text):
+    """The forward pass over a dictionary of the n-grams of each word, one at a time."""
+    words, word = [], ""
+    for c in text.lower() + " ":
+        if c.isalpha():
+            word += c
+        elif word:
+            words.append(word)
+            word = ""
+    total, n = np.zeros(la.DIM), 0
+    for w in words:
+        marked = [0, *map(ord, w), 0]
+        for size in la.NGRAMS:
+            for i in range(len(marked) - size + 1):
+                gram = marked[i : i + size]
+                if size == 1 and gram == [0]:
+                    continue
+                h = size
+                for code in gram:
+                    h = (h ^ code) * 0x9E3779B97F4A7C15 % 2**64
+                    h ^= h >> 29
+                total += model.embeddings[h >> 48]
+                n += 1
+    if not n or not model.languages:
+        return "und", 0.0
+    z = [(float(w @ (total / n)) + b) / model.temperature for w, b in zip(model.weights, model.bias, strict=True)]
+    p = np.exp(np.array(z) - max(z))
+    return model.languages[int(np.argmax(p))], float(p.max() / p.sum())
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no tables")
+def test_predictions_by_hand(spark):
+    docs = spark.read.parquet(f"{SF.replace('0.01', '0.001')}/documents.parquet")
+    model = la.fit(docs)
+    got = {r.doc_id: (r.lang_pred, r.score) for r in la.predict(docs, model).collect()}
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    assert len(texts) == 200
+    for i, t in texts.items():
+        lang, score = by_hand(model, t or "")
+        assert got[i][0] == lang and got[i][1] == pytest.approx(score, abs=1e-5)
+
+
 def test_subwords():
     assert len(la.subwords("")) == len(la.subwords("12 !")) == 0
     assert sorted(la.subwords("Ab, ab!")) == sorted(np.concatenate([la.subwords("ab")] * 2))
