@@ -6,9 +6,13 @@ and the number of distinct shingles. Everything is a JVM expression over one row
 
 from __future__ import annotations
 
+from math import isqrt
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strataframe.llm.common import range_of
+
 K = 128
 SHINGLE = 5
 BITS = 48  # of a shingle's hash that a sketch keeps; 12 hexadecimal digits
@@ -93,31 +97,25 @@ def merge_by(df: DataFrame, by: list[str], name: str, k: int = K, fan_in: int =
     return rows
 
 
-def in_ranges(docs: DataFrame, id_col: str, rows_per_range: int = 2000, most_ranges: int = 4096) -> DataFrame:
+def in_ranges(docs: DataFrame, id_col: str, rows_per_range: int = 2000) -> DataFrame:
     """docs dealt to ranges of ids by one exchange, with the columns __key, __at (the range) and __guard.
 
-    Ranges end at sampled ids (those whose hash is 0 modulo the wanted number of rows; most_ranges expected at most)
-    and at the largest, and are found by binary search. The first row of each range by descending id is also sent to
+    Ranges end at sampled ids (those whose hash is 0 modulo the wanted number of rows) and at the largest, and are
+    found by binary search. They have about rows_per_range rows, or the square root of the number of rows if that is
+    more, so that the ranges and their number grow alike. The first row of each range by descending id is also sent to
     the range above, the first of all to the last range, as a guard that lead() can see: no row needs a second join.
     Null ids count as the smallest.
     """
     key = F.coalesce(F.col(id_col).cast("long"), F.lit(LOWEST))
     ids = docs.select(key.alias("id"))
     n, largest = ids.agg(F.count("*"), F.max("id")).first()
-    modulus = max(rows_per_range, -(-n // most_ranges))
+    modulus = max(rows_per_range, isqrt(n))
     cuts = sorted({largest or 0} | {r.id for r in ids.where(F.pmod(F.xxhash64("id"), F.lit(modulus)) == 0).distinct().collect()})
     edges = F.split(F.lit(",".join(map(str, cuts))), ",").cast("array<long>")
-
-    def halve(s: Column, _: Column) -> Column:
-        mid = F.shiftright(s["lo"] + s["hi"], 1)
-        state = lambda lo, hi: F.struct(lo.alias("lo"), hi.alias("hi"))
-        return F.when(F.get(edges, mid) >= F.col("__key"), state(s["lo"], mid)).otherwise(state(F.least(s["hi"], mid + 1), s["hi"]))
-
-    found = F.aggregate(F.sequence(F.lit(1), F.lit(len(cuts).bit_length() + 1)), F.struct(F.lit(0).alias("lo"), F.lit(len(cuts) - 1).alias("hi")), halve, lambda s: s["lo"])
     place = lambda at, guard: F.struct(at.alias("at"), F.lit(guard).alias("guard"))
     own = F.col("__own")
     places = F.when(F.get(edges, own) == F.col("__key"), F.array(place(own, False), place(F.pmod(own + 1, F.lit(len(cuts))), True))).otherwise(F.array(place(own, False)))
-    rows = docs.withColumn("__key", key).withColumn("__own", found).withColumn("__place", F.explode(places))
+    rows = docs.withColumn("__key", key).withColumn("__own", range_of(F.col("__key"), cuts)).withColumn("__place", F.explode(places))
     return rows.withColumns({"__at": F.col("__place.at"), "__guard": F.col("__place.guard")}).drop("__own", "__place").repartition("__at")
 
 
