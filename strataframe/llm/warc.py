@@ -15,6 +15,7 @@ import hashlib
 import uuid
 import zlib
 from collections.abc import Iterator
+from math import isqrt
 
 import numpy as np
 import pandas as pd
@@ -23,7 +24,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataframe.llm.common import materialize, remove, small_batches
+from strataframe.llm.common import materialize, range_of, remove, small_batches
 
 MANIFEST = "name string, temp string, shard int, seq int, records long, compressed_bytes long, sha256 string, first_page_id long, last_page_id long"
 RECORDS = "archive string, page_id long, target_uri string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary"
@@ -153,49 +154,51 @@ def _committer(out_dir: str):
     return commit
 
 
-def _shard_cuts(rows: DataFrame, shard_bytes: int, most_shards: int, sample: int = 20_000) -> list[int]:
-    """Largest page ids of all shards but the last, from a sample by hash of about so many ids: the same for the same rows."""
+def shard_size(total: int, least: int = 32 << 20) -> int:
+    """Payload bytes a shard: least, or from 100 GB on as the square root of the total, so that shards and their number grow alike."""
+    return max(least, isqrt(total * 10_000))
+
+
+def _shard_cuts(rows: DataFrame, shard_bytes: int | None, sample: int = 20_000) -> tuple[list[int], int]:
+    """(largest page ids of all shards but the last, bytes a shard), from a sample by hash of about so many ids, or 20 a shard."""
     n, total = rows.agg(F.count("page_id"), F.sum("n")).first()
-    shards = min(most_shards, -(-(total or 0) // shard_bytes))
+    size = shard_bytes or shard_size(total or 0)
+    shards = -(-(total or 0) // size)
     if not n or shards < 2:
-        return []
-    drawn = rows.where(F.pmod(F.xxhash64("page_id"), F.lit(max(1, n // sample))) == 0).where("page_id IS NOT NULL").groupBy("page_id").agg(F.sum(F.col("n") + 500).alias("w")).orderBy("page_id").collect()
-    if not drawn:
-        return []
-    weight = np.cumsum([r.w for r in drawn])
-    at = np.searchsorted(weight, weight[-1] * np.arange(1, shards) / shards)
-    return sorted({drawn[int(i)].page_id for i in at})
+        return [], size
+    draw = F.pmod(F.xxhash64("page_id"), F.lit(max(1, n // max(sample, 20 * shards)))) == 0
+    drawn = rows.where(draw).where("page_id IS NOT NULL").groupBy("page_id").agg(F.sum(F.col("n") + 500).alias("w")).toArrow().sort_by("page_id")
+    if not len(drawn):
+        return [], size
+    ids, weight = drawn["page_id"].to_numpy(), np.cumsum(drawn["w"].to_numpy())
+    return np.unique(ids[np.searchsorted(weight, weight[-1] * np.arange(1, shards) / shards)]).tolist(), size
 
 
-def write_archives(pages: DataFrame, out_dir: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", dedup_min_bytes: int = 0, roll_bytes: int = 256 << 20, shard_bytes: int = 32 << 20, most_shards: int = 20_000) -> DataFrame:
+def write_archives(pages: DataFrame, out_dir: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", dedup_min_bytes: int = 0, roll_bytes: int | None = None, shard_bytes: int | None = None) -> DataFrame:
     """Writes one record a row into out_dir and returns the committed manifest, one row a file.
 
     The payload is the html in UTF-8, null as empty. Of rows with equal payloads of at least dedup_min_bytes bytes,
     that with the smallest page id (then url) is the response and the others are revisits of it; of repeated rows the
     first copy stands for all. Null ids sort last and null urls get a urn. Shards are ranges of ids of about
-    shard_bytes payload bytes (more, if there would be over most_shards), so ids dealt in any way are balanced, and
-    files roll beyond roll_bytes compressed bytes. An empty table writes no file. Other columns are not read. The same
-    rows give the same files, byte for byte.
+    shard_bytes payload bytes (shard_size() of all, if not given), so ids dealt in any way are balanced, and files roll
+    beyond roll_bytes compressed bytes (a sixteenth of a shard's payload bytes). An empty table writes no file. Other
+    columns are not read. The same rows give the same files, byte for byte.
     """
     spark = pages.sparkSession
     small_batches(spark)
     payload = F.encode(F.coalesce(F.col(html_col), F.lit("")), "UTF-8")
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), F.sha1(payload).alias("digest"), F.length(payload).cast("long").alias("n"), payload.alias("payload"))
-    cuts = _shard_cuts(rows.select("page_id", "n"), shard_bytes, most_shards)
+    cuts, size = _shard_cuts(rows.select("page_id", "n"), shard_bytes)
+    roll_bytes = roll_bytes or size // 16
 
     order = lambda: F.struct(F.col("page_id").isNull().alias("no_id"), "page_id", F.col("url").isNull().alias("no_url"), "url")
     keys = rows.where(F.col("n") >= dedup_min_bytes).groupBy("digest", "page_id", "url").agg(F.count("*").alias("copies"))
     first = keys.groupBy("digest").agg(F.min(order()).alias("first"), F.sum("copies").alias("total")).where("total > 1").select(F.col("digest").alias("of"), "first")
     notes = keys.join(first, F.col("digest") == F.col("of")).select("page_id", "url", "digest", F.lit(None).cast("binary").alias("payload"), F.col("first.page_id").alias("first_id"), F.col("first.url").alias("first_url"), F.lit(True).alias("note"))
     both = rows.select("page_id", "url", "digest", "payload", F.lit(None).cast("long").alias("first_id"), F.lit(None).cast("string").alias("first_url"), F.lit(False).alias("note")).unionByName(notes)
-    held = np.array(cuts, dtype=np.int64)
-
-    @F.pandas_udf("int")
-    def shard_of(page_id: pd.Series) -> pd.Series:
-        known = page_id.notna()
-        return pd.Series(np.where(known, np.searchsorted(held, page_id.fillna(0).astype("int64")), len(held)), dtype="int32")
-
-    sorted_rows = both.withColumn("shard", shard_of("page_id")).repartitionById(len(cuts) + 1, "shard").sortWithinPartitions("shard", F.col("page_id").asc_nulls_last(), F.col("url").asc_nulls_last(), "digest", F.col("note").desc())
+    edges = [*cuts, 2**63 - 1]  # ids beyond all cuts, and null ones, are the last shard's
+    shard = F.when(F.col("page_id").isNull(), F.lit(len(cuts))).otherwise(range_of(F.col("page_id"), edges))
+    sorted_rows = both.withColumn("shard", shard).repartitionById(len(edges), "shard").sortWithinPartitions("shard", F.col("page_id").asc_nulls_last(), F.col("url").asc_nulls_last(), "digest", F.col("note").desc())
     written = materialize(sorted_rows.mapInArrow(_writer(out_dir, roll_bytes), MANIFEST), "warc-manifest")
     written.repartition(_tasks(written)).mapInPandas(_committer(out_dir), "name string").agg(F.count("*")).first()
     return _commit_manifest(spark, written, out_dir)

@@ -90,3 +90,11 @@ def test_empty_and_damaged(spark):
         g.write(plain)
     with pytest.raises(Exception, match="digest"):
         read_archives(spark, out).collect()
+
+
+def test_shards_and_their_number_grow(spark):
+    from strataframe.llm import warc
+
+    assert [warc.shard_size(n) >> 20 for n in (0, 10**9, 3 * 10**10)] == [32, 32, 32]
+    sizes = [warc.shard_size(n) for n in (10**12, 10**13, 10**14)]
+    assert sizes == sorted(sizes) and sizes[-1] <= 10**9 and 10**14 // sizes[-1] <= 100_001
