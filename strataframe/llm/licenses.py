@@ -31,6 +31,28 @@ MIT_TEXT = (
 BSD_TEXT = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."
 ADVERTISING = " All advertising materials mentioning features or use of this software must display the following acknowledgement: This product includes software developed by the organization."
 ENDORSEMENT = " Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+AS_IS = " THE SOFTWARE IS PROVIDED AS IS, WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+BSD_AS_IS = " THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS AS IS AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+ISC_TEXT = "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"
+ISC_AS_IS = " THE SOFTWARE IS PROVIDED AS IS AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."
+#: How whole texts start; with their names, versions and dates they tell which text follows.
+VERBATIM = " Free Software Foundation, Inc. Everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed."
+GNU_DATES = {"GPL-1.0": "February 1989 Copyright (C) 1989", "GPL-2.0": "June 1991 Copyright (C) 1989, 1991", "GPL-3.0": "29 June 2007 Copyright (C) 2007", "LGPL-2.0": "June 1991 Copyright (C) 1991", "LGPL-2.1": "February 1999 Copyright (C) 1991, 1999", "LGPL-3.0": "29 June 2007 Copyright (C) 2007", "AGPL-3.0": "19 November 2007 Copyright (C) 2007"}
+HEADS = (
+    ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION 1. Definitions. License shall mean the terms and conditions for use, reproduction, and distribution as defined by Sections 1 through 9 of this document."),
+    ("MPL-2.0", "Mozilla Public License Version 2.0 1. Definitions 1.1. Contributor means each individual or legal entity that creates, contributes to the creation of, or owns Covered Software."),
+    ("MPL-1.1", "MOZILLA PUBLIC LICENSE Version 1.1 1. Definitions. 1.0.1. Commercial Use means distribution or otherwise making the Covered Code available to a third party."),
+    ("CC0-1.0", "CC0 1.0 Universal Statement of Purpose The laws of most jurisdictions throughout the world automatically confer exclusive Copyright and Related Rights (defined below) upon the creator and subsequent owner(s) (each and all, an owner) of an original work of authorship and/or a database (each, a Work)."),
+    ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work under the CC0 1.0 Universal Public Domain Dedication"),
+    ("GFDL-1.2", "GNU Free Documentation License Version 1.2, November 2002 Copyright (C) 2000,2001,2002" + VERBATIM),
+    ("GFDL-1.3", "GNU Free Documentation License Version 1.3, 3 November 2008 Copyright (C) 2000, 2001, 2002, 2007, 2008" + VERBATIM),
+    *((f"GFDL-{v}-or-later", f"Permission is granted to copy, distribute and/or modify this document under the terms of the GNU Free Documentation License, Version {v} or any later version published by the Free Software Foundation") for v in ("1.1", "1.2", "1.3")),
+    ("Artistic-1.0-Perl", "The Artistic License Preamble The intent of this document is to state the conditions under which a Package may be copied, such that the Copyright Holder maintains some semblance of artistic control over the development of the package"),
+    ("Unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."),
+    ("BSL-1.0", "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the Software) to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so"),
+    ("Zlib", "This software is provided as-is, without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions"),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0"),
+)
 GNU = (("GPL-1.0", "", "1"), ("GPL-2.0", "", "2"), ("GPL-3.0", "", "3"), ("LGPL-2.0", "Library ", "2"), ("LGPL-2.1", "Lesser ", "2.1"), ("LGPL-3.0", "Lesser ", "3"), ("AGPL-3.0", "Affero ", "3"))
 FLAVOURS = {"BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-NC": "Attribution-NonCommercial", "BY-ND": "Attribution-NoDerivatives", "BY-NC-SA": "Attribution-NonCommercial-ShareAlike", "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives"}
 VERSIONS = {"1.0": "Generic", "2.0": "Generic", "2.5": "Generic", "3.0": "Unported", "4.0": "International"}
@@ -47,6 +69,7 @@ def _gnu() -> Iterator[tuple[str, str]]:
         yield f"{name}-or-later", f"{terms} as published by the Free Software Foundation, either version {version} of the License, or (at your option) any later version."
         yield f"{name}-only", f"{terms} as published by the Free Software Foundation, version {version} of the License."
         yield f"{name}-only", f"{terms} version {version} as published by the Free Software Foundation."
+        yield name, f"GNU {kind}General Public License Version {version}, {GNU_DATES[name]}{VERBATIM}"
 
 
 def _creative_commons() -> Iterator[tuple[str, str]]:
@@ -85,6 +108,13 @@ TEMPLATES = (
         "MPL-1.1",
         "The contents of this file are subject to the Mozilla Public License Version 1.1 (the License); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.mozilla.org/MPL/ Software distributed under the License is distributed on an AS IS basis, WITHOUT WARRANTY OF ANY KIND, either express or implied. See the License for the specific language governing rights and limitations under the License.",
     ),
+    ("MIT", "".join(MIT_TEXT) + AS_IS),
+    ("MIT-0", MIT_TEXT[0] + "." + AS_IS),
+    ("BSD-2-Clause", BSD_TEXT + BSD_AS_IS),
+    ("BSD-3-Clause", BSD_TEXT + ENDORSEMENT + BSD_AS_IS),
+    ("ISC", ISC_TEXT + ", provided that the above copyright notice and this permission notice appear in all copies." + ISC_AS_IS),
+    ("0BSD", ISC_TEXT + "." + ISC_AS_IS),
+    *HEADS,
     *_gnu(),
     *_creative_commons(),
 )
@@ -93,9 +123,19 @@ TEMPLATES = (
 TELLING = {
     "MIT": ("mit license", "mit no attribution", "notice"),
     "JSON": ("notice", "good not evil"),
+    "MIT-0": ("sublicense",),
     "ISC": ("notice",),
+    "0BSD": ("fee",),
+    "HPND": ("supporting",),
     "Apache-": ("apache", "2.0"),
     "MPL-": ("mozilla", "1.1", "2.0"),
+    "CC0-": ("cc0",),
+    "GFDL-": ("free documentation", "1.1", "1.2", "1.3", "later"),
+    "Artistic": ("artistic license",),
+    "Unlicense": ("unencumbered",),
+    "BSL-": ("organization",),
+    "Zlib": ("alter",),
+    "EPL-": ("eclipse", "2.0"),
     "BSD-2": ("reproduce",),
     "BSD-3": ("reproduce", "endorse"),
     "BSD-4": ("reproduce", "endorse", "advertising"),
@@ -104,7 +144,8 @@ TELLING = {
 }
 #: Words that make another license if one of them stands before this word, and words that may stand inside a run.
 BEFORE, KINDS, BETWEEN = "general", ("lesser", "library", "affero"), ("version", "v")
-SHORT, COVER_SHORT, COVER_LONG, DENSITY = 20, 0.85, 0.6, 0.75
+SHORT, COVER_SHORT, COVER_LONG = 20, 0.85, 0.6
+CLOSE, DENSITY = 0.75, 1 / 3  # least length of a template over that of the stretch of text that it is spread over
 
 
 def words_of(text: str | None) -> list[str]:
@@ -178,7 +219,8 @@ class Finding:
 class Scanner:
     """Templates as arrays of word numbers; words that no template has are -1."""
 
-    def __init__(self, templates: Sequence[tuple[str, str]] = TEMPLATES):
+    def __init__(self, templates: Sequence[tuple[str, str]] = TEMPLATES, density: float = DENSITY):
+        self.density = density
         texts = [[plain(w) for w in words_of(t)] for _, t in templates]
         self.numbers = {w: i for i, w in enumerate(dict.fromkeys([*KINDS, *BETWEEN, BEFORE, *(w for t in texts for w in t)]))}
         self.templates = [(name, [self.numbers[w] for w in t]) for (name, _), t in zip(templates, texts, strict=True) if t]
@@ -207,32 +249,54 @@ class Scanner:
         absent = np.ones(len(self.numbers) + 1, np.float32)
         absent[ids] = 0
         found: list[Finding] = []
+        places: dict[int, np.ndarray] = {}
         for k in np.flatnonzero(self.tells @ absent == 0):
-            found += self._find(ids, self.member[k][ids], *self.templates[k], self.runs[k])
+            found += self._find(ids, k, places)
         out: list[Finding] = []
-        for f in sorted(found, key=lambda f: (-f.matched, -f.coverage, f.start, f.license)):
+        for f in sorted(found, key=lambda f: (-f.matched, -f.coverage, f.end - f.start, f.start, f.license)):
             if all(f.end <= g.start or f.start >= g.end for g in out):
                 out.append(f)
         return sorted(out, key=lambda f: f.start)
 
-    def _find(self, ids: np.ndarray, marks: np.ndarray, name: str, template: list[int], runs: list[list[range]]) -> Iterator[Finding]:
+    def _find(self, ids: np.ndarray, k: int, places: dict[int, np.ndarray]) -> Iterator[Finding]:
+        """Findings of a template: first where its words stand close together, then in what is left."""
+        name, template = self.templates[k]
+        telling = {template[j] for alternatives in self.runs[k] for j in alternatives[0]}
+        for word in telling - places.keys():
+            places[word] = np.flatnonzero(ids == word)
+        near = min((places[word] for word in telling), key=len, default=None)
+        stretches = _around(near, int(np.ceil(len(template) / self.density)), len(ids))
+        for density in sorted({max(CLOSE, self.density), self.density}, reverse=True):
+            size = int(np.ceil(len(template) / density))
+            found = [f for a, b in stretches for f in self._spread(ids[a:b], a, size, telling, k)]
+            yield from found
+            for f in found:
+                ids = ids.copy()
+                ids[f.start : f.end] = -1
+
+    def _spread(self, ids: np.ndarray, offset: int, size: int, telling: set[int], k: int) -> Iterator[Finding]:
+        """Findings of a template that is spread over size words at most, in a stretch of the text from offset on."""
+        name, template = self.templates[k]
         least = COVER_SHORT if len(template) <= SHORT else COVER_LONG
-        need = int(np.ceil(least * len(template) - 1e-9))
+        need, marks = int(np.ceil(least * len(template) - 1e-9)), self.member[k][ids]
         if np.count_nonzero(marks) < need:
             return
-        size = int(np.ceil(len(template) / DENSITY))
-        total = np.concatenate([[0], np.cumsum(marks)])
-        held = total[np.minimum(np.arange(len(marks)) + size, len(marks))] - total[:-1]
-        enough, at, step = np.flatnonzero(held >= need), 0, max(1, len(template) // 4)
-        while (k := int(np.searchsorted(enough, at))) < len(enough):
-            first = int(enough[k])
-            start = first + int(held[first : first + size].argmax())  # the fullest window that begins within this one
+        ends = np.minimum(np.arange(len(marks)) + size, len(marks))
+        within = lambda hit: (total := np.concatenate([[0], np.cumsum(hit)]))[ends] - total[:-1]
+        held = within(marks)
+        told = held >= need
+        for word in telling:  # no window without them is told from its siblings
+            told &= within(ids == word) > 0
+        enough, at, step = np.flatnonzero(told), 0, max(1, len(template) // 16)
+        while (i := int(np.searchsorted(enough, at))) < len(enough):
+            first = int(enough[i])
+            start = first + int((held * told)[first : first + size].argmax())  # the fullest window that begins within this one
             inside = start + np.flatnonzero(marks[start : start + size])
             pairs = _centred(ids, int(inside[0]), int(inside[-1]) + 1, template)
             coverage = len(pairs) / len(template)
             at = start + step
-            if pairs and coverage >= least - 1e-9 and self._told(ids, pairs, template, runs):
-                yield Finding(name, pairs[0][0], pairs[-1][0] + 1, len(pairs), coverage)
+            if pairs and coverage >= least - 1e-9 and self._told(ids, pairs, template, self.runs[k]):
+                yield Finding(name, offset + pairs[0][0], offset + pairs[-1][0] + 1, len(pairs), coverage)
                 at = max(at, pairs[-1][0] + 1)
 
     def _told(self, ids: np.ndarray, pairs: list[tuple[int, int]], template: list[int], runs: list[list[range]]) -> bool:
@@ -244,6 +308,20 @@ class Scanner:
         return all(any(map(whole, places)) for places in runs) and all(kind(ids, i) == kind(template, j) for i, j in pairs if template[j] == self.before)
 
 
+def _around(near: np.ndarray | None, size: int, n: int) -> list[tuple[int, int]]:
+    """The stretches of n words that lie within size words of a place in near; all of them if that is None."""
+    if near is None:
+        return [(0, n)]
+    out: list[tuple[int, int]] = []
+    for p in near.tolist():
+        a, b = max(0, p - size + 1), min(n, p + size)
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], b)
+        else:
+            out.append((a, b))
+    return out
+
+
 def _centred(ids: np.ndarray, a0: int, a1: int, template: list[int]) -> list[tuple[int, int]]:
     """The alignment of a window, or of where it says that the whole template lies, as long as that matches more."""
     best: list[tuple[int, int]] = []
@@ -252,12 +330,14 @@ def _centred(ids: np.ndarray, a0: int, a1: int, template: list[int]) -> list[tup
         if len(pairs) <= len(best):
             return best
         best, slack = pairs, len(template) // 10
-        a0, a1 = max(0, pairs[0][0] - pairs[0][1] - slack), min(len(ids), pairs[-1][0] + len(template) - pairs[-1][1] + slack)
+        (i, j), (m, n) = pairs[0], pairs[-1]
+        spread = max(1.0, (m - i + 1) / (n - j + 1))  # words of the text for one of the template
+        a0, a1 = max(0, i - int(j * spread) - slack), min(len(ids), m + int((len(template) - n) * spread) + slack)
 
 
-def _scanner(templates: Sequence[tuple[str, str]]):
+def _scanner(templates: Sequence[tuple[str, str]], density: float):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        scanner = Scanner(templates)
+        scanner = Scanner(templates, density)
         for frame in frames:
             rows = []
             for doc_id, text in zip(frame["doc_id"], frame["text"], strict=True):
@@ -269,14 +349,15 @@ def _scanner(templates: Sequence[tuple[str, str]]):
     return run
 
 
-def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: Sequence[tuple[str, str]] = TEMPLATES) -> DataFrame:
+def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: Sequence[tuple[str, str]] = TEMPLATES, density: float = DENSITY) -> DataFrame:
     """(doc_id, n_words, findings), one row a document; findings: array of (license, start, end, matched, coverage).
 
     start and end count words of the whole text. A finding covers 0.85 of a template of up to 20 words, 0.6 of a longer
     one, and has the words that tell the template's license from its siblings (TELLING): a variant without a template
-    gives none. Null, empty and wordless texts have no finding; repeated rows and null ids keep their rows; other columns are
+    gives none. Whole license texts are found by their start and by the notices in them; templates takes others, as
+    (name, text). density: a template is looked for in stretches of up to its length over density words. Null, empty and wordless texts have no finding; repeated rows and null ids keep their rows; other columns are
     not read.
     """
     small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInPandas(_scanner(tuple(templates)), "doc_id long, n_words long, findings array<struct<license:string,start:long,end:long,matched:long,coverage:double>>")
+    return rows.mapInPandas(_scanner(tuple(templates), density), "doc_id long, n_words long, findings array<struct<license:string,start:long,end:long,matched:long,coverage:double>>")

@@ -86,6 +86,66 @@ def test_siblings_keep_their_names():
     assert names(li.MIT_TEXT[0] + " this free copy") == ["MIT-0"] and names("".join(li.MIT_TEXT)) == ["MIT"]
 
 
+def plainly(scanner, words):
+    """Licenses that plain alignment finds: every template against every stretch of the text, by no filter at all."""
+    ids = li.np.array([scanner.numbers.get(li.plain(w), -1) for w in words], dtype=li.np.int32)
+    found = set()
+    for (name, template), runs in zip(scanner.templates, scanner.runs, strict=True):
+        least = li.COVER_SHORT if len(template) <= li.SHORT else li.COVER_LONG
+        size = -(-len(template) * 3 // 1)
+        for a in range(0, max(1, len(ids) - len(template) // 2), max(1, len(template) // 8)):
+            if name in found:
+                break
+            pairs = [(a + i, j) for i, j in li.align(ids[a : a + size].tolist(), template)]
+            if len(pairs) >= least * len(template) - 1e-9 and scanner._told(ids, pairs, template, runs):
+                found.add(name)
+    return found
+
+
+def test_recall_against_plain_alignment():
+    """Templates with words left out, changed and pushed apart: what plain alignment finds, the scan finds."""
+    rng = random.Random(9)
+    scanner = li.Scanner()
+    hits = misses = 0
+    for name, text in li.TEMPLATES[::3]:
+        words = []
+        for w in li.words_of(text):
+            if rng.random() > 0.05:
+                words += [w] + [rng.choice(PROSE)] * (rng.random() < 0.3) * rng.randrange(1, 4)
+        words = rng.choices(PROSE, k=40) + words + rng.choices(PROSE, k=40)
+        ids = li.np.array([scanner.numbers.get(li.plain(w), -1) for w in words], dtype=li.np.int32)
+        found = {f.license for k in range(len(scanner.templates)) for f in scanner._find(ids, k, {})}  # overlapping ones included
+        plain = plainly(scanner, words)
+        hits += name in plain and name in found
+        misses += name in plain and name not in found
+    assert hits > 20 and hits >= 0.95 * (hits + misses)  # 36 of 37: one whose words lie among the same words of the prose
+
+
+@pytest.mark.parametrize("between", [1, 2])
+def test_words_between(between):
+    scanner = li.Scanner()
+    long = [(n, t) for n, t in li.TEMPLATES if len(li.words_of(t)) > 40 and not any(len(r.split()) > 1 for s, rs in li.TELLING.items() if n.startswith(s) for r in rs)]
+    for name, text in long:
+        words = [x for w in li.words_of(text) for x in [w] + ["qqq"] * between]
+        kinds = [i for i, w in enumerate(words) if w in ("lesser", "library", "affero")]
+        words = [w for i, w in enumerate(words) if not any(k < i <= k + between for k in kinds)]
+        assert name in {f.license for f in scanner.scan(words)}, name
+
+
+def test_whole_texts():
+    folder = "/usr/share/common-licenses"
+    want = {"Apache-2.0": {"Apache-2.0"}, "BSD": {"BSD-3-Clause"}, "CC0-1.0": {"CC0-1.0"}, "MPL-1.1": {"MPL-1.1"}, "MPL-2.0": {"MPL-2.0"}, "Artistic": {"Artistic-1.0-Perl"}, "LGPL-3": {"LGPL-3.0"}}
+    want |= {f: {f"{f.split('-')[0]}-{v}", f"{f.split('-')[0]}-{v}-or-later"} for f, v in (("GPL-1", "1.0"), ("GPL-2", "2.0"), ("GPL-3", "3.0"), ("LGPL-2", "2.0"), ("LGPL-2.1", "2.1"), ("GFDL-1.2", "1.2"), ("GFDL-1.3", "1.3"))}
+    scanner = li.Scanner()
+    for name in [n for n in want if os.path.isfile(f"{folder}/{n}")]:
+        text = open(f"{folder}/{name}", errors="replace").read()
+        assert {f.license for f in scanner.scan(li.words_of(text))} == want[name], name
+    with_terms = lambda terms: [f.license for f in scanner.scan(li.words_of(terms))]
+    assert with_terms("".join(li.MIT_TEXT) + li.AS_IS) == ["MIT"] and with_terms(li.MIT_TEXT[0] + li.AS_IS) == ["MIT-0"]
+    assert with_terms(li.BSD_TEXT + li.BSD_AS_IS) == ["BSD-2-Clause"] and with_terms(li.BSD_TEXT + li.ENDORSEMENT + li.BSD_AS_IS) == ["BSD-3-Clause"]
+    assert with_terms(li.ISC_TEXT + ", provided that the above copyright notice and this permission notice appear in all copies." + li.ISC_AS_IS) == ["ISC"] and with_terms(li.ISC_TEXT + li.ISC_AS_IS) == ["0BSD"]
+
+
 def test_dense_texts_take_linear_time():
     scanner = li.Scanner()
     for word in ("the", "license", "under the"):
