@@ -89,3 +89,19 @@ def test_ids_are_decoded(outputs):
 
 def test_run_equals_the_stages(spark, outputs):
     assert cp.run(spark, SF).count() > 100
+
+
+def test_empty_table(spark, tmp_path):
+    schema = spark.read.parquet(f"{SF}/documents.parquet").schema
+    spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/documents.parquet")
+    assert cp.run(spark, f"file://{tmp_path}").count() == 0
+
+
+def test_scratch_of_done_stages_goes(spark):
+    docs = spark.createDataFrame([(1, "a mail to u.1@mail.example.com now", "en", "s", 34)], "doc_id long, text string, lang string, source string, n_chars long")
+    first = cp.pii_surrogates(spark, docs, SF)
+    made = list(cp._SCRATCH)
+    chained = cp.sentencepiece(spark, first, SF)
+    assert made and set(made) <= set(cp._SCRATCH) and chained.count() == 1
+    cp.sentencepiece(spark, docs, SF)
+    assert not set(made) & set(cp._SCRATCH)
