@@ -1,7 +1,8 @@
 """Raster operators over a pixel table (img, y, x, v): windows, positional joins and grouped statistics.
 
 An image's rows are one window partition, its lines the unit of most operators, so images are the parallelism: at
-scale many images share a task and none needs more than its own pixels.
+scale many images share a task and none needs more than its own pixels. A table has one row a pixel; pixels may be
+missing, and a neighbour is the pixel whose coordinate differs by one, not the next one that there is.
 """
 
 from __future__ import annotations
@@ -65,22 +66,56 @@ def enlarged(px: DataFrame, factor: int) -> DataFrame:
     return wide.select(*[c for c in wide.columns if c != "y"], spread("y")).select(*px.columns)
 
 
+def _neighbour(c: str, along: str, step: int, w: Window) -> Column:
+    """The value of c one place further along a line, null where there is no such pixel."""
+    near = (F.lag if step < 0 else F.lead)(F.struct(F.col(along).alias("at"), F.col(c).alias("value"))).over(w)
+    return F.when(near["at"] == F.col(along) + step, near["value"])
+
+
+def _with_gaps(px: DataFrame, value: str, img: str) -> DataFrame:
+    """px with w, c, e, the value to the left, here and to the right, and the empty places beside a pixel (here: false).
+
+    A place is empty if no pixel of its line has its coordinate; one between two pixels is listed once.
+    """
+    side = lambda f, n: f(F.struct(F.col("x").alias("at"), F.col(value).alias("value")), n).over(rows_of(img))
+    x, v = F.col("x"), F.col(value)
+    here = lambda s, at: F.when(s["at"] == at, s["value"])
+    cell = lambda at, w, c, e, real: F.struct(at.alias("x"), w.alias("w"), c.alias("c"), e.alias("e"), F.lit(real).alias("here"))
+    none = F.when(F.lit(False), v)
+    before, after = F.col("__before"), F.col("__after")
+    own = cell(x, here(before, x - 1), v, here(after, x + 1), True)
+    right = F.when(after.isNull() | (after["at"] > x + 1), cell(x + 1, v, none, here(after, x + 2), False))
+    left = F.when(before.isNull() | (before["at"] < x - 2), cell(x - 1, none, none, v, False))
+    sides = px.withColumns({"__before": side(F.lag, 1), "__after": side(F.lead, 1)})
+    cells = F.explode(F.filter(F.array(own, right, left), lambda c: c.isNotNull())).alias("__cell")
+    return sides.select(*[c for c in px.columns if c != "x"], cells).select(*[c for c in px.columns if c != "x"], "__cell.*")
+
+
 def sobel(px: DataFrame, img: str = "img", replicate: bool = True) -> DataFrame:
-    """px with gx, gy and gg = gx * gx + gy * gy; border pixels are repeated, or left out without replicate."""
-    r, c = rows_of(img), columns_of(img)
-    edge = lambda e: F.coalesce(e, F.col("v")) if replicate else e
-    flat = px.withColumns({"w": edge(F.lag("v").over(r)), "e": edge(F.lead("v").over(r))})
-    flat = flat.withColumns({"dx": F.col("e") - F.col("w"), "sx": F.col("e") + 2 * F.col("v") + F.col("w")})
-    side = lambda f, name: F.coalesce(f(name).over(c), F.col(name)) if replicate else f(name).over(c)
-    out = flat.withColumns({"gx": side(F.lag, "dx") + 2 * F.col("dx") + side(F.lead, "dx"), "gy": side(F.lead, "sx") - side(F.lag, "sx")})
-    return out.withColumn("gg", F.col("gx") * F.col("gx") + F.col("gy") * F.col("gy")).drop("w", "e", "dx", "sx")
+    """px with gx, gy and gg = gx * gx + gy * gy.
+
+    With replicate a pixel stands for a missing neighbour to its left or right, and its line for one that has no pixel
+    above or below it: borders are repeated. Without, missing pixels count as 0, wherever they are.
+    """
+    c = columns_of(img)
+    if replicate:
+        r = rows_of(img)
+        beside = lambda step: F.coalesce(_neighbour("v", "x", step, r), F.col("v"))
+        flat = px.withColumns({"w": beside(-1), "e": beside(1), "c": F.col("v"), "here": F.lit(True)})
+    else:
+        flat = _with_gaps(px, "v", img)
+        flat = flat.withColumns({n: F.coalesce(n, F.lit(0)) for n in "wce"})
+    flat = flat.withColumns({"dx": F.col("e") - F.col("w"), "sx": F.col("e") + 2 * F.col("c") + F.col("w")})
+    side = lambda name, step: F.coalesce(_neighbour(name, "y", step, c), F.col(name) if replicate else F.lit(0))
+    out = flat.withColumns({"gx": side("dx", -1) + 2 * F.col("dx") + side("dx", 1), "gy": side("sx", 1) - side("sx", -1)})
+    return out.where("here").select(*px.columns, "gx", "gy", (F.col("gx") * F.col("gx") + F.col("gy") * F.col("gy")).alias("gg"))
 
 
 def grown(px: DataFrame, flag: str, img: str = "img") -> DataFrame:
-    """px with the boolean flag grown by one pixel in every direction."""
-    near = lambda w: w.rowsBetween(-1, 1)
-    across = px.withColumn(flag, F.max(F.col(flag)).over(near(rows_of(img))))
-    return across.withColumn(flag, F.max(F.col(flag)).over(near(columns_of(img))))
+    """px with the boolean flag grown by one pixel in every direction; missing pixels have no flag."""
+    across = _with_gaps(px, flag, img).withColumn(flag, F.greatest("w", "c", "e"))
+    near = columns_of(img).rangeBetween(-1, 1)
+    return across.withColumn(flag, F.max(flag).over(near)).where("here").select(*px.columns)
 
 
 def kept_share(strong: Column, kept: Column, least: int = 1) -> Column:
@@ -97,8 +132,8 @@ def edge_maps(source: DataFrame, render: DataFrame, img: str = "img", strong: fl
 
 
 def column_steps(px: DataFrame, img: str = "img") -> DataFrame:
-    """(img, x, step_total, n): summed distance of each column from the one before."""
-    step = px.withColumn("before", F.lag("v").over(rows_of(img)))
+    """(img, x, step_total, n): summed distance of each column's pixels from those just before them."""
+    step = px.withColumn("before", _neighbour("v", "x", -1, rows_of(img)))
     return step.where("before IS NOT NULL").groupBy(img, "x").agg(F.sum(F.abs(F.col("v") - F.col("before"))).alias("step_total"), F.count("*").alias("n"))
 
 
@@ -124,12 +159,19 @@ def flat_run(px: DataFrame, along: str, ascending: bool = True, img: str = "img"
 def wrap_period(px: DataFrame, content_end: int, img: str = "img", least: int = MIN_PERIOD, span: int = MIN_SPAN, match: float = WRAP_MATCH) -> DataFrame:
     """(img, period): the smallest period at which the columns up to content_end repeat those from the start.
 
-    Each pixel meets its row's pixels at the candidate periods by an equi-join on the column it would repeat.
+    Columns are compared first, by hash: two whole columns of other hashes differ in a pixel at least, which rules out
+    most periods. Only for the others do pixels meet, by an equi-join on the column that they would repeat.
     """
     inside = px.where(F.col("x") < content_end).select(img, "y", "x", "v")
-    far = inside.where(F.col("x") >= least).withColumn("period", F.explode(F.sequence(F.lit(least), F.least(F.col("x"), F.lit(content_end - span)))))
-    far = far.select(img, "y", (F.col("x") - F.col("period")).alias("x"), F.col("v").alias("far"), "period")
-    shares = inside.join(far, [img, "y", "x"]).groupBy(img, "period").agg(F.avg((F.col("v") == F.col("far")).cast("int")).alias("share"))
+    columns = inside.groupBy(img, "x").agg(F.count("*").alias("n"), F.min("y").alias("top"), F.max("y").alias("bottom"), F.sum(F.xxhash64("y", "v").cast("decimal(38,0)")).alias("hash"))
+    repeated = lambda t: t.where(F.col("x") >= least).withColumn("period", F.explode(F.sequence(F.lit(least), F.least(F.col("x"), F.lit(content_end - span)))))
+    far = repeated(columns).select(img, (F.col("x") - F.col("period")).alias("x"), "period", *[F.col(c).alias(f"far_{c}") for c in ("n", "top", "bottom", "hash")])
+    whole = lambda p: F.col(f"{p}n") == F.col(f"{p}bottom") - F.col(f"{p}top") + 1
+    other = whole("") & whole("far_") & (F.col("top") == F.col("far_top")) & (F.col("bottom") == F.col("far_bottom")) & (F.col("hash") != F.col("far_hash"))
+    possible = columns.join(far, [img, "x"]).groupBy(img, "period").agg(F.count_if(other).alias("others"), F.sum(F.least("n", "far_n")).alias("pixels"))
+    possible = possible.where(F.col("others") <= (1 - match) * F.col("pixels") + 1e-6).select(img, "period")
+    met = inside.join(possible, img).where(F.col("x") >= F.col("period")).select(img, "y", (F.col("x") - F.col("period")).alias("x"), F.col("v").alias("far"), "period")
+    shares = inside.join(met, [img, "y", "x"]).groupBy(img, "period").agg(F.avg((F.col("v") == F.col("far")).cast("int")).alias("share"))
     return shares.where(F.col("share") >= match).groupBy(img).agg(F.min("period").alias("period"))
 
 
@@ -146,12 +188,16 @@ def stitched(renders: DataFrame, img: str = "img") -> DataFrame:
 
 
 def smoothed(px: DataFrame, distance: int, img: str = "img") -> DataFrame:
-    """px with total and n: sum and number of the 3 by 3 neighbours, borders repeated, within distance of the pixel."""
+    """px with total and n: sum and number of the 3 by 3 neighbours within distance of the pixel.
+
+    Borders are repeated: a pixel stands for a missing neighbour to its left or right, its line for a missing one above
+    or below.
+    """
     r, c = rows_of(img), columns_of(img)
-    wide = px.withColumns({"w0": F.coalesce(F.lag("v").over(r), F.col("v")), "w1": F.col("v"), "w2": F.coalesce(F.lead("v").over(r), F.col("v"))})
-    all_nine = {f"{k}{j}": F.coalesce(F.lag(f"w{j}", 1).over(c) if k == "n" else F.lead(f"w{j}", 1).over(c), F.col(f"w{j}")) for k in "ns" for j in range(3)}
-    wide = wide.withColumns(all_nine)
-    near = [F.col(f"{k}{j}") for k in "wns" for j in range(3)]
+    beside = lambda step: F.coalesce(_neighbour("v", "x", step, r), F.col("v"))
+    wide = px.withColumn("line", F.struct(beside(-1).alias("a"), F.col("v").alias("b"), beside(1).alias("c")))
+    wide = wide.withColumns({k: F.coalesce(_neighbour("line", "y", step, c), F.col("line")) for k, step in (("north", -1), ("south", 1))})
+    near = [F.col(f"{line}.{at}") for line in ("north", "line", "south") for at in "abc"]
     close = lambda n: F.abs(n - F.col("v")) <= distance
     total = sum((F.when(close(n), n).otherwise(0) for n in near), F.lit(0))
     count = sum((close(n).cast("int") for n in near), F.lit(0))

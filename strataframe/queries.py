@@ -232,10 +232,10 @@ def q21_coverage(spark, sf_dir):
     return catalog.coverage(read(spark, sf_dir, "orders").select(F.col("o_custkey").alias("key")), read(spark, sf_dir, "customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("key")))
 
 
-@query("SELECT c_custkey AS key, c_nationkey AS room FROM customer WHERE c_custkey IN (SELECT s_suppkey * 7 FROM supplier WHERE s_nationkey = c_nationkey)")
+@query("SELECT c_custkey % 9 AS key, c_nationkey AS room FROM customer WHERE c_custkey % 9 IN (SELECT s_suppkey % 9 FROM supplier WHERE s_nationkey = c_nationkey)")
 def q22_skip_list_semi(spark, sf_dir):
-    entries = read(spark, sf_dir, "supplier").groupBy(F.col("s_nationkey").alias("room")).agg(F.collect_set(F.col("s_suppkey") * 7).alias("skip"))
-    return catalog.listed(read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("key"), F.col("c_nationkey").alias("room")), entries)
+    entries = read(spark, sf_dir, "supplier").groupBy(F.col("s_nationkey").alias("room")).agg(F.collect_set(F.col("s_suppkey") % 9).alias("skip"))
+    return catalog.listed(read(spark, sf_dir, "customer").select((F.col("c_custkey") % 9).alias("key"), F.col("c_nationkey").alias("room")), entries)
 
 
 @query("SELECT p_name, p_brand, count(*) AS n FROM part GROUP BY 1, 2 HAVING count(*) > 1")
@@ -412,7 +412,7 @@ SOBEL_SQL = "SELECT c.img, c.y, c.x, sum(q.v * (q.x - c.x) * (2 - abs(q.y - c.y)
 
 @query(f"WITH p AS ({L64_SQL}), s AS ({SOBEL_SQL.format(p='p')}) SELECT img, y, x, gx, gy, gx * gx + gy * gy AS gg FROM s WHERE x BETWEEN 1 AND 62 AND y BETWEEN 1 AND 46")
 def q44_sobel(spark, sf_dir):
-    return pixels.sobel(_l64(spark, sf_dir), replicate=False).where("gg IS NOT NULL").select("img", "y", "x", "gx", "gy", "gg")
+    return pixels.sobel(_l64(spark, sf_dir), replicate=False).where("x BETWEEN 1 AND 62 AND y BETWEEN 1 AND 46").select("img", "y", "x", "gx", "gy", "gg")
 
 
 PADDED = "SELECT p.img, b AS y, a AS x, p.v FROM range(-1, 9) s(a), range(-1, 9) t(b) JOIN p ON p.x = least(7, greatest(0, a)) AND p.y = least(7, greatest(0, b))"
@@ -676,14 +676,10 @@ def q67_codec_histogram(spark, sf_dir):
 
 @query('SELECT event_id, user_id AS source, CAST(least(255, greatest(0, (100 * 128 + sum(CAST(floor(value) AS BIGINT) * 7 - 400) OVER (PARTITION BY user_id ORDER BY ts, event_id))::BIGINT >> 7)) AS BIGINT) AS level FROM events')
 def q70_palette_delta_state(spark, sf_dir):
-    from strataframe.sources.frames import palette_walk
-
-    def run(frame):
-        frame = frame.sort_values(["ts", "event_id"])
-        return frame[["event_id", "source"]].assign(level=palette_walk(100, frame["delta"].to_numpy()))
+    from strataframe.streaming.frames import palette_levels
 
     e = read(spark, sf_dir, "events").select("event_id", "ts", F.col("user_id").alias("source"), (F.floor("value") * 7 - 400).alias("delta"))
-    return e.groupBy("source").applyInPandas(run, "event_id long, source long, level long")
+    return palette_levels(e, "source", ["ts", "event_id"], F.lit(100)).select("event_id", "source", "level")
 
 
 @query("SELECT event_id, last_value(CASE WHEN event_type = 'view' THEN event_id END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS shown FROM events")

@@ -263,8 +263,3 @@ def scan_frames(files: DataFrame, displacements: Sequence[tuple[int, int]] | Non
 
 def _frame(rows: list[dict]) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=[c.split()[0] for c in FRAMES.split(", ")]).astype({"frame": "Int64", "offset": "Int64"})
-
-
-def palette_walk(start: int, deltas: np.ndarray) -> np.ndarray:
-    """Values of one colour channel, from start, as deltas in 1/128 add up; clipped to 0 to 255 as shown, not as kept."""
-    return np.clip(((start << 7) + np.cumsum(deltas)) >> 7, 0, 255)

@@ -6,7 +6,8 @@ import pickle
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
 
 from strataframe.sources.frames import FrameState, ring_displacements
 
@@ -44,3 +45,13 @@ def streamed(frames: DataFrame, displacements: Sequence[tuple[int, int]] | None
         state.update((pickle.dumps(kept, protocol=5),))
 
     return frames.groupBy("source").applyInPandasWithState(run, "source string, frame int, index binary, palette binary, error string", "state binary", "append", GroupStateTimeout.NoTimeout)
+
+
+def palette_levels(deltas: DataFrame, source: str, order: list[str], start: Column) -> DataFrame:
+    """deltas (source, order, delta, ...) with level: a colour channel from start on, as deltas in 1/128 add up.
+
+    Levels are clipped to 0 to 255 as shown, not as kept.
+    """
+    upto = Window.partitionBy(source).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    kept = F.shiftright((start * 128).cast("long") + F.sum("delta").over(upto), 7)
+    return deltas.withColumn("level", F.least(F.lit(255), F.greatest(F.lit(0), kept)).cast("long"))
