@@ -81,10 +81,10 @@ PATTERNS = {
     "CARD": r"(?:[0-9]{13,19}+|[0-9]{4}(?:[ \-][0-9]{4}){3}|3[47][0-9]{2}[ \-][0-9]{6}[ \-][0-9]{5})(?![\p{L}\p{N}])",
     "SSN": r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\p{L}\p{N}])",
     "PHONE": r"(?:\+[0-9]{1,3}[ .\-]?(?:\([0-9]{1,4}\)[ .\-]?)?[0-9]{1,4}(?:[ .\-]?[0-9]{2,4}){1,4}|\([0-9]{3}\)[ .\-]?[0-9]{3}[ .\-]?[0-9]{4}|[0-9]{3}([ .\-])[0-9]{3}\1[0-9]{4}|0[0-9]{2,4}[ /][0-9]{3,4}[ \-]?[0-9]{2,4}|[2-9][0-9]{2}-[0-9]{4})(?![\p{L}\p{N}])",
-    "NAME": rf"(?=[\p{{Lu}}\p{{Lo}}])(?:(?:{'|'.join(TITLES)})\.? (?:{_WORD}(?: {_WORD}){{0,2}}|\p{{Lo}}[\p{{L}}\p{{M}}]+)|(?:{_GIVEN}) {_WORD}|{_CUE}{_PLAIN} {_PLAIN}|{_PLAIN} {_PLAIN}(?=[ ,]{{0,2}}[<(]?[\p{{L}}\p{{N}}._%+\-]{{1,64}}@)){_NAME_END}",
+    "NAME": rf"(?=[\p{{Lu}}\p{{Lo}}])(?:(?:{'|'.join(TITLES)})\.? (?:{_WORD}(?: {_WORD}){{0,2}}|\p{{Lo}}[\p{{L}}\p{{M}}]+)|(?=\p{{L}}[\p{{L}}'’\-]*+ \p{{Lu}})(?:(?:{_GIVEN}) {_WORD}|{_CUE}{_PLAIN} {_PLAIN}|{_PLAIN} {_PLAIN}(?=[ ,]{{0,2}}[<(]?[\p{{L}}\p{{N}}._%+\-]{{1,64}}@))){_NAME_END}",
 }
 START = r"(?<![\p{L}\p{N}_])"
-_UNSPACED = rf"[{''.join(FAMILY['han'])}]\p{{IsHan}}{{1,2}}(?={'|'.join(AFTER_HAN)})|(?<!\p{{IsHan}})\p{{IsHan}}{{2,4}}(?= ?(?:{'|'.join(AFTER_JAPANESE)}))|[{''.join(FAMILY['hangul'])}]\p{{IsHangul}}{{2}}(?= ?(?:{'|'.join(AFTER_HANGUL)}))"
+_UNSPACED = rf"(?=[\u3400-\uD7A3])(?:[{''.join(FAMILY['han'])}]\p{{IsHan}}{{1,2}}(?={'|'.join(AFTER_HAN)})|(?<!\p{{IsHan}})\p{{IsHan}}{{2,4}}(?= ?(?:{'|'.join(AFTER_JAPANESE)}))|[{''.join(FAMILY['hangul'])}]\p{{IsHangul}}{{2}}(?= ?(?:{'|'.join(AFTER_HANGUL)})))"
 ANY = START + "(?:" + "|".join(PATTERNS.values()) + ")|" + _UNSPACED
 #: The same, and all capitalised words besides, for texts in which a person was found.
 ANY_OR_WORD = ANY + "|" + START + _WORD + _NAME_END
