@@ -11,6 +11,18 @@ from dataclasses import dataclass
 import numpy as np
 
 
+#: Reasons that error rows give.
+REASONS = {
+    "strip codec": "unsupported SMAP codec",
+    "strip table": "SMAP strip table overrun",
+    "strip offset": "SMAP strip offset out of range",
+    "cel codec": "unsupported AKOS codec {}",
+    "glyph codec": "unknown NUT codec {}",
+    "row image size": "BOMP dimensions disagree with IMHD",
+    "object image": "unknown OBIM image container",
+}
+
+
 class DecodeError(ValueError):
     """What could not be decoded: source, offset of the resource, reason."""
 
@@ -190,7 +202,7 @@ def strip(data: bytes, at: int, height: int, transparent: int) -> tuple[np.ndarr
     """The 8 by height raster of a strip, and the mask of what it paints if its codec leaves holes."""
     codec = STRIP_CODECS.get(_byte(data, at))
     if codec is None:
-        raise ValueError("unsupported SMAP codec")
+        raise ValueError(REASONS["strip codec"])
     found = codec.pixels(data, at + 1, data[at] % 10, 8 * height)
     raster = found.reshape(8, height).T if codec.by_column else found.reshape(height, 8)
     return raster, (raster != transparent) if codec.holes else None
@@ -202,10 +214,10 @@ def strips(block: bytes, width: int, height: int, transparent: int) -> tuple[np.
     out, holes = np.zeros((height, width), np.uint8), False
     for s in range(width // 8):
         if s * 4 + 8 >= size:
-            raise ValueError("SMAP strip table overrun")
+            raise ValueError(REASONS["strip table"])
         at = int.from_bytes(block[8 + 4 * s : 12 + 4 * s], "little")
         if at >= size:
-            raise ValueError("SMAP strip offset out of range")
+            raise ValueError(REASONS["strip offset"])
         raster, painted = strip(block, at, height, transparent)
         target = out[:, 8 * s : 8 * s + 8]
         target[:] = raster if painted is None else np.where(painted, raster, target)
@@ -221,7 +233,7 @@ def cel(codec: int, data: bytes, at: int, width: int, height: int, colours: int)
         return run_length_rows(data, at, width, height), 255
     if codec == 16:
         return spread(data, at + 1, _byte(data, at), width * height).reshape(height, width), 255
-    raise ValueError(f"unsupported AKOS codec {codec}")
+    raise ValueError(REASONS["cel codec"].format(codec))
 
 
 def glyph(codec: int, data: bytes, width: int, height: int) -> tuple[np.ndarray, int]:
@@ -230,7 +242,7 @@ def glyph(codec: int, data: bytes, width: int, height: int) -> tuple[np.ndarray,
         return run_length_rows(data, 0, width, height, over=0), 0
     if codec == 44:
         return span_rows(data, width, height, 2), 2
-    raise ValueError(f"unknown NUT codec {codec}")
+    raise ValueError(REASONS["glyph codec"].format(codec))
 
 
 def without_transparent_colour(index: bytes, palette: bytes, transparent: int) -> tuple[bytes, bytes]:

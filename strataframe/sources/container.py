@@ -130,11 +130,11 @@ def room_bitmaps(data: bytes, room: int, at: int, source: str) -> Iterator[dict]
 
     def by_rows(block: int, size: tuple[int, int]):
         if (u16(data, block + 10), u16(data, block + 12)) != size:
-            raise ValueError("BOMP dimensions disagree with IMHD")
+            raise ValueError(codecs.REASONS["row image size"])
         return codecs.run_length_rows(data, block + 18, *size), OBJECT_TRANSPARENT, size
 
     def unknown(block: int, size: tuple[int, int]):
-        raise ValueError("unknown OBIM image container")
+        raise ValueError(codecs.REASONS["object image"])
 
     for tag, off, _ in children(data, at):
         if tag == "RMIM" and (image := child(data, off, "IM00")) is not None and (block := child(data, image, "SMAP")) is not None:
@@ -161,7 +161,7 @@ def costume_cels(data: bytes, costume: int, at: int, source: str, room: int) ->
             data_at, size_at = struct.unpack_from("<IH", data, table + 8 + 6 * cel)
             w, h = struct.unpack_from("<HH", data, sizes + 8 + size_at)
             if not w or not h:
-                raise ValueError(f"unsupported AKOS codec {codec}")
+                raise ValueError(codecs.REASONS["cel codec"].format(codec))
             raster, transparent = codecs.cel(codec, data, cels + 8 + data_at, w, h, n_colours)
             yield _row(source, "cel", room=room, name=name, width=w, height=h, transparent=transparent, index=raster.tobytes(), palette=bytes(PALETTE), costume=costume, cel=cel, offset=at)
         except Exception as e:  # a cel of any damage costs only itself

@@ -167,7 +167,7 @@ def rooms_and_objects(assets: DataFrame) -> tuple[DataFrame, DataFrame]:
         .when(is_room & (number.try_cast("int") != F.col("room")), F.concat("name", F.lit(": another room's number")))
         .when(is_room & (F.col("width") % 8 != 0), F.concat("name", F.lit(': "width" must be a multiple of 8')))
         .when(is_object & (F.col("x").isNull() | F.col("y").isNull()), F.concat("name", F.lit(': "x" and "y" must be integers')))
-        .when(F.coalesce(F.col("path").rlike(r"^/|(^|/)\.\.(/|$)") | (F.col("path") == ""), F.lit(True)), F.concat("name", F.lit(': "path" must be a relative path inside the source tree')))
+        .when(F.coalesce(F.col("path").rlike(r"^/|(^|/)\.\.(/|$)") | (F.col("path") == ""), F.lit(True)), F.concat("name", F.lit(': "path" is no relative path below the folder of pictures')))
     )
     checked = own.withColumn("name", F.when(wrong.isNotNull(), F.raise_error(wrong)).otherwise(F.col("name")))
     rooms = checked.where(is_room).groupBy("room").agg(F.count("*").alias("n"), *[F.first(c).alias(c) for c in ("name", "width", "height", "has_alpha", "path")])
@@ -182,10 +182,13 @@ def attempt_log(spark: SparkSession, root: str) -> DataFrame:
 
     A number counts once anything of it is there; a record that is no JSON object is none.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    every = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    records = every.option("pathGlobFilter", "*.json").load(root).select("path", F.decode("content", "UTF-8").alias("body"))
+    files = every.option("pathGlobFilter", "*").load(root).select("path").where("path NOT LIKE '%.json'")  # pictures are listed, not read
+    files = records.unionByName(files, allowMissingColumns=True)
     name = F.regexp_extract("path", r"([^/]+)/attempt-(\d+)(?:\.[^/]*)?(?:/[^/]*)?$", 1)
     n = F.regexp_extract("path", r"/attempt-(\d+)(?:\.|/|$)", 1)
-    body = F.when(F.col("path").rlike(r"/attempt-\d+\.json$"), F.decode("content", "UTF-8"))
+    body = F.when(F.col("path").rlike(r"/attempt-\d+\.json$"), F.col("body"))
     parsed = F.from_json(body, "promoted boolean, output_sha256 string, workflow string", {"mode": "PERMISSIVE"})
     good = body.isNotNull() & F.json_object_keys(body).isNotNull()
     rows = files.where(n != "").select(name.alias("key"), n.cast("int").alias("n"), F.when(good, parsed).alias("r"))
