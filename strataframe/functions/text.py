@@ -56,6 +56,8 @@ class Wording:
     corrections: str
     closing: str
     reference: str = "the provided reference image"
+    painted_negative: str = ""
+    rendered_negative: str = ""
 
 
 def prompt(caption: Column, kind: Column, corrections: Column, note: Column, of_style: Column, w: Wording) -> Column:
@@ -111,3 +113,25 @@ def plan_line(name: Column, kind: Column, windows: Column, wrap: Column, attempt
     """One line of a plan: what is said only where it applies, joined by semicolons."""
     extra = F.concat_ws("; ", F.when(windows > 1, F.concat(windows.cast("string"), F.lit(" windows"))), F.when(wrap.isNotNull(), F.concat(F.lit("wraps at "), wrap.cast("string"))), F.when(attempt > 1, F.concat(F.lit("attempt "), attempt.cast("string"))))
     return F.concat(F.rpad(name, F.greatest(F.lit(12), F.length(name)), F.lit(" ")), kind, F.when(extra != "", F.concat(F.lit(" ("), extra, F.lit(")"))).otherwise(""))
+
+
+def negative(of_style: Column, w: Wording) -> Column:
+    """What a prompt of a style is to keep away from."""
+    return F.when(of_style == "rendered", w.rendered_negative).otherwise(w.painted_negative)
+
+
+def timestamp_text(at: Column) -> Column:
+    """A time in UTC, to the second: 2001-02-03T04:05:06Z."""
+    return F.date_format(F.to_utc_timestamp(at, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+
+def review_question(question: str, rules: dict[str, str], windows: Column, kind: Column, of_style: Column, caption: Column) -> Column:
+    """What a critic is asked about a room: the question with the rule of its style, and what the room is.
+
+    The lettering of an insert is expected as its caption has it; nothing is expected of others.
+    """
+    known = F.create_map(*[F.lit(x) for kv in rules.items() for x in kv])
+    rule = F.coalesce(F.element_at(known, of_style), F.lit(rules["painted"]))
+    expected = F.coalesce(F.when(kind == "insert", lettering(caption)), F.lit("none"))
+    facts = F.concat_ws(" ", F.concat(F.lit("Windows: "), windows.cast("string"), F.lit(".")), F.concat(F.lit("Kind: "), kind, F.lit(".")), F.concat(F.lit("Style: "), F.coalesce(F.nullif(of_style, F.lit("")), F.lit("painted")), F.lit(".")), F.concat(F.lit("Lettering: "), expected, F.lit(".")))
+    return F.concat(F.replace(F.lit(question), F.lit("{style_rule}"), rule), F.lit("\n"), facts)

@@ -120,3 +120,25 @@ def first_code(*rules: tuple[str, Column]) -> Column:
 
 def seed(n: Column) -> Column:
     return F.lit(FIRST_SEED - 1) + n
+
+
+def wants_caption(skip: Column, caption: Column, force: bool = False) -> Column:
+    """Whether an item is to be captioned: it is not skipped, and has no caption that says anything, or all are forced."""
+    return ~skip & (F.lit(force) | (F.trim(F.coalesce(caption, F.lit(""))) == ""))
+
+
+def reviewable(items: DataFrame, attempts: DataFrame, reviews: DataFrame, force: bool = False) -> DataFrame:
+    """(key, attempt) of the items (key, skip, output_missing) whose latest attempt is to be judged.
+
+    Only a promoted latest attempt whose output is there is, and only once unless forced; skipped items never are.
+    """
+    log = with_current_review(items.where("NOT skip AND NOT output_missing").join(summary(attempts), "key"), reviews)
+    open_ = F.lit(force) | F.coalesce(F.col("review_attempt") < F.col("latest"), F.lit(True))
+    return log.where(F.col("latest_recorded") & F.col("latest_promoted") & open_).select("key", F.col("latest").alias("attempt"))
+
+
+def plan_listing(work: DataFrame, uncaptioned: DataFrame) -> DataFrame:
+    """(place, key, line): the lines of a plan, those of the work by key before those of what has no caption."""
+    both = work.select(F.lit(0).alias("part"), "key", "line").unionByName(uncaptioned.select(F.lit(1).alias("part"), "key", "line"))
+    # one line an item of a plan that a person reads: ordered as a whole
+    return both.select((F.row_number().over(Window.orderBy("part", "key")) - 1).alias("place"), "key", "line")

@@ -283,6 +283,73 @@ def scan(spark: SparkSession, path: str, family: str, glob: str) -> DataFrame:
     return files.select("path", "content").mapInPandas(_decoder(family), BITMAP)
 
 
+class _File:
+    """A file as bytes that are read when they are asked for."""
+
+    def __init__(self, path: str):
+        fs, name = pafs.FileSystem.from_uri(path if "://" in path else path.replace("file:", "file://", 1))
+        self.file = fs.open_input_file(name)
+        self.size = self.file.size()
+
+    def __len__(self) -> int:
+        return self.size
+
+    def __getitem__(self, at: int | slice):
+        a, b, _ = at.indices(self.size) if isinstance(at, slice) else (at, at + 1, 1)
+        found = self.file.read_at(max(0, b - a), a)
+        return found if isinstance(at, slice) else found[0]
+
+
+ROOMS = "source string, room int, at long, until long, costume int, error string"
+
+
+def _rooms(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(source, room, at, until, costume, error) of the rooms of archives: where each lies, and the costumes before it."""
+    for frame in frames:
+        rows = []
+        for source in frame["path"]:
+            try:
+                data, costumes = _File(source), 0
+                for room, at in directory(data, source):
+                    until = min(len(data), max(at - 8 + u32be(data, at - 4), at + u32be(data, at + 4)))
+                    rows.append((source, room, at, until, costumes, None))
+                    costumes += sum(tag == "AKOS" for tag, _, _ in walk(data, at, min(len(data), at - 8 + u32be(data, at - 4))))
+            except DecodeError as e:
+                rows.append((source, None, e.offset, None, None, e.reason))
+            except Exception as e:  # a file of any damage costs only itself
+                rows.append((source, None, None, None, None, str(e) or type(e).__name__))
+        yield pd.DataFrame(rows, columns=[c.split()[0] for c in ROOMS.split(", ")]).astype(dict.fromkeys(("room", "at", "until", "costume"), "Int64"))
+
+
+def _room_rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for frame in frames:
+        for source, room, at, until, costume, error in frame.itertuples(index=False):
+            if error is not None:
+                yield _as_frame(iter([_row(source, "archive", offset=None if pd.isna(at) else int(at), error=error)]))
+                continue
+
+            def rows(data: bytes, source: str, room: int = int(room), costume: int = int(costume)) -> Iterator[dict]:
+                yield from room_bitmaps(data, room, 8, source)
+                for tag, off, _ in walk(data, 8, min(len(data), u32be(data, 4))):
+                    if tag == "AKOS":
+                        costume += 1
+                        yield from costume_cels(data, costume, off, source, room)
+
+            yield _as_frame(_moved(_kept(rows, _File(source)[int(at) - 8 : int(until)], source, "archive"), int(at) - 8))
+
+
+def _moved(rows: Iterator[dict], by: int) -> Iterator[dict]:
+    for row in rows:
+        yield row | {"offset": None if row["offset"] is None else row["offset"] + by}
+
+
+def scan_rooms(spark: SparkSession, path: str, glob: str = "*.LA1") -> DataFrame:
+    """The rows of scan(..., "archive") with a room a task's unit: directories are read first, then each room's bytes alone."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(path)
+    rooms = files.select("path").mapInPandas(_rooms, ROOMS)
+    return rooms.repartition("source", "at").mapInPandas(_room_rows, BITMAP)
+
+
 class _Entry(InputPartition):
     def __init__(self, path: str, room: int, at: int):
         self.path, self.room, self.at = path, room, at

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from strataframe.sources import codecs
 from strataframe.sources.codecs import DecodeError, u16
 from strataframe.sources.container import PALETTE, u32be
+from strataframe.sources.tables import read_text
 
 WIDTH, HEIGHT = 320, 200
 #: Where the two pictures lie in the decoder's memory, which blocks may reach outside of them.
@@ -28,6 +29,17 @@ def ring_displacements(tables: int = 3) -> list[tuple[int, int]]:
     return [(x << t, y << t) for t in range(tables) for x, y in near]
 
 
+def read_displacements(uri: str) -> list[tuple[int, int]]:
+    """A format's own displacements from a file: lines of dx and dy, 255 a table; what it holds besides is an error."""
+    text = read_text(uri)
+    if text is None:
+        raise ValueError(f"{uri}: there is no such file")
+    out = [tuple(map(int, line.replace(",", " ").split())) for line in text.splitlines() if line.strip()]
+    if not out or len(out) % 255 or any(len(d) != 2 for d in out):
+        raise ValueError(f"{uri}: tables are 255 lines of two numbers each")
+    return out
+
+
 class _Runs:
     """Items of a stream of runs: a control byte counts items, which are all one (lowest bit 1) or each their own."""
 

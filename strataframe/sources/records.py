@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
 from strataframe.sources.container import PALETTE
 
@@ -93,6 +94,38 @@ def scan(streams: DataFrame, kind: str) -> DataFrame:
     return streams.select("source", "content").mapInPandas(run, RECORD)
 
 
+def decoded(files: DataFrame, decode: Callable[[str], bytes]) -> DataFrame:
+    """(source, content, error): the record streams that a decoder gives for files (source), each a call of its own."""
+
+    def one(source: str) -> tuple[str, bytes | None, str | None]:
+        try:
+            return source, decode(source), None
+        except Exception as e:  # a file that the decoder fails on costs only itself
+            return source, None, str(e) or type(e).__name__
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            yield pd.DataFrame([one(s) for s in frame["source"]], columns=["source", "content", "error"])
+
+    return files.select("source").mapInPandas(run, "source string, content binary, error string")
+
+
+def differences(ours: DataFrame, theirs: DataFrame) -> DataFrame:
+    """(source, type, place, difference) of two tables of records, compared place by place within each source and type.
+
+    Pictures differ by size, transparent colour, palette or index, errors by offset, in this order; a place that one
+    side lacks is missing or surplus. Equal records have no row.
+    """
+    fields = ("width", "height", "transparent", "palette", "index")
+    at = F.row_number().over(Window.partitionBy("source", "type").orderBy("ord")) - 1
+    side = lambda t, p: t.where("type IS NOT NULL").select("source", "type", at.alias("place"), *[F.col(c).alias(f"{p}_{c}") for c in (*fields, "offset")], F.lit(True).alias(p))
+    other = lambda c: ~F.col(f"a_{c}").eqNullSafe(F.col(f"b_{c}"))
+    picture = F.when(other("width") | other("height"), "size").when(other("transparent"), "transparent").when(other("palette"), "palette").when(other("index"), "index")
+    found = F.when(F.col("a").isNull(), "missing").when(F.col("b").isNull(), "surplus").when(F.col("type") == "error", F.when(other("offset"), "offset")).otherwise(picture)
+    both = side(ours, "a").join(side(theirs, "b"), ["source", "type", "place"], "full_outer")
+    return both.select("source", "type", "place", found.alias("difference")).where("difference IS NOT NULL")
+
+
 def first_difference(a: bytes, b: bytes) -> int | None:
     """The place of the first byte that differs, or where the shorter one ends; None for equal ones."""
     if a == b:

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import json
+import textwrap
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -18,14 +20,29 @@ from strataframe.sources import codecs
 
 def write_atomic(uri: str, content: bytes) -> None:
     """The file appears whole or not at all; writing it again replaces it."""
+    write_parts(uri, [content])
+
+
+def write_parts(uri: str, parts: Iterable[bytes]) -> None:
+    """write_atomic() for contents that come in parts, which are written as they come."""
     fs, path = pafs.FileSystem.from_uri(uri)
     fs.create_dir(path.rsplit("/", 1)[0], recursive=True)
     temp = f"{path}.{uuid.uuid4().hex}.tmp"
     with fs.open_output_stream(temp) as out:
-        out.write(content)
+        for part in parts:
+            out.write(part)
     fs.move(temp, path)
 
 
+def json_list(rows: Iterable[dict], indent: str = "") -> Iterator[bytes]:
+    """A JSON list, a row at a time, with two blanks a level."""
+    first = True
+    for row in rows:
+        yield (("[" if first else ",") + "\n" + textwrap.indent(json.dumps(row, indent=2), indent + "  ")).encode()
+        first = False
+    yield b"[]" if first else f"\n{indent}]".encode()
+
+
 def delete(uri: str) -> None:
     fs, path = pafs.FileSystem.from_uri(uri)
     if fs.get_file_info(path).type == pafs.FileType.File:
@@ -82,8 +99,9 @@ def write_nearest(source: np.ndarray, uri: str) -> None:
     write_atomic(uri, raster.png_encode(raster.nearest(source)))
 
 
-def write_errors(errors: list[dict], uri: str) -> None:
+def write_errors(errors: Iterable[dict], uri: str) -> None:
     """The error document, only if there are errors; an earlier one goes in any case."""
     delete(uri)
-    if errors:
-        write_atomic(uri, (json.dumps(errors, indent=2) + "\n").encode())
+    rows = iter(errors)
+    if (first := next(rows, None)) is not None:
+        write_parts(uri, chain(json_list(chain([first], rows)), [b"\n"]))

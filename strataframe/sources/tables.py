@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow.fs as pafs
 import yaml
@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataframe.operators.catalog import at_least
+from strataframe.sources.sinks import json_list
 
 #: Kinds, styles, review sources, and what keys look like.
 KINDS, STYLES, REVIEW_SOURCES = ("scene", "insert", "skip"), ("painted", "rendered"), ("review", "geometry")
@@ -156,7 +157,8 @@ def load_manifest(spark: SparkSession, uri: str, tool: str) -> DataFrame:
 
 
 def rooms_and_objects(assets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rooms, objects) among a manifest's assets; a name that is neither, a doubled one and a wrong value raise when read."""
+    """(rooms by number, objects by key) among a manifest's assets; a name that is neither, a doubled one and a wrong value
+    raise when read."""
     own = assets.where("kind = 'la1_bitmap' AND id LIKE 'la1:%'")
     number = F.regexp_extract("name", r"^room(\d{3})$", 1)
     is_room, is_object = F.coalesce(number != "", F.lit(False)), F.coalesce(F.col("name").rlike(f"^{OBJECT_KEY}$"), F.lit(False))
@@ -174,7 +176,7 @@ def rooms_and_objects(assets: DataFrame) -> tuple[DataFrame, DataFrame]:
     rooms = rooms.withColumn("room", F.when(F.col("n") > 1, F.raise_error(F.format_string("duplicate room %d", "room"))).otherwise(F.col("room"))).drop("n")
     objects = checked.where(is_object).groupBy("name").agg(F.count("*").alias("n"), *[F.first(c).alias(c) for c in ("room", "x", "y", "width", "height", "has_alpha", "path")])
     objects = objects.withColumn("name", F.when(F.col("n") > 1, F.raise_error(F.concat(F.lit("duplicate object "), "name"))).otherwise(F.col("name"))).drop("n")
-    return rooms.withColumn("key", F.format_string("room_%03d", "room")), objects.withColumnRenamed("name", "key")
+    return rooms.withColumn("key", F.format_string("room_%03d", "room")).orderBy("room"), objects.withColumnRenamed("name", "key").orderBy("key")
 
 
 def attempt_log(spark: SparkSession, root: str) -> DataFrame:
@@ -195,7 +197,10 @@ def attempt_log(spark: SparkSession, root: str) -> DataFrame:
     return rows.groupBy("key", "n").agg(F.max(F.col("r").isNotNull()).alias("record"), F.max("r.promoted").alias("promoted"), F.max("r.output_sha256").alias("output_sha256"), F.max("r.workflow").alias("workflow")).withColumn("promoted", F.coalesce("promoted", F.lit(False)))
 
 
-def asset_document(counts: dict[str, int], assets: list[dict], tool: str, version: str, extracted_at: str, root_hash: str) -> str:
-    """The manifest document; placement is left out where there is none, frame and name are written even if null."""
-    plain = [{k: v for k, v in a.items() if v is not None or k not in ("room", "x", "y")} for a in assets]
-    return json.dumps({"tool": tool, "tool_version": version, "extracted_at": extracted_at, "game_root": root_hash, "counts": counts, "assets": plain}, indent=2) + "\n"
+def asset_document(counts: dict[str, int], assets: Iterable[dict], tool: str, version: str, extracted_at: str, root_hash: str) -> Iterator[bytes]:
+    """The manifest document in parts, an asset each; placement is left out where there is none, frame and name are
+    written even if null."""
+    head = json.dumps({"tool": tool, "tool_version": version, "extracted_at": extracted_at, "game_root": root_hash, "counts": counts}, indent=2)
+    yield head.removesuffix("\n}").encode() + b',\n  "assets": '
+    yield from json_list(({k: v for k, v in a.items() if v is not None or k not in ("room", "x", "y")} for a in assets), "  ")
+    yield b"\n}\n"
