@@ -686,3 +686,6 @@ def q70_palette_delta_state(spark, sf_dir):
 def q71_frame_carry(spark, sf_dir):
     w = Window.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, 0)
     return read(spark, sf_dir, "events").select("event_id", F.last(F.when(F.col("event_type") == "view", F.col("event_id")), ignorenulls=True).over(w).alias("shown"))
+
+
+from strataframe import image_queries  # noqa: E402, F401  (its queries register here)

@@ -2,9 +2,30 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import uuid
+
 from pyspark.sql import SparkSession
 
 
+def scratch(spark: SparkSession, tag: str) -> str:
+    """A new folder below spark.checkpoint.dir, which driver and executors share; local mode alone can do without."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not found and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    root = re.sub(r"^(file:)?/+", "file:///", (found or "/tmp/checkpoints/strataframe").rstrip("/"))
+    path = f"{root}/{tag}-{uuid.uuid4().hex}"
+    atexit.register(_clean, spark, path)
+    return path
+
+
+def _clean(spark: SparkSession, path: str) -> None:
+    if spark.sparkContext._jsc is not None:  # else the session has ended before
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "6g") -> SparkSession:
     spark = (
         SparkSession.builder.master(f"local[{cores}]")

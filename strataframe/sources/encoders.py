@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import struct
 from itertools import groupby
 
 
@@ -136,3 +137,65 @@ def chunk(tag: bytes, payload: bytes) -> bytes:
 def padded_chunk(tag: bytes, payload: bytes) -> bytes:
     """A chunk whose size is that of its payload, padded to an even length."""
     return tag + len(payload).to_bytes(4, "big") + payload + b"\x00" * (len(payload) & 1)
+
+
+# ---- containers --------------------------------------------------------------------------------
+
+
+def archive(rooms: list[tuple[int, bytes, bytes]]) -> bytes:
+    """An archive of (number, chunks inside the room, chunks after it) with its directory."""
+    at, body, entries = 17 + 5 * len(rooms), b"", b""
+    for number, inside, after in rooms:
+        entries += bytes([number]) + (at + len(body) + 8).to_bytes(4, "little")
+        body += chunk(b"LFLF", chunk(b"ROOM", inside) + after)
+    return chunk(b"LECF", chunk(b"LOFF", bytes([len(rooms)]) + entries) + body)
+
+
+def palette_table(colours: bytes) -> bytes:
+    return chunk(b"PALS", chunk(b"WRAP", chunk(b"OFFS", (12).to_bytes(4, "little")) + chunk(b"APAL", colours)))
+
+
+def backdrop(width: int, height: int, transparent: int, strips: bytes, colours: bytes) -> bytes:
+    """What a room has of its own: size, transparent colour, palette and a picture of strips."""
+    head = chunk(b"RMHD", bytes(4) + struct.pack("<HH", width, height)) + chunk(b"TRNS", bytes([transparent]))
+    return head + palette_table(colours) + chunk(b"RMIM", chunk(b"IM00", strips))
+
+
+def row_image(width: int, height: int, pixels: bytes) -> bytes:
+    return chunk(b"BOMP", struct.pack("<2xHH4x", width, height) + run_length_rows(pixels, width))
+
+
+def room_object(number: int, x: int, y: int, width: int, height: int, images: dict[str, bytes]) -> bytes:
+    """An object of a room with its images by the two digits of their state."""
+    head = chunk(b"IMHD", bytes(4) + struct.pack("<H2xhhHH", number, x, y, width, height))
+    return chunk(b"OBIM", head + b"".join(chunk(f"IM{state}".encode(), image) for state, image in images.items()))
+
+
+def costume(codec: int, width: int, height: int, data: bytes) -> bytes:
+    """A costume of one cel with 16 colours."""
+    parts = {b"AKHD": bytes(6) + struct.pack("<HH", 1, codec), b"AKOF": struct.pack("<IH", 0, 0), b"AKCI": struct.pack("<HH", width, height), b"AKCD": data + bytes(4), b"AKPL": bytes(16)}
+    return chunk(b"AKOS", b"".join(chunk(tag, body) for tag, body in parts.items()))
+
+
+def font(glyphs: list[tuple[int, int, int, bytes]], colours: bytes) -> bytes:
+    """A font of (codec, width, height, data)."""
+    body = padded_chunk(b"AHDR", struct.pack("<HH", 2, len(glyphs)) + b"\x00\x00" + colours)
+    for codec, width, height, data in glyphs:
+        body += padded_chunk(b"FRME", padded_chunk(b"FOBJ", struct.pack("<H4xHH4x", codec, width, height) + data))
+    return b"ANIM" + len(body).to_bytes(4, "big") + body
+
+
+def animation(frames: list[bytes], colours: bytes) -> bytes:
+    """An animation of frames, each its chunks."""
+    head = padded_chunk(b"AHDR", struct.pack("<HH", 2, len(frames)) + b"\x00\x00" + colours)
+    return b"ANIM" + (0).to_bytes(4, "big") + head + b"".join(padded_chunk(b"FRME", f) for f in frames)
+
+
+def fade(command: int, delta: int = 0) -> bytes:
+    return padded_chunk(b"XPAL", b"\x00\x00" + command.to_bytes(2, "little") + struct.pack("<768h", *[delta] * 768))
+
+
+def delta_blocks(kind: int, body: bytes, width: int, height: int, sequence: int = 1, size: int = 0, flags: int = 0) -> bytes:
+    """A frame's picture of blocks."""
+    head = bytes([kind, 0]) + sequence.to_bytes(2, "little") + size.to_bytes(4, "little") + bytes(4) + bytes([flags]) + bytes(3)
+    return padded_chunk(b"FOBJ", struct.pack("<HhhHHHH", 37, 0, 0, width, height, 0, 0) + head + body)
