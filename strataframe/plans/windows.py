@@ -39,8 +39,10 @@ def axis_spans(start: Column, end: Column, size: int, most: int = 64, overlap: i
     least = F.ceil((length - overlap) / F.lit(size - overlap)).cast("int")
     at = lambda i, n: F.when(i == n - 1, length - size).otherwise(F.floor(F.floor(i * (length - size) / (n - 1)) / ALIGN).cast("int") * ALIGN)
     fits = lambda n: F.forall(F.sequence(F.lit(1), n - 1), lambda i: at(i - 1, n) + size - at(i, n) >= overlap)
-    n = F.get(F.filter(F.sequence(least, least + most), fits), F.lit(0))
-    spans = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct((start + at(i, n)).cast("int").alias("a"), (start + at(i, n) + size).cast("int").alias("b")))
+    fewest = F.slice(F.filter(F.sequence(least, least + most), fits), 1, 1)
+    span = lambda a: F.struct((start + a).cast("int").alias("a"), (start + a + size).cast("int").alias("b"))
+    # the number is bound once, not worked out again wherever it is used
+    spans = F.flatten(F.transform(fewest, lambda n: F.transform(F.transform(F.sequence(F.lit(0), n - 1), lambda i: at(i, n)), span)))
     return F.when(length <= size, F.array(F.struct(start.cast("int").alias("a"), end.cast("int").alias("b")))).otherwise(spans)
 
 
