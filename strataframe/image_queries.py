@@ -566,3 +566,97 @@ def q116_settings(spark, sf_dir):
             return str(e).split("=")[0]
 
     return spark.createDataFrame([(s, share(s)) for s in ("", "0.25", "1", "1.5", "x")], "said string, share string")
+
+
+KINDS_SQL = "SELECT n_nationkey AS n, k.kind, CAST(i AS INTEGER) AS ord, k.type, CAST(k.hole AS INTEGER) AS transparent, printf('%02X%02X', n_nationkey, i) AS pixels, k.palette FROM nation, range(3) t(i), (VALUES ('frames', 'frame', NULL, TRUE), ('glyphs', 'glyph', 2, TRUE), ('cels', 'cel', 2, FALSE)) k(kind, type, hole, palette) WHERE NOT (k.kind = 'cels' AND i = 1)"
+
+
+@query(KINDS_SQL + " UNION ALL SELECT n_nationkey, 'cels', 1, 'error', NULL, NULL, FALSE FROM nation")
+def q117_stream_kinds(spark, sf_dir):
+    small = lambda *values: b"".join(v.to_bytes(2, "little") for v in values)
+
+    def stream(kind: str, n: int) -> bytes:
+        out = b""
+        for i in range(3):
+            index = bytes([n, i])
+            if kind == "frames":
+                out += b"FRMK" + small(2, 1) + _colours(n) + index
+            elif kind == "glyphs":
+                out += b"NUTG" + small(2, 1) + b"\x02" + _colours(n) + index
+            elif i == 1:
+                out += b"AKOSE" + n.to_bytes(4, "little") + small(i, 9)
+            else:
+                out += b"AKOS" + n.to_bytes(4, "little") + small(i, 2, 1) + b"\x02" + index
+        return out
+
+    parts = []
+    for kind in ("frames", "glyphs", "cels"):
+        streams = _mapped(spark, sf_dir, "nation", "n_nationkey", lambda n, kind=kind: [(str(n), stream(kind, n))], "source string, content binary")
+        parts.append(records.scan(streams, kind).withColumn("kind", F.lit(kind)))
+    rows = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return rows.select(F.col("source").cast("long").alias("n"), "kind", "ord", "type", "transparent", F.hex("index").alias("pixels"), F.col("palette").isNotNull().alias("palette"))
+
+
+@query("SELECT r_regionkey AS room, 2 AS painted, TRUE AS promoted, TRUE AS repeats, TRUE AS margin_kept, CAST(4 * (444 + 8 * r_regionkey) AS INTEGER) AS width FROM region")
+def q118_rendered_wraparounds(spark, sf_dir):
+    def one(r: int) -> list[tuple]:
+        period = 320 + 8 * r
+        tile = _noise(144, period, r)
+        image = np.concatenate([tile, tile[:, :100], np.zeros((144, 24, 3), np.uint8)], axis=1)
+        seen = []
+        final, gate = rooms.render_room(image, lambda number, crop, composite, mask: seen.append(number) or composite, "none")
+        repeats = np.array_equal(final[:, 4 * period : 4 * (period + 100)], final[:, :400])
+        return [(r, len([n for n in seen if n in (1, None)]), not gate.issues, repeats, not final[:, -96:].any(), final.shape[1])]
+
+    return _mapped(spark, sf_dir, "region", "r_regionkey", one, "room long, painted int, promoted boolean, repeats boolean, margin_kept boolean, width int")
+
+
+@query("SELECT r_regionkey AS key, r_regionkey AS seed, CASE WHEN r_regionkey % 2 = 0 THEN 'kept' END AS model, r_regionkey = 3 AS failed FROM region")
+def q119_templates(spark, sf_dir):
+    folder = scratch(spark, "templates")
+
+    def one(r: int) -> list[tuple]:
+        graph = {"prompt": {"1": {"inputs": {"seed": -1} | ({"model": "kept"} if r % 2 == 0 else {})}}}
+        sinks.write_atomic(f"{folder}/{r}.json", json.dumps(graph).encode())
+        filled = services.load_graph(f"{folder}/{r}.json", {("1", "seed"): r})["1"]["inputs"]
+        try:
+            services.load_graph(f"{folder}/{r}.json", {("9" if r == 3 else "1", "seed"): r})
+            failed = False
+        except ValueError:
+            failed = True
+        return [(r, filled["seed"], filled.get("model"), failed)]
+
+    return _mapped(spark, sf_dir, "region", "r_regionkey", one, "key long, seed long, model string, failed boolean")
+
+
+@query("SELECT r_regionkey AS key, CASE WHEN r_regionkey % 2 = 0 THEN 'POST {\"n\": ' || r_regionkey || '} Bearer t' ELSE 'GET  none' END AS answer, CASE WHEN r_regionkey = 3 THEN 'HTTP 404 Not Found' END AS error FROM region WHERE r_regionkey <> 3 UNION ALL SELECT r_regionkey, NULL, 'HTTP 404 Not Found' FROM region WHERE r_regionkey = 3")
+def q120_requests(spark, sf_dir):
+    def one(r: int) -> list[tuple]:
+        import threading
+        from http.server import BaseHTTPRequestHandler, HTTPServer
+
+        class Echo(BaseHTTPRequestHandler):
+            def do_GET(self) -> None:
+                body = self.rfile.read(int(self.headers.get("Content-Length", 0))).decode()
+                said = json.dumps({"said": f"{self.command} {body} {self.headers.get('Authorization', 'none')}"}).encode()
+                self.send_response(404 if self.path == "/3" else 200)
+                self.end_headers()
+                self.wfile.write(said)
+
+            do_POST = do_GET
+
+            def log_message(self, *_) -> None:
+                pass
+
+        with HTTPServer(("127.0.0.1", 0), Echo) as server:
+            threading.Thread(target=server.serve_forever, daemon=True).start()
+            try:
+                url = f"http://127.0.0.1:{server.server_port}/{r}"
+                answer = services.request_json(url, {"n": r}, token="t") if r % 2 == 0 else services.request_json(url)
+                return [(r, answer["said"], None)]
+            except RuntimeError as e:
+                return [(r, None, str(e).split(" for ")[0])]
+            finally:
+                server.shutdown()
+
+    return _mapped(spark, sf_dir, "region", "r_regionkey", one, "key long, answer string, error string")
