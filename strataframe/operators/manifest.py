@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strataframe.session import materialized
+
 
 def asset_id(family: Column, source: Column, frame: Column, name: Column) -> Column:
     """family:source:00007 for a frame, family:name for others."""
@@ -30,11 +36,45 @@ def palettes(assets: DataFrame, palette: str) -> DataFrame:
 
 
 def bundle_hash(files: DataFrame, bundle: str, separator: str = "\x00") -> DataFrame:
-    """(bundle, hash) over the sorted (path, size) of each bundle's files; a bundle's listing is one row's array."""
-    entry = F.struct("path", "size")
-    line = lambda e: F.concat(e["path"], F.lit(separator), e["size"].cast("string"), F.lit(separator))
-    text = F.array_join(F.transform(F.array_sort(F.collect_list(entry)), line), "")
-    return files.groupBy(bundle).agg(F.sha2(text.cast("binary"), 256).alias("hash"))
+    """(bundle, hash) over the sorted (path, size) of each bundle's files.
+
+    A bundle's lines are hashed one after the other as they come from the sort, so no listing is ever held as a whole.
+    """
+    lines = files.select(F.col(bundle).alias("bundle"), "path", F.col("size").cast("string").alias("size"), F.col("size").alias("by_size"))
+    lines = lines.repartition("bundle").sortWithinPartitions("bundle", "path", "by_size").drop("by_size")
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, digest = None, None
+        for frame in frames:
+            done = []
+            for of, path, size in zip(frame["bundle"].array, frame["path"], frame["size"], strict=True):
+                of = None if pd.isna(of) else of
+                if digest is None or of != now:
+                    if digest is not None:
+                        done.append((now, digest.hexdigest()))
+                    now, digest = of, hashlib.sha256()
+                digest.update(f"{path}{separator}{size}{separator}".encode())
+            yield pd.DataFrame(done, columns=["bundle", "hash"])
+        if digest is not None:
+            yield pd.DataFrame([(now, digest.hexdigest())], columns=["bundle", "hash"])
+
+    kind = lines.schema["bundle"].dataType.simpleString()
+    return lines.mapInPandas(run, f"bundle {kind}, hash string").withColumnRenamed("bundle", bundle)
+
+
+def numbered(rows: DataFrame, group: str, order: list[str], name: str = "place") -> DataFrame:
+    """rows with their place in their group, from 0, by order; a group may have any share of the rows.
+
+    Rows are dealt to ranges of group and order and written once; places count on from the ranges before, of which only
+    the counts are added up.
+    """
+    written = materialized(rows.repartitionByRange(group, *order).withColumn("__range", F.spark_partition_id()), "numbered")
+    counts = written.groupBy("__range", group).agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy(group).orderBy("__range").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")
+    starts = counts.select(F.col("__range").alias("of_range"), F.col(group).alias("of_group"), before.alias("start"))
+    own = F.row_number().over(Window.partitionBy("__range", group).orderBy(*order)) - 1
+    met = (F.col("__range") == F.col("of_range")) & F.col(group).eqNullSafe(F.col("of_group"))
+    return written.withColumn("__own", own).join(starts, met).select(*rows.columns, (F.col("start") + F.col("__own")).alias(name))
 
 
 def shown_errors(errors: DataFrame, shown: int = 5) -> DataFrame:
@@ -72,8 +112,7 @@ def contiguous(blocks: DataFrame, group: str) -> DataFrame:
 
 def batches(rows: DataFrame, group: str, key: str, size: int = 8) -> DataFrame:
     """(group, batch, keys): each group's keys in order, dealt to batches of size, a batch's keys joined by commas."""
-    n = F.row_number().over(Window.partitionBy(group).orderBy(key)) - 1
-    dealt = rows.select(group, key, F.floor(n / size).cast("int").alias("batch"))
+    dealt = numbered(rows.select(group, key), group, [key]).select(group, key, F.floor(F.col("place") / size).cast("int").alias("batch"))
     return dealt.groupBy(group, "batch").agg(F.array_join(F.transform(F.array_sort(F.collect_list(key)), lambda k: k.cast("string")), ",").alias("keys"))
 
 

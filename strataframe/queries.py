@@ -165,8 +165,9 @@ def _assets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(ASSET_SQL + " SELECT id, row_number() OVER (PARTITION BY source ORDER BY coalesce(frame, -1), id) AS ord, CASE WHEN frame IS NULL THEN '{\"id\":\"' || id || '\",\"size\":' || size || ',\"frame\":null}' ELSE '{\"id\":\"' || id || '\",\"frame\":' || frame || ',\"size\":' || size || '}' END AS record FROM s")
 def q10_asset_manifest(spark, sf_dir):
-    order = Window.partitionBy("source").orderBy(F.coalesce("frame", F.lit(-1)), "id")
-    return _assets(spark, sf_dir).select("id", F.row_number().over(order).cast("long").alias("ord"), manifest.asset_json("id", "frame", "size", always=("frame",)).alias("record"))
+    record = manifest.asset_json("id", "frame", "size", always=("frame",))
+    rows = _assets(spark, sf_dir).select("source", F.coalesce("frame", F.lit(-1)).alias("at"), "id", record.alias("record"))
+    return manifest.numbered(rows, "source", ["at", "id"], "ord").select("id", (F.col("ord") + 1).alias("ord"), "record")
 
 
 @query("SELECT k.kind, count(d.lang) AS n FROM (VALUES ('en'), ('de'), ('fr'), ('none')) k(kind) LEFT JOIN documents d ON CASE d.lang WHEN 'es' THEN 'fr' ELSE d.lang END = k.kind GROUP BY k.kind")

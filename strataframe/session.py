@@ -6,7 +6,7 @@ import atexit
 import re
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch(spark: SparkSession, tag: str) -> str:
@@ -20,6 +20,13 @@ def scratch(spark: SparkSession, tag: str) -> str:
     return path
 
 
+def materialized(df: DataFrame, tag: str) -> DataFrame:
+    """df as a table in a folder of its own, so that it is worked out once, however often it is read and whoever is lost."""
+    path = scratch(df.sparkSession, tag)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _clean(spark: SparkSession, path: str) -> None:
     if spark.sparkContext._jsc is not None:  # else the session has ended before
         folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
