@@ -14,12 +14,14 @@ from __future__ import annotations
 
 import gc
 import heapq
+import os
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,7 +30,8 @@ from strataframe.llm.common import small_batches
 MARK = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
-CACHE_WORDS, CACHE_PAIRS = 500_000, 500_000
+CACHE_WORDS, CACHE_PAIRS, PART_CHARS = 250_000, 500_000, 1_000_000
+CHARACTER, SIDE = 1 << 20, 22  # numbers of characters without a piece lie above those of pieces; bits of a number
 UNIGRAM, BPE = 1, 2
 
 
@@ -43,21 +46,23 @@ class Vocabulary:
     unknown: int
     spellings: list[bytes]
     dummy_prefix: bool = True
-    endings: dict[str, bool] = field(default_factory=dict)  # of the pieces, and whether they are pieces themselves
+    endings: dict[str, int] = field(default_factory=dict)  # of the pieces; 0, or the id and one more of those that are pieces
     packed: dict[str, bytes] = field(default_factory=dict)  # ids of the pieces as 32-bit numbers
-    pairs: dict[tuple[str, str], bool] = field(default_factory=dict)
+    pairs: dict[int, bool] = field(default_factory=dict)  # of two numbers: whether an edge is admissible
     words: dict[str, bytes] = field(default_factory=dict)
 
     def __post_init__(self):
         self.packed = {p: np.uint32(i).tobytes() for p, i in self.ids.items()}
-        self.endings = dict.fromkeys((p[i:] for p in self.ids for i in range(len(p))), False) | dict.fromkeys(self.ids, True)
+        self.endings = dict.fromkeys((p[i:] for p in self.ids for i in range(len(p))), 0) | {p: i + 1 for p, i in self.ids.items()}
         self.lowest = min(self.scores.values(), default=0.0) - 10.0
 
 
 def load(model_file: str = MODEL) -> Vocabulary:
-    """Reads a model file whose normalizer leaves texts as they are; others raise."""
+    """Reads a model file of the driver whose normalizer leaves texts as they are; others raise."""
     from sentencepiece import sentencepiece_model_pb2 as pb
 
+    if not os.path.isfile(model_file):
+        raise FileNotFoundError(f"{model_file}: the vocabulary must lie here on the driver, or load() be given another")
     model = pb.ModelProto()
     with open(model_file, "rb") as f:
         model.ParseFromString(f.read())
@@ -98,33 +103,32 @@ def merged(text: str, scores: dict[str, float]) -> list[str]:
     return [p for p in parts if p is not None]
 
 
-def admissible(v: Vocabulary, left: str, right: str) -> bool:
-    """Whether merging left + right gives left and right."""
-    found = v.pairs.get((left, right))
-    if found is None:
-        if len(v.pairs) >= CACHE_PAIRS:
-            v.pairs.clear()
-        found = v.pairs[left, right] = merged(left + right, v.scores) == [left, right]
+def admissible(v: Vocabulary, left: str, right: str, key: int) -> bool:
+    """Whether merging left + right gives left and right; key: the numbers of both."""
+    if len(v.pairs) >= CACHE_PAIRS:
+        v.pairs.clear()
+    found = v.pairs[key] = merged(left + right, v.scores) == [left, right]
     return found
 
 
-def _extend_by_merges(v: Vocabulary, word: str, start: int, lasts: list[str], _: list[float]) -> None:
-    """Appends the last piece of each prefix of word that is longer than start."""
+def _extend_by_merges(v: Vocabulary, word: str, start: int, lasts: list[str], numbers: list[int]) -> None:
+    """Appends the last piece of each prefix of word that is longer than start, and its number."""
     endings, pairs = v.endings, v.pairs
     for end in range(start + 1, len(word) + 1):
-        last, at = "", end - 1
+        last, number, at = "", 0, end - 1
         while at >= 0:
             piece = word[at:end]
             whole = endings.get(piece)
             if whole or at == end - 1:
-                before = lasts[at]
-                if not at or (before and (found if (found := pairs.get((before, piece))) is not None else admissible(v, before, piece))):
-                    last = piece
+                own = whole or CHARACTER + ord(piece)
+                if not at or ((before := numbers[at]) and (found if (found := pairs.get(key := before << SIDE | own)) is not None else admissible(v, lasts[at], piece, key))):
+                    last, number = piece, own
                     break
             if whole is None:
                 break
             at -= 1
         lasts.append(last)
+        numbers.append(number)
 
 
 def _extend_by_score(v: Vocabulary, word: str, start: int, lasts: list[str], best: list[float]) -> None:
@@ -162,7 +166,7 @@ def encode_words(v: Vocabulary, words: Iterable[str]) -> dict[str, bytes]:
     """Ids of each distinct word, as 32-bit numbers; words that follow each other in order share their prefix's table."""
     extend = _extend_by_merges if v.kind == BPE else _extend_by_score
     spelled = v.packed
-    out, before, lasts, best = {}, "", [""], [0.0]
+    out, before, lasts, best = {}, "", [""], [0 if v.kind == BPE else 0.0]
     for word in sorted(set(words)):
         shared = _common(before, word)
         del lasts[shared + 1 :], best[shared + 1 :]
@@ -186,7 +190,7 @@ def marked(v: Vocabulary, text: str) -> list[str]:
 
 
 def encode_batch(v: Vocabulary, texts: list[str]) -> list[np.ndarray]:
-    """Ids of each text. The words met lately stay known, up to CACHE_WORDS of them."""
+    """Ids of each text. Words met stay known, up to CACHE_WORDS of them, then those of the texts at hand."""
     words = [marked(v, t) for t in texts]
     known, collects = v.words, gc.isenabled()
     gc.disable()  # nothing here makes cycles, and there is much to look through
@@ -194,8 +198,9 @@ def encode_batch(v: Vocabulary, texts: list[str]) -> list[np.ndarray]:
         every = set().union(*words)
         new = every.difference(known)
         if len(known) + len(new) > CACHE_WORDS:
+            lately = {w: known[w] for w in every - new}
             known.clear()
-            new = every
+            known |= lately
         known |= encode_words(v, new)
         return [np.frombuffer(b"".join(map(known.__getitem__, ws)), np.uint32) for ws in words]
     finally:
@@ -210,29 +215,33 @@ def decode(v: Vocabulary, ids: Iterable[int]) -> str:
 
 
 def _coder(sent, with_text: bool):
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v: Vocabulary = sent.value  # a worker keeps it, and so what it has met, from task to task
-        for frame in frames:
-            for part in _parts(frame):
-                known = part["text"].notna().to_numpy()
-                ids = encode_batch(v, [t for t, k in zip(part["text"], known, strict=True) if k])
-                row = iter(ids)
-                all_ids = [next(row) if k else None for k in known]
-                out = part.drop(columns=["text"])
-                out["n_tokens"] = [len(x) if x is not None else 0 for x in all_ids]
-                out["ids"] = [x.view(np.int32) if x is not None else None for x in all_ids]
+        for batch in batches:
+            for part in _parts(batch):
+                texts = part.column("text").to_pylist()
+                ids = encode_batch(v, [t for t in texts if t is not None])
+                known = np.array([t is not None for t in texts], bool)
+                sizes = np.zeros(len(texts), np.int64)
+                sizes[known] = [len(x) for x in ids]
+                values = np.concatenate(ids).view(np.int32) if ids else np.empty(0, np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(values), mask=pa.array(~known))
+                out = {name: part.column(name) for name in part.schema.names if name != "text"} | {"n_tokens": pa.array(sizes), "ids": lists}
                 if with_text:
-                    out["decoded"] = [decode(v, x.tolist()) if x is not None else None for x in all_ids]
-                yield out
+                    row = iter(ids)
+                    out["decoded"] = pa.array([decode(v, next(row).tolist()) if k else None for k in known], pa.string())
+                yield pa.RecordBatch.from_pydict(out)
 
     return run
 
 
-def _parts(frame: pd.DataFrame, most_chars: int = 4_000_000) -> Iterator[pd.DataFrame]:
-    """The frame in parts of about so many characters at most, or of one row."""
-    sizes = frame["text"].str.len().fillna(0).astype("int64").cumsum() // most_chars
-    for _, part in frame.groupby(sizes.to_numpy()):
-        yield part
+def _parts(batch: pa.RecordBatch, most_chars: int = PART_CHARS) -> Iterator[pa.RecordBatch]:
+    """The rows in parts of about so many characters at most, or of one row; an empty batch is one part."""
+    sizes = pc.fill_null(pc.utf8_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+    of = np.cumsum(sizes, dtype=np.int64) // most_chars
+    starts = [0, *(np.flatnonzero(np.diff(of)) + 1).tolist(), len(of)]
+    for a, b in zip(starts, starts[1:], strict=False):
+        yield batch.slice(a, b - a)
 
 
 def encode_documents(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",), with_text: bool = True) -> DataFrame:
@@ -245,4 +254,4 @@ def encode_documents(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "t
     sent = docs.sparkSession.sparkContext.broadcast(vocabulary)  # one vocabulary, whatever the data
     kept = docs.select(*keep, F.col(text_col).alias("text"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields if f.name != "text") + ", n_tokens long, ids array<int>" + ", decoded string" * with_text
-    return kept.mapInPandas(_coder(sent, with_text), schema)
+    return kept.mapInArrow(_coder(sent, with_text), schema)
