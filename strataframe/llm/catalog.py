@@ -113,6 +113,8 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids and decoded texts. The vocabulary is a merge-order one, so the table of each prefix holds the last piece of its
+    admissible chain; a unigram vocabulary would have the best scores in it (tests/llm/test_pieces.py)."""
     from strataframe.llm.pieces import encode_documents, load
 
     return encode_documents(table(spark, sf_dir, "documents"), load())

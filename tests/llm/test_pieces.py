@@ -77,6 +77,34 @@ def test_documents(spark, v, reference_coder):
     assert pieces.encode_documents(df.limit(0), v).count() == 0
 
 
+def test_documents_with_a_unigram_vocabulary(spark):
+    """Best paths over whole texts, word by word, by a table over all starts."""
+    rng = random.Random(5)
+    known = sorted({"".join(p) for n in (1, 2, 3) for p in itertools.product("ab▁", repeat=n)})
+    scores = {p: -rng.random() * 9 for p in known}
+    v = pieces.Vocabulary(pieces.UNIGRAM, {p: i for i, p in enumerate(known)}, scores, [], 99, [p.replace("▁", " ").encode() for p in known])
+    texts = [" ".join("".join(rng.choices("ab", k=rng.randrange(1, 9))) for _ in range(rng.randrange(1, 9))) for _ in range(40)] + [None, "", "  a "]
+
+    def best(word):
+        ways = [(0.0, [])]
+        for end in range(1, len(word) + 1):
+            ways.append(max((ways[a][0] + scores[word[a:end]], [*ways[a][1], v.ids[word[a:end]]]) for a in range(max(0, end - 3), end)))
+        return ways[-1]
+
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in pieces.encode_documents(df, v).collect():
+        text = texts[r.doc_id]
+        assert r.decoded == text and (r.ids is None) == (text is None)
+        if text:
+            names = {i: p for p, i in v.ids.items()}
+            assert sum(scores[names[i]] for i in r.ids) == pytest.approx(sum(best(w)[0] for w in pieces.marked(v, text)))
+
+
+def test_missing_vocabulary():
+    with pytest.raises(FileNotFoundError, match="on the driver"):
+        pieces.load("/no/such.model")
+
+
 def test_small_cache(v, monkeypatch):
     monkeypatch.setattr(pieces, "CACHE_WORDS", 2)
     monkeypatch.setattr(pieces, "CACHE_PAIRS", 3)
