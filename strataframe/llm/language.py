@@ -22,6 +22,7 @@ from strataframe.llm.common import small_batches
 BUCKETS, DIM, NGRAMS = 1 << 16, 16, (1, 2, 3, 4)
 SAMPLE_ROWS = 4_000  # labelled rows that training takes at most, on average, shared evenly among languages
 SAMPLE_CHARS = 20_000  # of a longer text training takes a part of this length, from a place that its hash gives
+KEPT = 8_000_000  # shares of whole texts' subwords that training keeps from one round to the next
 UNKNOWN = "und"
 
 
@@ -95,6 +96,12 @@ def _snippet(text: str, rng: np.random.Generator) -> str:
     return text[start : start + size]
 
 
+def _shares(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct subwords of a text and the share of each."""
+    at, times = np.unique(subwords(text), return_counts=True)
+    return at, (times / max(1, times.sum())).astype(np.float32)
+
+
 def train(texts: list[str], labels: list[str], epochs: int = 4, rate: float = 1.0, seed: int = 1, miss: float = 0.002) -> Model:
     """Fits on four fifths of the rows, whole texts and random snippets of them; the rest calibrate.
 
@@ -111,15 +118,18 @@ def train(texts: list[str], labels: list[str], epochs: int = 4, rate: float = 1.
     order = rng.permutation(len(rows))
     fit, held = order[: max(1, len(rows) * 4 // 5)], order[len(rows) * 4 // 5 :]
     steps, step = epochs * len(fit) * 3, 0
+    known: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    room = KEPT
     for _ in range(epochs):
         for i in rng.permutation(fit):
             text, y = rows[i][0], place[rows[i][1]]
-            for part in (text, _snippet(text, rng), _snippet(text, rng)):
+            whole = known.get(i) or _shares(text)
+            if i not in known and len(whole[0]) <= room:
+                known[i], room = whole, room - len(whole[0])
+            for at, share in (whole, _shares(_snippet(text, rng)), _shares(_snippet(text, rng))):
                 step += 1
-                at, times = np.unique(subwords(part), return_counts=True)
                 if not len(at):
                     continue
-                share = (times / times.sum()).astype(np.float32)
                 h = share @ m.embeddings[at]
                 g = softmax(m.weights @ h + m.bias)
                 g[y] -= 1
