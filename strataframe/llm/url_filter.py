@@ -82,7 +82,7 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, max_ite
     long = seeds.select(F.explode(F.array(F.struct(F.lit(True).alias("forward"), "host", F.col("trust").alias("s")), F.struct(F.lit(False).alias("forward"), "host", F.col("distrust").alias("s")))).alias("x")).select("x.*").where("s > 0")
     total = long.groupBy("forward").agg(F.sum("s").alias("total"))  # two rows at most
     start = materialize(long.join(F.broadcast(total), "forward").select("forward", "host", (F.col("s") / F.col("total")).alias("s")), "seeds")
-    rank = start.select("forward", "host", F.col("s").alias("r"))
+    rank, last = start.select("forward", "host", F.col("s").alias("r")), None
     if links := flow.count():
         # hosts with much of all links, under HEAVY a direction as their links add up to all: their ranks go to every task
         degrees = flow.groupBy("forward", "src").agg(F.count("*").alias("n")).where(F.col("n") * HEAVY > links).select("forward", "src")
@@ -95,9 +95,10 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, max_ite
             sent = others.join(ranks, ["forward", "src"]).unionByName(of_heavy.join(F.broadcast(ranks.join(known, ["forward", "src"])), ["forward", "src"]))
             came = sent.select("forward", F.col("dst").alias("host"), (damping * F.col("r") * F.col("p")).alias("r"))
             parts = came.withColumn("old", F.lit(0.0)).unionByName(start.select("forward", "host", ((1 - damping) * F.col("s")).alias("r"), F.lit(0.0).alias("old"))).unionByName(rank.select("forward", "host", F.lit(0.0).alias("r"), F.col("r").alias("old")))
-            before, rank = rank, materialize(parts.groupBy("forward", "host").agg(F.sum("r").alias("r"), F.sum("old").alias("old")), "rank")
-            if hasattr(before, "scratch_path"):
-                drop(before)
+            rank = materialize(parts.groupBy("forward", "host").agg(F.sum("r").alias("r"), F.sum("old").alias("old")), "rank")
+            if last is not None:
+                drop(last)
+            last = rank
             moved, reached = rank.agg(F.sum(F.abs(F.col("r") - F.col("old"))), F.count_if(F.expr("old = 0 AND r > 0"))).first()
             if moved is None or (moved < tolerance and not reached):
                 break
