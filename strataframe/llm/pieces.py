@@ -50,6 +50,7 @@ class Vocabulary:
     packed: dict[str, bytes] = field(default_factory=dict)  # ids of the pieces as 32-bit numbers
     pairs: dict[int, bool] = field(default_factory=dict)  # of two numbers: whether an edge is admissible
     words: dict[str, bytes] = field(default_factory=dict)
+    share: float = 1.0  # of CACHE_WORDS, CACHE_PAIRS and PART_CHARS that this one keeps and takes: less memory, more work
 
     def __post_init__(self):
         self.packed = {p: np.uint32(i).tobytes() for p, i in self.ids.items()}
@@ -57,7 +58,7 @@ class Vocabulary:
         self.lowest = min(self.scores.values(), default=0.0) - 10.0
 
 
-def load(model_file: str = MODEL) -> Vocabulary:
+def load(model_file: str = MODEL, share: float = 1.0) -> Vocabulary:
     """Reads a model file of the driver whose normalizer leaves texts as they are; others raise."""
     from sentencepiece import sentencepiece_model_pb2 as pb
 
@@ -75,7 +76,7 @@ def load(model_file: str = MODEL) -> Vocabulary:
         if p.type == kinds.BYTE:
             single[int(p.piece[1:-1], 16)] = i
         spellings.append(bytes([int(p.piece[1:-1], 16)]) if p.type == kinds.BYTE else p.piece.replace(MARK, " ").encode() if p.type in (kinds.NORMAL, kinds.USER_DEFINED) else b" \xe2\x81\x87 " if p.type == kinds.UNKNOWN else b"")
-    return Vocabulary(model.trainer_spec.model_type, {model.pieces[i].piece: i for i in normal}, {model.pieces[i].piece: model.pieces[i].score for i in normal}, single if any(single) else [], next(i for i, p in enumerate(model.pieces) if p.type == kinds.UNKNOWN), spellings, model.normalizer_spec.add_dummy_prefix)
+    return Vocabulary(model.trainer_spec.model_type, {model.pieces[i].piece: i for i in normal}, {model.pieces[i].piece: model.pieces[i].score for i in normal}, single if any(single) else [], next(i for i, p in enumerate(model.pieces) if p.type == kinds.UNKNOWN), spellings, model.normalizer_spec.add_dummy_prefix, share=share)
 
 
 def merged(text: str, scores: dict[str, float]) -> list[str]:
@@ -105,7 +106,7 @@ def merged(text: str, scores: dict[str, float]) -> list[str]:
 
 def admissible(v: Vocabulary, left: str, right: str, key: int) -> bool:
     """Whether merging left + right gives left and right; key: the numbers of both."""
-    if len(v.pairs) >= CACHE_PAIRS:
+    if len(v.pairs) >= CACHE_PAIRS * v.share:
         v.pairs.clear()
     found = v.pairs[key] = merged(left + right, v.scores) == [left, right]
     return found
@@ -197,7 +198,7 @@ def encode_batch(v: Vocabulary, texts: list[str]) -> list[np.ndarray]:
     try:
         every = set().union(*words)
         new = every.difference(known)
-        if len(known) + len(new) > CACHE_WORDS:
+        if len(known) + len(new) > CACHE_WORDS * v.share:
             lately = {w: known[w] for w in every - new}
             known.clear()
             known |= lately
@@ -218,7 +219,7 @@ def _coder(sent, with_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v: Vocabulary = sent.value  # a worker keeps it, and so what it has met, from task to task
         for batch in batches:
-            for part in _parts(batch):
+            for part in _parts(batch, max(1, int(PART_CHARS * v.share))):
                 texts = part.column("text").to_pylist()
                 ids = encode_batch(v, [t for t in texts if t is not None])
                 known = np.array([t is not None for t in texts], bool)
@@ -235,7 +236,7 @@ def _coder(sent, with_text: bool):
     return run
 
 
-def _parts(batch: pa.RecordBatch, most_chars: int = PART_CHARS) -> Iterator[pa.RecordBatch]:
+def _parts(batch: pa.RecordBatch, most_chars: int) -> Iterator[pa.RecordBatch]:
     """The rows in parts of about so many characters at most, or of one row; an empty batch is one part."""
     sizes = pc.fill_null(pc.utf8_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
     of = np.cumsum(sizes, dtype=np.int64) // most_chars

@@ -110,3 +110,11 @@ def test_small_cache(v, monkeypatch):
     monkeypatch.setattr(pieces, "CACHE_PAIRS", 3)
     texts = ["one two three", "four five", "one six"]
     assert [pieces.encode_batch(v, [t])[0].tolist() for t in texts] == [x.tolist() for x in pieces.encode_batch(pieces.load(), texts)]
+
+
+def test_a_smaller_share_gives_the_same(v, monkeypatch):
+    rng = random.Random(4)
+    texts = [" ".join("".join(rng.choices("abcdeinrst", k=rng.randrange(1, 9))) for _ in range(200)) for _ in range(30)]
+    small = pieces.load(share=1e-4)
+    assert [x.tolist() for t in texts for x in pieces.encode_batch(small, [t])] == [x.tolist() for x in pieces.encode_batch(v, texts)]
+    assert len(small.words) < 500 and len(small.pairs) <= 50
