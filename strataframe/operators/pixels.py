@@ -95,7 +95,8 @@ def sobel(px: DataFrame, img: str = "img", replicate: bool = True) -> DataFrame:
     """px with gx, gy and gg = gx * gx + gy * gy.
 
     With replicate a pixel stands for a missing neighbour to its left or right, and its line for one that has no pixel
-    above or below it: borders are repeated. Without, missing pixels count as 0, wherever they are.
+    above or below it: borders are repeated. Without, missing pixels count as 0, wherever they are. Whole
+    numbers are worked out as longs: squares leave the range of int at sums over 46,340.
     """
     c = columns_of(img)
     if replicate:
@@ -105,6 +106,7 @@ def sobel(px: DataFrame, img: str = "img", replicate: bool = True) -> DataFrame:
     else:
         flat = _with_gaps(px, "v", img)
         flat = flat.withColumns({n: F.coalesce(n, F.lit(0)) for n in "wce"})
+    flat = flat.withColumns({n: F.col(n) + F.lit(0).cast("long") for n in "wce"})
     flat = flat.withColumns({"dx": F.col("e") - F.col("w"), "sx": F.col("e") + 2 * F.col("c") + F.col("w")})
     side = lambda name, step: F.coalesce(_neighbour(name, "y", step, c), F.col(name) if replicate else F.lit(0))
     out = flat.withColumns({"gx": side("dx", -1) + 2 * F.col("dx") + side("dx", 1), "gy": side("sx", 1) - side("sx", -1)})

@@ -47,6 +47,22 @@ def test_sobel(spark, holes):
         assert got == want
 
 
+@pytest.mark.parametrize("replicate", [True, False])
+def test_sobel_of_large_values(spark, replicate):
+    px = images(0.3)
+    sobel = lambda px: {(r.img, r.y, r.x): (r.gx, r.gy, r.gg) for r in pixels.sobel(frame(spark, px), replicate=replicate).collect()}
+    large = sobel({k: v * 1_000_000 for k, v in px.items()})
+    assert large == {k: (gx * 10**6, gy * 10**6, gg * 10**12) for k, (gx, gy, gg) in sobel(px).items()}
+    assert max(gg for _, _, gg in large.values()) > 2**31
+
+
+def test_sobel_of_sums_beyond_int(spark):
+    px = {k: 2**31 - 1 - v for k, v in images(0.0).items()}
+    steep = {k: 255 - v for k, v in images(0.0).items()}
+    got, want = ({(r.img, r.y, r.x): (r.gx, r.gy, r.gg) for r in pixels.sobel(frame(spark, p)).collect()} for p in (px, steep))
+    assert got == want
+
+
 @pytest.mark.parametrize("holes", [0.0, 0.3, 0.8])
 def test_grown_smoothed_and_steps(spark, holes):
     px = images(holes, 5)
