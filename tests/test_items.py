@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strataframe import queries as q
+from tests.oracle import compare
 
 SF = "/root/testdata/sf0.1"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no tables")
@@ -20,3 +21,10 @@ def test_every_item_of_the_log_has_a_status(spark):
 def test_every_item_has_a_route(spark):
     got = {r.route: r.n for r in q.q04_route_work(spark, SF).collect()}
     assert sum(got.values()) == 30 * 1500 and got["never"] == 0
+
+
+@pytest.mark.parametrize("name", ["q01_item_status"])
+def test_items_equal_the_sql_over_all_users(spark, name):
+    every = q.ORACLES[name].replace("range(150) t(u)", "(SELECT range FROM range(150) UNION SELECT user_id FROM events) t(u)")
+    assert every != q.ORACLES[name]
+    assert compare(spark, q.QUERIES[name](spark, SF), every, SF) > 0
