@@ -23,7 +23,7 @@ def test_every_item_has_a_route(spark):
     assert sum(got.values()) == 30 * 1500 and got["never"] == 0
 
 
-@pytest.mark.parametrize("name", ["q01_item_status"])
+@pytest.mark.parametrize("name", ["q01_item_status", "q04_route_work"])
 def test_items_equal_the_sql_over_all_users(spark, name):
     every = q.ORACLES[name].replace("range(150) t(u)", "(SELECT range FROM range(150) UNION SELECT user_id FROM events) t(u)")
     assert every != q.ORACLES[name]
