@@ -58,7 +58,7 @@ st AS (SELECT g.key, g.u, CASE WHEN latest IS NULL THEN 'new'
 def _log(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Events as an attempt log of items (user, day), and the review in each item's latest view."""
     e = read(spark, sf_dir, "events").withColumn("key", F.col("user_id") * 100 + F.dayofmonth("ts"))
-    a = attempts.numbered(e, "key", "ts", "event_id").withColumns(
+    a = attempts.numbered(e, "key", "ts", F.asc_nulls_last("event_id")).withColumns(
         {"record": F.col("event_type") != "error", "promoted": (F.col("event_type") != "error") & (F.col("value") >= 5), "workflow": F.when(F.col("event_id") % 3 == 0, "edit").otherwise("redraw")}
     )
     seen = a.where("event_type = 'view'").groupBy("key").agg(F.max_by(F.struct("n", "value", "event_id"), "n").alias("r"))
