@@ -111,8 +111,8 @@ SELECT k.route, count(rt.route) AS n FROM (VALUES ('copy'), ('done'), ('stuck'),
 def q04_route_work(spark, sf_dir):
     a, r = _log(spark, sf_dir)
     st = attempts.item_status(_items(_users(spark, sf_dir)), a, r)
-    user = F.floor(F.col("key") / 100)
-    routed = st.select(attempts.route(F.col("status"), user % 11 == 0, F.col("key") % 13 == 0).alias("route")).groupBy("route").agg(F.count("*").alias("n"))
+    copied = F.pmod("key", F.lit(1100)) < 100  # each eleventh user; a quotient of long keys would be rounded
+    routed = st.select(attempts.route(F.col("status"), copied, F.col("key") % 13 == 0).alias("route")).groupBy("route").agg(F.count("*").alias("n"))
     return attempts.zero_filled(routed, "route", ["copy", "done", "stuck", "uncaptioned", "work", "never"])
 
 
