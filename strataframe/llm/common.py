@@ -73,10 +73,11 @@ def materialize(df: DataFrame, tag: str, compression: str = "uncompressed") -> D
     """Writes df as a Parquet table in the shared folder and reads it back: cuts lineage, survives lost executors.
 
     Hashes and numbers hardly compress, and the buffers of codecs lie outside the heap; tables of texts name a codec.
+    There is no success marker: in a local folder, its two files would start a chmod process of the driver each.
     """
     spark = df.sparkSession
     path = new_dir(spark, tag)
-    df.write.parquet(path, compression=compression)
+    df.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(path, compression=compression)
     out = spark.read.schema(df.schema).parquet(path)
     out.scratch_path = path
     return out

@@ -6,6 +6,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from strataframe.llm import components as comp
 from strataframe.llm import near_dup
 from strataframe.llm.components import components
 
@@ -122,3 +123,25 @@ def test_components_of_long_chains(spark):
     links = [(i, i + 1) for i in range(1, 60)] + [(100, 101), (102, 101), (7, 7), (None, 3), (101, 100)]
     got = dict(map(tuple, components(spark.createDataFrame([(f"{a:03d}" if a else None, f"{b:03d}") for a, b in links], "a string, b string")).collect()))
     assert got == {f"{i:03d}": "001" for i in range(1, 61)} | {f"{i:03d}": "100" for i in (100, 101, 102)}
+
+
+@pytest.mark.parametrize(("part", "kind", "most_jobs"), [(100_000, "string", 20), (100_000, "long", 20), (40, "string", None)])
+def test_components_take_few_jobs(spark, monkeypatch, part, kind, most_jobs):
+    monkeypatch.setattr(comp, "PART", part, raising=False)
+    rng = random.Random(3)
+    links = [(i, i + 1) for i in range(200)] + [(1000, 1000 + i) for i in range(300)] + [(rng.randrange(2000, 4000), rng.randrange(2000, 4000)) for _ in range(1200)]
+    rng.shuffle(links)
+    least = {x: x for link in links for x in link}
+    while any(least[a] != least[b] for a, b in links):
+        for a, b in links:
+            least[a] = least[b] = min(least[a], least[b])
+    name = (lambda x: f"{x:05d}") if kind == "string" else int
+    sc = spark.sparkContext
+    sc.setJobGroup(group := f"components-{part}-{kind}", "")
+    try:
+        got = dict(map(tuple, components(spark.createDataFrame([(name(a), name(b)) for a, b in links], f"a {kind}, b {kind}").repartition(5)).collect()))
+        jobs = len(sc.statusTracker().getJobIdsForGroup(group))
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert got == {name(x): name(y) for x, y in least.items()}
+    assert most_jobs is None or 0 < jobs <= most_jobs  # each is work for the driver, whose memory is small
